@@ -1,15 +1,400 @@
-"""Driver queries of the posting engine and the DuckDB SQL that says the same."""
+"""Driver queries of the posting engine and the DuckDB SQL that says the same.
+
+The engine's own tables are not among the test tables; each query says which one
+stands in.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from jobloom.functions import anchors, postings, text, urls
+from jobloom.operators import dedup, dml, links, maintain, schedule
+from jobloom.runtime import shared_folder, ship, table
+from jobloom.streaming import messages
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+#: The seed keywords of the category tech.
+KEYWORDS = ("software engineer", "developer", "programmer", "data scientist", "software developer", "tech", "IT", "computer science")
+HOST = "https://site.example"
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _quoted(words) -> str:
+    import re
+
+    return "|".join(re.escape(w).replace("\\-", "-").replace("\\ ", " ") for w in words)
+
+
+@_query(r"""
+SELECT page_id, text, sha256(text) AS text_hash FROM (
+  SELECT page_id, trim(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    replace(replace(replace(replace(html, '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'),
+    '<script[^>]*>.*?</script>', '', 'gis'), '<style[^>]*>.*?</style>', '', 'gis'),
+    '</(?:p|h[1-4])>', chr(10) || chr(10), 'g'), '</(?:div|li)>|<br(?: ?/)?>', chr(10), 'g'), '<[^>]+>', '', 'g'),
+    '\n\s*\n\s*\n+', chr(10) || chr(10), 'g'), '[ \t]+', ' ', 'g'), chr(10) || ' ' || chr(9) || chr(13))) AS text FROM pages)
+""")
+def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities and markup to text (pages)."""
+    ship(spark)
+    cleaned = table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
+    return cleaned.withColumn("text_hash", F.sha2("text", 256))
+
+
+@_query("""
+SELECT o_orderkey, sha256(concat_ws('|', coalesce(nullif(o_orderstatus, 'F'), 'None'), coalesce(o_orderpriority, 'None'), coalesce(CAST(nullif(o_custkey % 5, 0) AS VARCHAR), 'None'), CAST(CAST(o_orderdate AS DATE) AS VARCHAR))) AS content_hash FROM orders
+""")
+def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash of four fields, some of them null (orders)."""
+    hashed = text.content_hash(F.nullif("o_orderstatus", F.lit("F")), F.col("o_orderpriority"), F.nullif(F.col("o_custkey") % 5, F.lit(0)), F.col("o_orderdate").cast("date"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", hashed.alias("content_hash"))
+
+
+@_query("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
+def first_wins_exact_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First row of each text (documents)."""
+    keyed = table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("k"), "doc_id", "source")
+    return dedup.first_wins(keyed, ["k"], ["doc_id"]).select("doc_id", "source")
+
+
+@_query("""
+SELECT min(doc_id) AS doc_id, sha256(text) AS k FROM documents WHERE doc_id % 2 = 1 AND text NOT IN (SELECT text FROM documents WHERE doc_id % 2 = 0) GROUP BY text
+""")
+def insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert if the key is absent; rows of even id are the table (documents)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("k"))
+    return dml.insert_absent(docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1"), ["k"], ["doc_id"])
+
+
+@_query("SELECT doc_id, source FROM documents WHERE source IN (SELECT source FROM documents WHERE n_chars > 15000)")
+def exists_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose key another table has (documents)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return dml.existing(docs, docs.filter("n_chars > 15000"), "source").select("doc_id", "source")
+
+
+@_query("""
+SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN d.text WHEN l.toxic = 1 THEN d.text ELSE 'kept' END AS job_description,
+       CASE WHEN l.doc_id IS NULL THEN 'inserted' WHEN l.toxic = 1 THEN 'updated' ELSE 'duplicate' END AS outcome
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def fill_blank_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditional upsert: labelled rows are stored, those marked toxic with a blank description (documents, labels)."""
+    docs = table(spark, sf_dir, "documents")
+    key = F.concat(F.lit("https://host/"), F.col("doc_id").cast("string"))
+    nothing = [F.lit(None).cast("timestamp_ntz").alias(c) for c in ("last_updated", "scraped_at")]
+    store = table(spark, sf_dir, "labels").select(key.alias("url"), F.when(F.col("toxic") == 1, F.lit(" \n")).otherwise("kept").alias("job_description"), *nothing, F.concat(F.lit("s"), F.col("doc_id").cast("string")).alias("content_hash"))
+    batch = docs.select(key.alias("url"), F.col("text").alias("job_description"), *nothing, F.concat(F.lit("b"), F.col("doc_id").cast("string")).alias("content_hash"), F.col("doc_id").alias("seq"))
+    after, outcomes = dedup.upsert(store, batch)
+    named = after.select(F.regexp_extract("url", "[0-9]+$", 0).cast("bigint").alias("doc_id"), "job_description")
+    return named.join(outcomes.withColumnRenamed("seq", "doc_id"), "doc_id")
+
+
+TWO_KEY_SQL = """
+WITH RECURSIVE ordered AS (SELECT row_number() OVER (ORDER BY doc_id) AS n, doc_id, concat_ws('|', source, lang, CAST(n_chars // 200 AS VARCHAR)) AS u, sha256(text) AS h FROM documents),
+steps AS (
+  SELECT 0::BIGINT AS n, []::VARCHAR[] AS us, []::VARCHAR[] AS hs, []::BIGINT[] AS kept
+  UNION ALL
+  SELECT o.n, CASE WHEN free THEN list_append(us, o.u) ELSE us END, CASE WHEN free THEN list_append(hs, o.h) ELSE hs END, CASE WHEN free THEN list_append(kept, o.doc_id) ELSE kept END
+  FROM (SELECT s.*, o2.doc_id, o2.u, o2.h, o2.n AS m, NOT list_contains(s.us, o2.u) AND NOT list_contains(s.hs, o2.h) AS free FROM steps s JOIN ordered o2 ON o2.n = s.n + 1) o0
+  JOIN ordered o ON o.n = o0.m
+)
+SELECT unnest(kept) AS doc_id FROM (SELECT kept FROM steps ORDER BY n DESC LIMIT 1)
+"""
+
+
+@_query(TWO_KEY_SQL)
+def two_key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered insert with two unique keys (documents: source, language and length class; hash of the text)."""
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.concat_ws("|", "source", "lang", F.floor(F.col("n_chars") / 200).cast("string")).alias("url"), F.sha2("text", 256).alias("content_hash"))
+    return dedup.two_key_first(rows).select(F.col("seq").alias("doc_id"))
+
+
+_BOARDS = ("https://boards-api.greenhouse.io/v1/boards/", "http://boards.greenhouse.io/", "https://JOB-BOARDS.greenhouse.io/", "https://boards.example/")
+
+
+def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board links of four kinds made of page numbers."""
+    kinds = F.element_at(F.array(*map(F.lit, _BOARDS)), (F.col("page_id") % 4 + 1).cast("int"))
+    end = F.when(F.col("page_id") % 3 == 0, "/").when(F.col("page_id") % 11 == 0, "?a=1").otherwise("")
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(kinds, F.lit("Board-"), (F.col("page_id") % 7).cast("string"), F.lit("/jobs/00"), F.floor(F.col("page_id") / 8).cast("string"), end).alias("url"))
+
+
+_LINKS_SQL = f"""(SELECT page_id, ['{"', '".join(_BOARDS)}'][page_id % 4 + 1] || 'Board-' || (page_id % 7) || '/jobs/00' || (page_id // 8) || CASE WHEN page_id % 3 = 0 THEN '/' WHEN page_id % 11 = 0 THEN '?a=1' ELSE '' END AS url FROM pages)"""
+_BOARD_RE = r"(?i)^https?://(?:boards-api\.greenhouse\.io/v1/boards|boards\.greenhouse\.io|job-boards\.greenhouse\.io)/([^/]+)/jobs/(\d+)/?$"
+
+
+@_query(f"SELECT page_id, nullif(regexp_extract(url, '{_BOARD_RE}', 1), '') AS board, CAST(try_cast(nullif(regexp_extract(url, '{_BOARD_RE}', 2), '') AS BIGINT) AS VARCHAR) AS job_id FROM {_LINKS_SQL}")
+def url_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board and number of board links (pages)."""
+    return _links(spark, sf_dir).select("page_id", urls.board_token(F.col("url")).alias("board"), urls.board_job_id(F.col("url")).alias("job_id"))
+
+
+@_query(f"""
+WITH t AS (SELECT CAST(page_id AS VARCHAR) AS id, url FROM {_LINKS_SQL}),
+n AS (SELECT *, 'https://boards.greenhouse.io/' || regexp_extract(url, '{_BOARD_RE}', 1) || '/jobs/' || CAST(try_cast(nullif(regexp_extract(url, '{_BOARD_RE}', 2), '') AS BIGINT) AS VARCHAR) AS target FROM t),
+r AS (SELECT id, url, CASE WHEN target IS NOT NULL AND rtrim(target, '/') <> rtrim(url, '/') THEN target ELSE url END AS new_url FROM n WHERE url LIKE '%boards-api.greenhouse.io%'),
+s AS (SELECT *, min(id) FILTER (WHERE new_url <> url) OVER (PARTITION BY new_url) AS first FROM r)
+SELECT id, url, new_url, CASE WHEN new_url = url THEN 'unchanged' WHEN EXISTS (SELECT 1 FROM t WHERE t.url = s.new_url AND t.id <> s.id) OR first <> id THEN 'skipped_conflict' ELSE 'updated' END AS status FROM s
+""")
+def rewrite_with_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API links to board links, in execute mode (links made of page numbers)."""
+    rows = _links(spark, sf_dir).select(F.col("page_id").cast("string").alias("id"), "url", F.lit(None).cast("string").alias("application_url"))
+    return maintain.rewrite_plan(rows, "https://boards.greenhouse.io", execute=True).select("id", "url", "new_url", "status")
+
+
+@_query("""
+SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END || regexp_extract(url, '(#.*)$', 1) AS cleaned
+FROM (SELECT page_id, url, list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(?i)(utm_|trk|trkinfo|ref|source|mc_|vero_)')) AS kept FROM pages)
+""".replace("\\\\", "\\"))
+def url_strip_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracking parameters out of links (pages)."""
+    return table(spark, sf_dir, "pages").select("page_id", urls.strip_tracking(F.col("url")).alias("cleaned"))
+
+
+_HOSTS, _WORDS, _IGNORED = _quoted(urls.JOB_HOSTS), _quoted(urls.POSTING_WORDS), _quoted(urls.IGNORED_TEXT)
+
+
+@_query(f"""
+WITH a AS (SELECT page_id, generate_subscripts(m, 1) - 1 AS pos, unnest(m) AS tag FROM (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS m FROM pages)),
+b AS (SELECT page_id, pos, '{HOST}' || regexp_extract(tag, 'href="([^"]*)"', 1) || '?job=' || (pos % 3) AS url, trim(regexp_replace(regexp_extract(tag, '>([^<]*)<', 1), '\\s+', ' ', 'g')) AS title FROM a),
+c AS (SELECT * FROM b WHERE title <> '' AND NOT regexp_matches(lower(title || ' ' || url), '{_IGNORED}') AND (regexp_matches(lower(url), '{_HOSTS}') OR regexp_matches(lower(title || ' ' || url), '{_WORDS}')))
+SELECT page_id, title, url FROM (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY pos) AS n FROM c) WHERE n = 1
+""".replace("\\\\", "\\"))
+def anchor_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors, filtered, the first of each link (pages; a host and a parameter are added since all are relative)."""
+    ship(spark)
+    found = table(spark, sf_dir, "pages").select("page_id", F.explode(anchors.extract_anchors(F.col("html"))).alias("a")).select("page_id", "a.pos", text.clean_text(F.col("a.anchor_text")).alias("title"), "a.href")
+    url = urls.strip_tracking(F.concat(F.lit(HOST), "href", F.lit("?job="), (F.col("pos") % 3).cast("string")))
+    rows = found.withColumn("url", url).filter((F.col("title") != "") & urls.is_job_link(F.col("url"), F.col("title")))
+    return dedup.first_wins(rows.select("page_id", "url", "pos", "title"), ["page_id", "url"], ["pos"]).select("page_id", "title", "url")
+
+
+@_query(r"""
+SELECT p_partkey, nullif(regexp_extract(line, '^(\d+)\) ', 1), '')::INT AS rank, CASE WHEN p_partkey % 3 > 0 THEN p_type END AS location, p_brand AS company, CASE WHEN p_partkey % 2 = 0 THEN '$' || p_size || 'k - $' || (p_size + 10) || 'k' END AS salary
+FROM (SELECT *, CASE WHEN p_partkey % 5 > 0 THEN p_partkey || ') ' ELSE '' END || p_name AS line FROM part)
+""")
+def card_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank, place, company and pay of card lines (part)."""
+    part = table(spark, sf_dir, "part")
+    line = F.concat(F.when(F.col("p_partkey") % 5 > 0, F.concat(F.col("p_partkey").cast("string"), F.lit(") "))).otherwise(""), F.col("p_name"), F.lit(" "), F.when(F.col("p_partkey") % 3 > 0, F.concat(F.lit("("), "p_type", F.lit("), "))).otherwise(""), F.col("p_brand"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" - $"), F.col("p_size").cast("string"), F.lit("k - $"), (F.col("p_size") + 10).cast("string"), F.lit("k"))).otherwise(""))
+    return part.select("p_partkey", postings.card_line(line, F.col("p_name")).alias("c")).select("p_partkey", "c.*")
+
+
+def _api_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List-API rows made of parts: metadata with a boolean before texts, a location, an id as number or text or missing."""
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    item = lambda name, value: F.concat(F.lit('{"name":"' + name + '","value":'), value, F.lit("}"))
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    body = F.concat(
+        F.lit('{"id":'), F.when(k % 10 == 0, F.lit("null")).when(k % 2 == 0, quoted(k.cast("string"))).otherwise(k.cast("string")),
+        F.lit(',"title":'), quoted(F.col("p_name")), F.lit(',"location":'), F.when(k % 7 == 0, F.lit("null")).otherwise(F.concat(F.lit('{"name":'), quoted(F.when(k % 6 == 0, F.lit("Remote - X")).otherwise(F.col("p_brand"))), F.lit("}"))),
+        F.lit(',"updated_at":"2024-0'), (k % 9 + 1).cast("string"), F.lit('-28T23:30:00-05:00","metadata":['), item("Type", F.lit("true")), F.lit(","), item("Color", quoted(F.col("p_type"))), F.lit(","),
+        item("Workplace Type", quoted(F.when(k % 4 == 0, F.lit("Hybrid")).when(k % 4 == 1, F.lit("Fully Remote")).otherwise("Office"))), F.lit("]}"),
+    )
+    return part.select("p_partkey", "p_brand", body.alias("body"))
+
+
+@_query("""
+SELECT p_partkey, CASE WHEN p_partkey % 10 > 0 THEN 'https://boards.greenhouse.io/acme/jobs/' || p_partkey END AS url, p_name AS job_title, CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 6 = 0 THEN 'Remote - X' ELSE p_brand END AS location,
+       CAST('2024-0' || (p_partkey % 9 + 1) || '-28' AS DATE) AS date_posted, CASE p_partkey % 4 WHEN 0 THEN 'Hybrid' WHEN 1 THEN 'Fully Remote' ELSE 'Office' END AS employment_type,
+       p_partkey % 4 = 1 OR (p_partkey % 7 > 0 AND p_partkey % 6 = 0) AS remote_allowed, p_partkey % 4 = 0 AS hybrid_allowed, p_partkey % 10 = 0 AS row_error FROM part
+""")
+def api_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List-API rows to postings: typed first match, flags, local date, row errors (part)."""
+    rows = _api_rows(spark, sf_dir).select("p_partkey", F.parse_json("body").alias("row"), F.lit("Acme").alias("company_name"), F.lit("acme").alias("company_endpoint"))
+    found = postings.from_api(rows, "https://boards.greenhouse.io/", "greenhouse", F.lit(None).cast("timestamp_ntz"), keep=("p_partkey",))
+    return found.select("p_partkey", "url", "job_title", "location", "date_posted", "employment_type", "remote_allowed", "hybrid_allowed", "row_error")
+
+
+@_query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed field of JSON (events)."""
+    return table(spark, sf_dir, "events").select("event_id", postings.field(F.parse_json("props"), "$.k", "bigint").alias("k"))
+
+
+@_query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN s_name WHEN 1 THEN s_name || ' Inc' ELSE 'Acme ' || s_suppkey || 'M Labs' END AS company FROM supplier")
+def company_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company of a detail: object, text or slug (supplier)."""
+    ship(spark)
+    k = F.col("s_suppkey")
+    detail = F.when(k % 3 == 0, F.to_json(F.struct(F.struct(F.col("s_name").alias("name")).alias("company")))).when(k % 3 == 1, F.to_json(F.struct(F.concat("s_name", F.lit(" Inc")).alias("company")))).otherwise(F.lit('{"company": " "}'))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", postings.company_name(F.parse_json(detail), F.concat(F.lit("acme-"), k.cast("string"), F.lit("m-labs"))).alias("company"))
+
+
+@_query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN CAST(o_orderdate AS DATE) END AS posted FROM orders")
+def iso_date_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date in the string's own offset (orders)."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    end = F.element_at(F.array(F.lit("T23:30:00-05:00"), F.lit(""), F.lit("T00:10:00.25+09:00"), F.lit(" junk")), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.iso_date(F.concat(day, end)).alias("posted"))
+
+
+@_query("""
+SELECT user_id FROM (SELECT user_id, CASE WHEN user_id % 5 > 0 THEN max(ts) END AS last_run, CASE WHEN user_id % 3 = 0 THEN 48 ELSE 6 END AS h, user_id % 4 > 0 AS enabled FROM events GROUP BY user_id)
+WHERE enabled AND (last_run IS NULL OR (SELECT max(ts) FROM events) >= last_run + to_hours(h))
+""")
+def due_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources that are due (events: users are sources, their last event the last run, the table's last one now)."""
+    events = table(spark, sf_dir, "events")
+    now = events.agg(F.max("ts").alias("now"))
+    last = F.when(F.col("user_id") % 5 > 0, F.max("ts").cast("string")).when(F.col("user_id") % 2 == 0, F.lit("no date"))
+    sources = events.groupBy("user_id").agg(last.alias("last_run_at")).withColumn("schedule_hours", F.when(F.col("user_id") % 3 == 0, 48).otherwise(6)).withColumn("enabled", F.when(F.col("user_id") % 4 > 0, True))
+    return schedule.due_sources(sources.crossJoin(F.broadcast(now)), F.col("now")).select("user_id")
+
+
+@_query("""
+SELECT s_nationkey AS source_id, count(DISTINCT s_suppkey) AS companies, count(l_orderkey) AS fetched, CAST(count_if(l_returnflag <> 'N') AS BIGINT) AS with_description,
+       CAST(count_if(l_linestatus = 'O') AS BIGINT) AS saved, CAST(count_if(l_linestatus <> 'O') AS BIGINT) AS duplicates, count(DISTINCT CASE WHEN s_acctbal < 0 THEN s_suppkey END) AS failed
+FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey GROUP BY s_nationkey
+""")
+def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of runs (supplier: companies; lineitem: rows fetched)."""
+    companies = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("source_id"), "s_suppkey", "s_acctbal")
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_returnflag", "l_linestatus").join(companies, "s_suppkey")
+    fetched = items.select("source_id", F.when(F.col("l_returnflag") != "N", "text").alias("job_description"))
+    outcomes = items.select("source_id", F.when(F.col("l_linestatus") == "O", "inserted").otherwise("duplicate").alias("outcome"))
+    errors = companies.filter("s_acctbal < 0").select("source_id", F.lit("failed").alias("error"))
+    return schedule.run_stats(companies, fetched, outcomes, errors).drop("errors")
+
+
+@_query("SELECT r_regionkey AS source_id, c AS company_name, e AS company_endpoint, true AS enabled FROM region, (VALUES ('Airbnb', 'airbnb'), ('Khan Academy', 'khanacademy')) v(c, e) WHERE r_name = 'ASIA'")
+def seed_cross_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An inline list for the source of a name (region)."""
+    sources = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+    return dml.seed_companies(sources, [("Airbnb", "airbnb"), ("Khan Academy", "khanacademy")], "ASIA")
+
+
+@_query("""
+SELECT coalesce(t.k, c.k) AS k, CASE WHEN c.k IS NOT NULL THEN c.name ELSE t.name END AS name, CASE WHEN t.k IS NULL THEN c.nation ELSE t.nation END AS nation
+FROM (SELECT s_suppkey AS k, s_name AS name, s_nationkey AS nation FROM supplier WHERE s_suppkey % 3 > 0) t
+FULL JOIN (SELECT s_suppkey AS k, 'new ' || s_name AS name, s_nationkey + 100 AS nation FROM supplier WHERE s_suppkey % 2 = 0) c ON t.k = c.k
+""")
+def overwrite_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert or overwrite some columns (supplier)."""
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+    incoming = rows.filter("k % 2 = 0").select("k", F.concat(F.lit("new "), "name").alias("name"), (F.col("nation") + 100).alias("nation"))
+    return dml.overwrite_upsert(rows.filter("k % 3 > 0"), incoming, ["k"], ["name"])
+
+
+@_query("SELECT s_suppkey, s_name, CASE WHEN s_suppkey IN (1, 2, 3) THEN TIMESTAMP '2024-01-02 03:04:05' END AS last_run_at FROM supplier")
+def touch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time columns of some rows set (supplier)."""
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.lit(None).cast("timestamp_ntz").alias("last_run_at"))
+    return dml.touch(rows, ["1", "2", "3"], F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"), ["last_run_at"], "s_suppkey")
+
+
+@_query("SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY nullif(p_size % 10, 0) NULLS LAST, lower(p_name), p_partkey) AS place FROM part")
+def nulls_last_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank with nulls last, then title, then place, within a brand (part)."""
+    from pyspark.sql import Window
+
+    rank = F.nullif(F.col("p_size") % 10, F.lit(0))
+    order = Window.partitionBy("p_brand").orderBy(rank.asc_nulls_last(), F.lower("p_name"), "p_partkey")
+    return table(spark, sf_dir, "part").select("p_partkey", F.row_number().over(order).alias("place"))
+
+
+def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id")
+    id_text = k.cast("string")
+    body = (
+        F.when(k % 9 == 0, F.substring("props", 1, 4)).when(k % 9 == 1, F.lit("[1]")).when(k % 9 == 2, F.lit('{"payload": {}}')).when(k % 9 == 3, F.lit('{"payload": {"url": "ftp://x/1"}}'))
+        .when(k % 9 == 4, F.concat(F.lit('{"payload": {"url": "https://h/'), id_text, F.lit('", "rank": "3"}}'))).when(k % 9 == 5, F.concat(F.lit('{"payload": {"url": "https://h/'), id_text, F.lit('", "rank": 3.5}}')))
+        .when(k % 9 == 6, F.concat(F.lit('{"payload": {"url": "https://h/'), id_text, F.lit('", "source": null}}'))).when(k % 9 == 7, F.concat(F.lit('{"payload": {"url": "https://h/'), id_text, F.lit('", "title": 7}}')))
+        .otherwise(F.concat(F.lit('{"event_id": "e", "payload": {"url": "https://h/'), id_text, F.lit('", "rank": 3.0, "other": [1]}}')))
+    )
+    return table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+
+
+@_query("""
+WITH b AS (SELECT event_id, CASE event_id % 9 WHEN 0 THEN substr(props, 1, 4) WHEN 1 THEN '[1]' WHEN 2 THEN '{"payload": {}}' WHEN 3 THEN '{"payload": {"url": "ftp://x/1"}}'
+  WHEN 4 THEN '{"payload": {"url": "https://h/' || event_id || '", "rank": "3"}}' WHEN 5 THEN '{"payload": {"url": "https://h/' || event_id || '", "rank": 3.5}}'
+  WHEN 6 THEN '{"payload": {"url": "https://h/' || event_id || '", "source": null}}' WHEN 7 THEN '{"payload": {"url": "https://h/' || event_id || '", "title": 7}}'
+  ELSE '{"event_id": "e", "payload": {"url": "https://h/' || event_id || '", "rank": 3.0, "other": [1]}}' END AS body FROM events),
+j AS (SELECT *, CASE WHEN json_valid(body) THEN body::JSON END AS v FROM b)
+SELECT event_id, CASE WHEN v IS NULL THEN 'not JSON' WHEN json_type(v) <> 'OBJECT' THEN 'not an object' WHEN coalesce(json_type(v, '$.payload'), '') <> 'OBJECT' THEN 'no payload'
+  WHEN NOT coalesce(regexp_matches(json_extract_string(v, '$.payload.url'), '^https?://'), false) THEN 'no url'
+  WHEN json_type(v, '$.payload.rank') = 'DOUBLE' AND CAST(json_extract(v, '$.payload.rank') AS DOUBLE) % 1 <> 0 THEN 'rank'
+  WHEN json_type(v, '$.payload.source') = 'NULL' THEN 'source' WHEN json_type(v, '$.payload.title') NOT IN ('VARCHAR', 'NULL') THEN 'text field' END AS reason,
+  CASE WHEN reason IS NULL THEN 'ACK' ELSE 'NACK_NO_REQUEUE' END AS disposition FROM j
+""")
+def dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation of messages (events, with faulty ones made of them)."""
+    return messages.dispositions(messages.validated(_bodies(spark, sf_dir))).select("event_id", "reason", "disposition")
+
+
+@_query("SELECT doc_id, array_to_string(k, ',') AS keywords FROM (SELECT doc_id, list_filter([" + ", ".join(f"'{k}'" for k in KEYWORDS) + "], lambda w: contains(lower(text), lower(w))) AS k FROM documents) WHERE len(k) > 0")
+def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extension: keywords in texts (documents)."""
+    return schedule.keyword_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), list(KEYWORDS)).select("doc_id", F.array_join("keywords", ",").alias("keywords"))
+
+
+@_query("""
+SELECT event_id, round(max(a - i * 2.0) OVER (PARTITION BY event_type ORDER BY a, event_id ROWS UNBOUNDED PRECEDING) + i * 2.0, 3) AS admitted
+FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY a, event_id) - 1 AS i FROM (SELECT event_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS a FROM events))
+""")
+def rate_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extension: when a limiter of 30 a minute admits each request (events)."""
+    requests = table(spark, sf_dir, "events").select("event_id", "event_type", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("a"))
+    return schedule.admission(requests, 30, "event_type", "a", "event_id").select("event_id", F.round("admitted", 3).alias("admitted"))
+
+
+@_query("SELECT c_custkey, coalesce(n_orders, 0) AS n_orders FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
+def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with what a detail table has of them (customer, orders)."""
+    detail = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
+    return table(spark, sf_dir, "customer").select("c_custkey").join(detail, "c_custkey", "left").fillna(0, ["n_orders"])
+
+
+@_query("""SELECT s_suppkey, '{"title":"' || s_name || '","location":null,"rank":' || s_nationkey || '}' AS body FROM supplier""")
+def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as JSON with nulls kept (supplier)."""
+    row = F.struct(F.col("s_name").alias("title"), F.lit(None).cast("string").alias("location"), F.col("s_nationkey").alias("rank"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.to_json(row, {"ignoreNullFields": "false"}).alias("body"))
+
+
+@_query()
+def newsletter_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job links of whole pages with card lines and summaries (pages)."""
+    return links.job_entries(table(spark, sf_dir, "pages"), "page_id", "html", HOST + "/jobs")
+
+
+@_query()
+def stream_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same validation as a stream: messages as files, replayed once through foreachBatch."""
+    top = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    _bodies(spark, sf_dir).repartition(4).write.parquet(f"{top}/in")
+    incoming = spark.readStream.schema("event_id bigint, body string").option("maxFilesPerTrigger", 2).parquet(f"{top}/in")
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.select("event_id", "reason", F.lit(messages.ACK).alias("disposition")).write.mode("overwrite").parquet(f"{top}/out/kind=good/batch={number}")
+
+    def reject(batch: DataFrame, number: int) -> None:
+        batch.select("event_id", "reason", F.lit(messages.REJECT).alias("disposition")).write.mode("overwrite").parquet(f"{top}/out/kind=bad/batch={number}")
+
+    messages.start(incoming, save, reject, f"{top}/checkpoint").awaitTermination()
+    return spark.read.schema("event_id bigint, reason string, disposition string, kind string, batch int").parquet(f"{top}/out").select("event_id", "reason", "disposition")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
