@@ -2,76 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
 
+from jobloom.runtime import Stored, ship, shared_folder, stored, table
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that workers import it wherever they run."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="jobloom-")
-    atexit.register(shutil.rmtree, folder, True)
-    target = os.path.join(os.path.realpath(folder), "jobloom_package.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
-    sc.addPyFile(target)
-    _shipped.add(sc.applicationId)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a local one is set only where it is unset (tests)."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or (sc._jsc.sc().getCheckpointDir().getOrElse(None) if sc._jsc.sc().getCheckpointDir().isDefined() else None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="jobloom-shared-")
-        atexit.register(shutil.rmtree, found, True)
-        sc.setCheckpointDir(found)
-        found = sc._jsc.sc().getCheckpointDir().get()
-    return found.rstrip("/")
-
-
-class Stored:
-    """A table written to the shared folder: it cuts lineage and survives the loss of executors."""
-
-    def __init__(self, df: DataFrame):
-        self.spark = df.sparkSession
-        self.path = f"{shared_folder(self.spark)}/jobloom-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
-
-    @property
-    def df(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
-
-    def drop(self) -> None:
-        """Removes the files; only for tables that no result still reads."""
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    return Stored(df).df
+__all__ = ["Stored", "batch_of", "ship", "shared_folder", "stored", "table", "text_blocks"]
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
