@@ -22,7 +22,7 @@ from jobloom.llm.common import batch_of, ship, text_blocks
 from jobloom.llm.pretoken import Words
 
 #: Words remembered by a worker; beyond it the memory starts anew.
-MOST_WORDS = 600_000
+MOST_WORDS = 250_000
 
 
 def byte_table() -> dict[str, int]:

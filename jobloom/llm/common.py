@@ -12,7 +12,7 @@ from jobloom.runtime import Stored, ship, shared_folder, stored, table
 __all__ = ["Stored", "batch_of", "ship", "shared_folder", "stored", "table", "text_blocks"]
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches with about ``limit`` bytes of text each (one row at least), and their texts; null counts as empty."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

@@ -33,7 +33,7 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_WORD_BYTES).split()
 
 
-def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", segment_bytes: int = 4 << 20) -> DataFrame:
+def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", segment_bytes: int = 2 << 20) -> DataFrame:
     """Segments: ids, rows (for documents: number in the segment), sizes (words of each), terms (space-joined), cuts (of each term's list), positions."""
     ship(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
