@@ -346,7 +346,7 @@ def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT event_id, round(max(a - i * 2.0) OVER (PARTITION BY event_type ORDER BY a, event_id ROWS UNBOUNDED PRECEDING) + i * 2.0, 3) AS admitted
+SELECT event_id, round(max(a - i * 2.0) OVER (PARTITION BY event_type ORDER BY a, event_id ROWS UNBOUNDED PRECEDING) + i * 2.0, 3)::DOUBLE AS admitted
 FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY a, event_id) - 1 AS i FROM (SELECT event_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS a FROM events))
 """)
 def rate_admission(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ def html_unescape(c: Column) -> Column:
 
     @F.udf("string", useArrow=True)
     def decode(s):
-        return html.unescape(s)
+        return html.unescape(s) if s is not None else None
 
     return F.when(F.contains(c, F.lit("&")), decode(c)).otherwise(c)
 

@@ -116,7 +116,8 @@ def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFr
     inserted = stored(insert_new(old, plain_new, seq))
     plain_out = plain_new.join(inserted.select(F.col(seq), F.lit("inserted").alias("o")), seq, "left").select(seq, F.coalesce("o", F.lit("duplicate")).alias("outcome"))
 
-    schema = named.select(*columns, F.col(seq).alias("__seq")).schema
+    # As text: pandas would turn whole numbers with nulls among them into floats.
+    schema = named.select(*columns, F.col(seq).cast("string").alias("__seq")).schema
     fields = [f.name for f in schema]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -125,11 +126,11 @@ def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFr
         held = [{c: r[c] for c in columns} for r in records if r[seq] is None]
         coming = sorted((r for r in records if r[seq] is not None), key=lambda r: int(r[seq]))
         after, outcomes = fold(held, [{c: r[c] for c in columns} | {"seq": int(r[seq])} for r in coming])
-        out = [r | {"__seq": None, "outcome": None} for r in after] + [dict.fromkeys(columns) | {"__seq": s, "outcome": o} for s, o in outcomes]
+        out = [r | {"__seq": None, "outcome": None} for r in after] + [dict.fromkeys(columns) | {"__seq": str(s), "outcome": o} for s, o in outcomes]
         return pd.DataFrame(out, columns=[*fields, "outcome"])
 
-    folded = stored(named.join(loose, "root", "left_semi").groupBy("root").applyInPandas(run, schema.add("outcome", "string")))
+    folded = stored(named.join(loose, "root", "left_semi").withColumn(seq, F.col(seq).cast("string")).groupBy("root").applyInPandas(run, schema.add("outcome", "string")))
     changed = folded.filter("outcome IS NULL").select(*columns)
     kept = old.join(touched.join(named.join(loose, "root", "left_semi").filter(F.col(seq).isNull()).select("url"), "url", "left_semi").select("url"), "url", "left_anti")
     result = kept.select(*columns).union(changed).union(inserted.select(*columns))
-    return result, plain_out.union(folded.filter("outcome IS NOT NULL").select(F.col("__seq").alias(seq), "outcome"))
+    return result, plain_out.union(folded.filter("outcome IS NOT NULL").select(F.col("__seq").cast("bigint").alias(seq), "outcome"))
