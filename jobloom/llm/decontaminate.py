@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +35,14 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", segment_bytes: int = 2 << 20) -> DataFrame:
-    """Segments: ids, rows (for documents: number in the segment), sizes (words of each), terms (space-joined), cuts (of each term's list), positions."""
+    """Segments: segment (its number), ids, sizes (words of each), terms (space-joined), cuts (of each term's list), positions."""
     ship(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_blocks(batches, text_column, segment_bytes):
+        task = TaskContext.get()
+        first = (task.partitionId() if task else 0) << 32
+        for number_here, (part, texts) in enumerate(text_blocks(batches, text_column, segment_bytes)):
             lists = [words_of(x) for x in texts]
             sizes = np.array([len(x) for x in lists], np.int32)
             words = [w for x in lists for w in x]
@@ -51,10 +54,10 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             order = np.argsort(term, kind="stable")
             cuts = np.append(0, np.cumsum(np.bincount(term, minlength=len(terms))))
             ids = part.column(id_column)
-            fields = pa.schema([pa.field("ids", pa.list_(ids.type)), ("sizes", pa.binary()), ("terms", pa.binary()), ("cuts", pa.binary()), ("positions", pa.binary())])
-            yield pa.RecordBatch.from_arrays([pa.array([ids.to_pylist()], fields.field("ids").type), *(pa.array([x], pa.binary()) for x in (sizes.tobytes(), b" ".join(terms), cuts.astype(np.int32).tobytes(), place[order].astype(np.int32).tobytes()))], schema=fields)
+            fields = pa.schema([("segment", pa.int64()), pa.field("ids", pa.list_(ids.type)), ("sizes", pa.binary()), ("terms", pa.binary()), ("cuts", pa.binary()), ("positions", pa.binary())])
+            yield pa.RecordBatch.from_arrays([pa.array([first + number_here]), pa.array([ids.to_pylist()], fields.field("ids").type), *(pa.array([x], pa.binary()) for x in (sizes.tobytes(), b" ".join(terms), cuts.astype(np.int32).tobytes(), place[order].astype(np.int32).tobytes()))], schema=fields)
 
-    return docs.select(id_column, text_column).mapInArrow(run, f"ids array<{kind}>, sizes binary, terms binary, cuts binary, positions binary")
+    return docs.select(id_column, text_column).mapInArrow(run, f"segment bigint, ids array<{kind}>, sizes binary, terms binary, cuts binary, positions binary")
 
 
 class Items:
@@ -170,8 +173,8 @@ def near_hits(segment: Segment, items: Items, slop: int) -> np.ndarray:
     return np.unique(np.concatenate(pairs), axis=0)
 
 
-def search(index: DataFrame, items: list[tuple[str, str | None]], window: int = WINDOW, slop: int = 0, id_column: str = "doc_id") -> DataFrame:
-    """One row per indexed document: id, segment and row (its place), n_words, hits (arrays of start and end, in words, merged), items (names, sorted), near_items.
+def search(index: DataFrame, items: list[tuple[str, str | None]], window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """One row per indexed document: segment and row (its place), id, n_words, hits (arrays of start and end, in words, merged), items (names, sorted), near_items.
 
     near_items are those within ``slop`` places (proximity); with 0 they are left empty.
     """
@@ -185,7 +188,7 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], window: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = sent.value
         for batch in batches:
-            for ids, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            for number, ids, *rest in zip(*(c.to_pylist() for c in batch.columns)):
                 segment = Segment(*rest)
                 n = len(ids)
                 start, end, item = phrase_hits(segment, tests)
@@ -203,11 +206,11 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], window: int =
                 near: list[set[str]] = [set() for _ in range(n)]
                 for d, i in near_hits(segment, tests, slop).tolist() if slop else ():
                     near[d].add(tests.names[i])
-                fields = pa.schema([pa.field(id_column, batch.schema.field("ids").type.value_type), ("n_words", pa.int64()), ("hits", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([ids, segment.sizes, hits, [sorted(x) for x in names], [sorted(x) for x in near]], fields)], schema=fields)
+                fields = pa.schema([("segment", pa.int64()), ("row", pa.int32()), pa.field("id", batch.schema.field("ids").type.value_type), ("n_words", pa.int64()), ("hits", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([[number] * n, range(n), ids, segment.sizes, hits, [sorted(x) for x in names], [sorted(x) for x in near]], fields)], schema=fields)
 
-    schema = f"`{id_column}` {kind}, n_words bigint, hits array<array<int>>, items array<string>, near_items array<string>"
-    return index.select("ids", "sizes", "terms", "cuts", "positions").mapInArrow(run, schema)
+    schema = f"segment bigint, row int, id {kind}, n_words bigint, hits array<array<int>>, items array<string>, near_items array<string>"
+    return index.select("segment", "ids", "sizes", "terms", "cuts", "positions").mapInArrow(run, schema)
 
 
 def blocks_of(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> list[list[tuple[str, str | None]]]:
@@ -236,24 +239,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     out = None
     blocks = blocks_of(benchmark, item_column)
     for block in blocks:
-        found = search(index, block, window, slop, id_column)
-        out = found if out is None else _merged(stored(out), stored(found), id_column)
+        found = search(index, block, window, slop)
+        out = found if out is None else _merged(stored(out), stored(found))
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda acc, s: acc + s[1] - s[0])
-    out = out.select(id_column, "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), "items", "near_items")
+    out = out.select(F.col("id").alias(id_column), "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), "items", "near_items")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
 
 
-def _merged(a: DataFrame, b: DataFrame, id_column: str) -> DataFrame:
-    """Results of two blocks of test items over the same documents.  Rows of one id with as many words are told apart no further: they merge."""
-    keys = [id_column, "n_words"]
-    rows = a.union(b).groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"), *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near_items")], (F.count(F.lit(1)) / 2).cast("int").alias("n"))
-    start = F.array().cast("array<array<int>>")
+def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Results of two blocks of test items over the same documents, which meet by their place in the index."""
+    union = lambda c: F.array_sort(F.array_union(f"a.{c}", f"b.{c}")).alias(c)
     joined = F.aggregate(
-        "hits",
-        start,
+        F.array_sort(F.concat("a.hits", "b.hits")),
+        F.array().cast("array<array<int>>"),
         lambda acc, s: F.when((F.size(acc) > 0) & (s[0] <= F.element_at(acc, -1)[1]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.array(F.element_at(acc, -1)[0], F.greatest(F.element_at(acc, -1)[1], s[1]))))).otherwise(F.concat(acc, F.array(s))),
     )
-    return rows.withColumn("hits", joined).withColumn("copy", F.explode(F.sequence(F.lit(1), "n"))).select(id_column, "n_words", "hits", "items", "near_items")
+    return a.alias("a").join(b.alias("b"), ["segment", "row"]).select("segment", "row", "a.id", "a.n_words", joined.alias("hits"), union("items"), union("near_items"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:

@@ -226,6 +226,14 @@ def test_decontamination(spark):
     decontaminate.BLOCK_BYTES = 16 << 20
 
 
+def test_blocks_of_test_items_tell_rows_of_one_id_apart(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1)  # a block for each item
+    df = spark.createDataFrame([(1, "one two three"), (1, "four five six"), (None, "one two three"), (1, "one two three")], "doc_id int, text string")
+    bench = spark.createDataFrame([(1, "one two"), (2, "two three"), (3, "six"), (3, "six")], "item_id int, text string")
+    got = sorted((str(r.doc_id), r.n_hit, r["items"]) for r in decontaminate.contamination(df, bench).collect())
+    assert got == sorted([("1", 3, ["1", "2"]), ("1", 1, ["3"]), ("None", 3, ["1", "2"]), ("1", 3, ["1", "2"])])
+
+
 def test_proximity(spark):
     item = [(1, "one two three four five six seven eight nine ten eleven twelve thirteen")]
     near = "one two three four extra five six seven eight nine ten eleven twelve thirteen"
