@@ -2,9 +2,12 @@
 
 Two zstandard dictionaries are made from labelled text, one of good and one of bad
 rows.  A text is compressed with either; the difference of the two sizes, divided
-by the size without a dictionary, says which kind it is like.  A logistic curve
-over that difference and the plain compression ratio, fitted on labelled rows that
-the dictionaries have not seen, makes it a calibrated score.
+by the size without a dictionary, says which kind it is like.  The whole text goes
+through in consecutive pieces, each compressed by itself: in one long stream the
+text itself soon takes the dictionary's place, and one bad part would vanish.  A
+logistic curve over the difference (in all, and of the pieces that are the most
+like either kind) and compression ratios, fitted on labelled rows that the
+dictionaries have not seen, makes it a calibrated score.
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ from pyspark.sql import functions as F
 from jobloom.llm.common import batch_of, ship, text_blocks
 
 LEVEL = 3
+#: Bytes of a piece of text, of a row's slice in a dictionary, and of a dictionary; chosen on rows of the training fold.
+PIECE, SLICE, DICTIONARY = 2048, 1000, 448 << 10
+FEATURES = 8
 
 
 def _tuned(dictionary: zstandard.ZstdCompressionDict | None) -> zstandard.ZstdCompressor:
@@ -50,13 +56,18 @@ class Model:
 
 
 def features(texts: list[str], compressors: tuple[zstandard.ZstdCompressor, ...]) -> np.ndarray:
-    """Normalised size differences, and what the text is like to a plain compressor; all from compressed sizes."""
+    """Normalised size differences over all pieces of a text, and what it is like to a plain compressor; all from compressed sizes.  Pieces of one text are of like size."""
     good, bad, plain = compressors
-    out = np.zeros((len(texts), 4))
+    out = np.zeros((len(texts), FEATURES))
     for i, text in enumerate(texts):
         data = text.encode()
-        g, b, p = len(good.compress(data)), len(bad.compress(data)), len(plain.compress(data))
-        out[i] = (b - g) / p, g / p, p / (len(data) + 16), np.log1p(len(data))
+        size = len(data)
+        step = max(1, -(-size // max(1, -(-size // PIECE))))
+        pieces = [data[at : at + step] for at in range(0, max(1, size), step)]
+        g, b, p = np.array([(len(good.compress(x)), len(bad.compress(x)), len(plain.compress(x))) for x in pieces], float).T
+        difference, parts = (b.sum() - g.sum()) / p.sum(), (b - g) / p
+        whole = p[0] if len(pieces) == 1 else len(plain.compress(data))
+        out[i] = difference, parts.min(), parts.max(), g.sum() / p.sum(), p.sum() / (size + 16), whole / (size + 16), np.log1p(size), difference * np.log1p(size)
     return out
 
 
@@ -75,8 +86,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _packed(texts: list[str], size: int, piece: int = 2000) -> bytes:
-    """Pieces of many texts, up to ``size`` bytes in all: a raw-content dictionary."""
+def _packed(texts: list[str], size: int, piece: int = SLICE) -> bytes:
+    """Slices of many texts, up to ``size`` bytes in all: a raw-content dictionary."""
     out, total = [], 0
     for text in texts:
         data = text.encode()
@@ -88,12 +99,12 @@ def _packed(texts: list[str], size: int, piece: int = 2000) -> bytes:
     return b"\n".join(out)
 
 
-def fit(rows: list[tuple[str, int]], dictionary_size: int = 112 << 10) -> Model:
+def fit(rows: list[tuple[str, int]], dictionary_size: int = DICTIONARY) -> Model:
     """rows: texts with labels 0 or 1, in an order that doesn't depend on the label.  One third makes the dictionaries, the rest the calibration."""
     rows = [(text or "", int(y)) for text, y in rows if y is not None]
     third = len(rows) // 3
     kinds = [[t for t, y in rows[:third] if y == k] for k in (1, 0)]
-    model = Model(_packed(kinds[0], dictionary_size), _packed(kinds[1], dictionary_size), [0.0] * 5, [0.0] * 4, [1.0] * 4)
+    model = Model(_packed(kinds[0], dictionary_size), _packed(kinds[1], dictionary_size), [0.0] * (FEATURES + 1), [0.0] * FEATURES, [1.0] * FEATURES)
     rest = rows[third:] or rows
     if len({y for _, y in rest}) < 2:  # one label or none: it is all that can be said
         model.weights[0] = 1.0 if rest and rest[0][1] else -1.0 if rest else 0.0

@@ -152,9 +152,19 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
 
 
+def test_quality_hears_a_bad_part_of_a_long_text():
+    rng = random.Random(5)
+    speak = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    calm = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    loud = [w.upper() + "!!" for w in calm]
+    model = quality.fit([(speak(loud if i % 3 == 0 else calm, rng.randint(20, 400)), int(i % 3 != 0)) for i in rng.sample(range(900), 900)])
+    texts = [speak(calm, 30_000), speak(loud, 30_000), speak(calm, 30), speak(loud, 30)]
+    assert (model.score(quality.features(texts, model.compressors())) >= 0.5).tolist() == [True, False, True, False]
+
+
 def test_quality_without_labels():
-    assert quality.fit([]).score(np.zeros((1, 4)))[0] == 0.5
-    assert quality.fit([("x", 1)] * 3).score(np.zeros((1, 4)))[0] > 0.5
+    assert quality.fit([]).score(np.zeros((1, quality.FEATURES)))[0] == 0.5
+    assert quality.fit([("x", 1)] * 3).score(np.zeros((1, quality.FEATURES)))[0] > 0.5
 
 
 def _entropy(s):
