@@ -94,19 +94,40 @@ def _components(pairs: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def settled(store: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
+    """(seq) of the batch rows that are duplicates whatever happens to other links, found by partial aggregates.
+
+    Of a stored link: all rows if its description is filled, else those after the
+    first that fills it, since every earlier one updates it.  Of a new link: the
+    rows before the first whose hash no filled stored row holds, since filled rows
+    never change.  Duplicates leave no trace, so the others can go on without them.
+    """
+    filled = ~is_blank(F.col("job_description"))
+    known = store.select("url", filled.alias("__filled"))
+    held = store.filter(filled).select("content_hash").distinct().withColumn("__held", F.lit(True))
+    rows = stored(batch.select(F.col(seq).alias("s"), "url", "content_hash", filled.alias("fills")).join(known, "url", "left").join(held, "content_hash", "left"))
+    bounds = rows.groupBy("url").agg(F.min(F.when(F.col("fills"), F.col("s"))).alias("fill"), F.min(F.when(F.col("__held").isNull(), F.col("s"))).alias("free"))
+    after, before = F.coalesce(F.col("s") > F.col("fill"), F.lit(False)), F.coalesce(F.col("s") < F.col("free"), F.lit(True))
+    sure = F.when(F.col("__filled").isNull(), before).when(F.col("__filled"), True).otherwise(after)
+    return rows.join(stored(bounds), "url").filter(sure).select(F.col("s").alias(seq))
+
+
 def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
     """(store afterwards, outcomes (seq, outcome)) of saving ``batch`` in order.
 
-    Rows whose group of shared keys holds no blank description can only be
-    inserted or dropped, and take the rounds.  The others can rewrite stored
-    descriptions and hashes, which makes them depend on each other's order; each
-    such group (rows linked by url or hash) is folded in one task.  Stored rows
-    that no batch row touches are passed on as they are.
+    Rows that are ``settled`` go first.  Of the others, those whose group of shared
+    keys holds no blank description can only be inserted or dropped, and take the
+    rounds.  The rest can rewrite stored descriptions and hashes, which makes
+    them depend on each other's order; each such group (rows linked by url or
+    hash) is folded in one task.  Stored rows that no batch row touches are passed
+    on as they are.
     """
     ship(batch.sparkSession)
     columns = [c for c in batch.columns if c != seq]
     old = stored(store.select(*columns))
-    new = stored(batch)
+    came = stored(batch)
+    sure = stored(settled(old, came, seq))
+    new = stored(came.join(sure, seq, "left_anti").select(*came.columns))
     touched = stored(old.join(new.select("url").distinct(), "url", "left_semi").union(old.join(new.select("content_hash").distinct(), "content_hash", "left_semi").select(*old.columns)).distinct())
     nodes = stored(touched.withColumn(seq, F.lit(None).cast("bigint")).select(*columns, seq).union(new.select(*columns, F.col(seq).cast("bigint"))).withColumn("node", F.xxhash64("url", F.coalesce(F.col(seq), F.lit(-1)))))
     pairs = stored(nodes.select("node", F.concat(F.lit("u"), "url").alias("key")).union(nodes.select("node", F.concat(F.lit("h"), "content_hash").alias("key"))))
@@ -133,4 +154,4 @@ def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFr
     changed = folded.filter("outcome IS NULL").select(*columns)
     kept = old.join(touched.join(named.join(loose, "root", "left_semi").filter(F.col(seq).isNull()).select("url"), "url", "left_semi").select("url"), "url", "left_anti")
     result = kept.select(*columns).union(changed).union(inserted.select(*columns))
-    return result, plain_out.union(folded.filter("outcome IS NOT NULL").select(F.col("__seq").cast("bigint").alias(seq), "outcome"))
+    return result, sure.select(F.col(seq).cast("bigint").alias(seq), F.lit("duplicate").alias("outcome")).union(plain_out).union(folded.filter("outcome IS NOT NULL").select(F.col("__seq").cast("bigint").alias(seq), "outcome"))

@@ -17,15 +17,27 @@ def due_sources(sources: DataFrame, now: Column) -> DataFrame:
     return sources.filter(F.coalesce("enabled", F.lit(False)) & is_due(F.col("last_run_at"), F.col("schedule_hours"), now))
 
 
-def admission(requests: DataFrame, per_minute: int | None, by: str, at: str, seq: str) -> DataFrame:
-    """Second at which a limiter of fixed gaps admits each request; ``at`` in seconds.  No limit without a positive rate."""
+def admission(requests: DataFrame, per_minute: int | None, by: str, at: str, seq: str, block_seconds: int = 3600) -> DataFrame:
+    """Second at which a limiter of fixed gaps admits each request; ``at`` in seconds.  No limit without a positive rate.
+
+    Request i of a key is admitted at i gaps plus the most that any request up to it
+    lags behind its own gaps.  Ranks and maxima are taken within blocks of time, so
+    that a key's requests spread over tasks; one row per block carries them on.
+    """
     if not per_minute or per_minute <= 0:
         return requests.withColumn("admitted", F.col(at).cast("double"))
     gap = F.lit(60.0 / per_minute)
-    order = Window.partitionBy(by).orderBy(at, seq)
-    i = F.row_number().over(order) - 1
-    ahead = requests.withColumn("__i", i).withColumn("__free", F.col(at).cast("double") - F.col("__i") * gap)
-    return ahead.withColumn("admitted", F.max("__free").over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.col("__i") * gap).drop("__i", "__free")
+    rows = requests.withColumn("__block", F.floor(F.col(at) / block_seconds))
+    within = Window.partitionBy(by, "__block").orderBy(at, seq)
+    rows = rows.withColumn("__i", F.row_number().over(within) - 1)
+    rows = rows.withColumn("__lag", F.max(F.col(at).cast("double") - F.col("__i") * gap).over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    blocks = rows.groupBy(F.col(by).alias("__by"), F.col("__block").alias("__at")).agg(F.count(F.lit(1)).alias("__n"), F.max("__lag").alias("__peak"))
+    earlier = Window.partitionBy("__by").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    blocks = blocks.withColumn("__before", F.max(F.col("__peak") - F.col("__first") * gap).over(earlier))
+    joined = rows.join(blocks, F.col(by).eqNullSafe(F.col("__by")) & F.col("__block").eqNullSafe(F.col("__at")))
+    admitted = (F.col("__first") + F.col("__i")) * gap + F.greatest("__before", F.col("__lag") - F.col("__first") * gap)
+    return joined.select(*requests.columns, admitted.alias("admitted"))
 
 
 def run_stats(companies: DataFrame, fetched: DataFrame, outcomes: DataFrame, errors: DataFrame, by: str = "source_id") -> DataFrame:

@@ -100,6 +100,27 @@ def test_upsert_equals_the_sequential_rule(spark, seed):
     assert sorted((r.seq, r.outcome) for r in got.collect()) == sorted(outcomes)
 
 
+def test_settled_rows_skip_the_fold(spark):
+    store = batch_of(spark, [("a", "text", "h1"), ("b", None, "h2")], seq=False)
+    batch = batch_of(spark, [("a", None, "h9"), ("b", None, "h3"), ("b", "text", "h4"), ("b", "more", "h5"), ("c", None, "h1"), ("c", None, "h6"), ("c", None, "h1"), ("d", None, "h1")])
+    assert sorted(r.seq for r in dedup.settled(store, batch).collect()) == [0, 3, 4, 7]
+    outcomes = {r.seq: r.outcome for r in dedup.upsert(store, batch)[1].collect()}
+    assert outcomes == {0: "duplicate", 1: "updated", 2: "updated", 3: "duplicate", 4: "duplicate", 5: "inserted", 6: "updated", 7: "duplicate"}
+
+
+def test_admission_equals_the_recurrence(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.randint(0, 400), i) for i, k in enumerate(rng.choices([None, "x", "y"], [1, 2, 8], k=300))]
+    free, want = {}, {}
+    for k, a, i in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        want[i] = max(a, free.get(k, a))
+        free[k] = want[i] + 1.5
+    df = spark.createDataFrame(rows, "k string, a bigint, i bigint")
+    for seconds in (1, 50, 3600):
+        got = {r.i: r.admitted for r in schedule.admission(df, 40, "k", "a", "i", seconds).collect()}
+        assert got == pytest.approx(want)
+
+
 def test_changes_of_tables(spark):
     t = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, x string, y int")
     c = spark.createDataFrame([(2, "B", 9), (3, "C", 9)], "k int, x string, y int")
