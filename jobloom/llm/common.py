@@ -26,6 +26,8 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 <
         if start < len(sizes):
             part = batch.slice(start)
             yield part, [x or "" for x in part.column(column).to_pylist()]
+        batch = part = None
+        pa.default_memory_pool().release_unused()  # a worker lives on; what a batch took must not stay with it
 
 
 def batch_of(source: pa.RecordBatch, keep: list[str], schema: pa.Schema, **columns: list) -> pa.RecordBatch:

@@ -121,8 +121,8 @@ def _extent(at_doc: np.ndarray, at_item: np.ndarray, bound: np.ndarray, step: in
     return out
 
 
-def phrase_hits(segment: Segment, items: Items, most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, item) of exact occurrences in the segment, runs of overlapping windows joined."""
+def phrase_hits(segment: Segment, items: Items, most: int = 250_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, item) of exact occurrences in the segment, runs of overlapping windows joined.  Candidates are followed ``most`` at a time, or one word's."""
     local = segment.numbers(items.vocabulary)[items.terms]
     counts = segment.counts(local)
     forward = np.full(segment.end + 1, -2, np.int64)
@@ -188,7 +188,8 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], window: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = sent.value
         for batch in batches:
-            for number, ids, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            for i in range(batch.num_rows):  # one segment at a time: a batch holds many megabytes of them
+                number, ids, *rest = (c[i].as_py() for c in batch.columns)
                 segment = Segment(*rest)
                 n = len(ids)
                 start, end, item = phrase_hits(segment, tests)
@@ -201,11 +202,11 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], window: int =
                     else:
                         spans.append([a, b])
                 names: list[set[str]] = [set() for _ in range(n)]
-                for d, i in set(zip(doc.tolist(), item.tolist())):
-                    names[d].add(tests.names[i])
+                for d, t in set(zip(doc.tolist(), item.tolist())):
+                    names[d].add(tests.names[t])
                 near: list[set[str]] = [set() for _ in range(n)]
-                for d, i in near_hits(segment, tests, slop).tolist() if slop else ():
-                    near[d].add(tests.names[i])
+                for d, t in near_hits(segment, tests, slop).tolist() if slop else ():
+                    near[d].add(tests.names[t])
                 fields = pa.schema([("segment", pa.int64()), ("row", pa.int32()), pa.field("id", batch.schema.field("ids").type.value_type), ("n_words", pa.int64()), ("hits", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([[number] * n, range(n), ids, segment.sizes, hits, [sorted(x) for x in names], [sorted(x) for x in near]], fields)], schema=fields)
 
