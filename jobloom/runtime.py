@@ -14,13 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
+#: Bytes of an Arrow batch for Python workers, where the session names none.  Spark's default of 64 MiB, held in buffers that grow by doubling, is much beside a small executor's heap.
+BATCH_BYTES = 8 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that workers import it wherever they run."""
+    """Sends this package to the executors once per application, so that workers import it wherever they run.
+
+    Also bounds the session's Arrow batches, unless it sets a bound itself.
+    """
+    if (bound := "spark.sql.execution.arrow.maxBytesPerBatch") not in spark.conf.getAll:
+        spark.conf.set(bound, BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from jobloom import catalog
+from jobloom import catalog, runtime
 from jobloom.functions import anchors, postings, text, urls
 from jobloom.operators import dedup, dml, maintain, schedule
 from jobloom.plans import flows
@@ -226,3 +226,21 @@ def test_sql(spark, name):
     found = catalog.queries()[name](spark, SF)
     columns = sorted(found.columns)
     assert sorted(map(str, (tuple(r[c] for c in columns) for r in found.collect()))) == sorted(map(str, con.sql(f"SELECT {', '.join(columns)} FROM ({catalog.oracle_sql()[name]})").fetchall()))
+
+
+def test_arrow_batches_are_bounded(spark):
+    runtime.ship(spark)
+    rows = spark.range(4000).coalesce(1).select(F.repeat(F.lit("x"), 8192).alias("text"))
+
+    def run(batches):
+        for b in batches:
+            yield b.from_pydict({"rows": [b.num_rows], "bytes": [sum(len(x) for x in b.column(0).to_pylist())]})
+
+    got = rows.mapInArrow(run, "rows bigint, bytes bigint").collect()
+    assert sum(r.rows for r in got) == 4000
+    assert max(r.bytes for r in got) <= runtime.BATCH_BYTES + 8192
+
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    runtime.ship(own)
+    assert own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
