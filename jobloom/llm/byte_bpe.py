@@ -22,7 +22,9 @@ from jobloom.llm.common import batch_of, ship, text_blocks
 from jobloom.llm.pretoken import Words
 
 #: Words remembered by a worker; beyond it the memory starts anew.
-MOST_WORDS = 250_000
+MOST_WORDS = 100_000
+#: Bytes of text that a worker encodes at once; the splitter's tables take many bytes for each.
+BLOCK_BYTES = 256 << 10
 
 
 def byte_table() -> dict[str, int]:
@@ -116,7 +118,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, offsets: bool = F
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
-        for part, texts in text_blocks(batches, text_column):
+        for part, texts in text_blocks(batches, text_column, BLOCK_BYTES):
             ids = bpe.encode(texts)
             columns = {"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": [bpe.decode(x) for x in ids]}
             fields = [part.schema.field(id_column), pa.field("n_tokens", pa.int64()), pa.field("ids", pa.binary()), pa.field("decoded", pa.binary())]
