@@ -5,7 +5,8 @@ letters and digits as one space) and mapped to identifiers of known licence
 sentences.  The identifiers in reading order are matched against ordered rules: a
 rule holds if its identifiers stand in that order; other known ones may stand
 between.  Sentences are cut twice, once at line ends too and once with lines
-joined, since licence texts come wrapped and as single lines.
+joined, since licence texts come wrapped and as single lines; in a comment, lines
+of marks alone part paragraphs as empty lines do.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Known sentences of public licences, in normal form.
+#: Known sentences of public licences, in normal form and as ``_pieces`` cuts them ("free software: you can", "v. 2.0"); whole too, for texts without the cut's sign.
 SENTENCES = {
     "apache_by_name": ["licensed under the apache license version 2 0", "licensed under the apache license 2 0", "this project is licensed under the apache license version 2 0"],
     "apache_header": ["licensed under the apache license version 2 0 the license"],
@@ -30,9 +31,11 @@ SENTENCES = {
     "bsd_endorse": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
     "isc_grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
     "gpl3_by_name": ["this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 3", "this program is licensed under the gnu general public license version 3"],
-    "gpl_free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
-    "gpl_hope": ["this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
-    "mpl_subject": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
+    "gpl_program": ["this program is free software"],
+    "gpl_free": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "gpl_useful": ["this program is distributed in the hope that it will be useful but without any warranty"],
+    "gpl_hope": ["without even the implied warranty of merchantability or fitness for a particular purpose", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
+    "mpl_subject": ["this source code form is subject to the terms of the mozilla public license v", "this source code form is subject to the terms of the mozilla public license v 2 0"],
     "mpl_obtain": ["if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"],
     "cc_by": ["licensed under cc by 4 0", "this work is licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"],
     "cc_by_sa": ["licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"],
@@ -65,6 +68,10 @@ LONGEST = 2 * max(len(x) for xs in SENTENCES.values() for x in xs)
 HINTS = ("licen", "permi", "redistribut", "neither the name", "notice", "warrant", "free software", "mpl", "unencumbered")
 
 
+#: What is left of an empty line in a comment.
+_BARE_MARKS = "\\n[ \\t\\r]*[#*/;%-]+[ \\t\\r]*(?=\\n)"
+
+
 def _pieces(text: Column) -> Column:
     return F.split(F.regexp_replace(text, "[.;:!?][ \\t\\r\\n]+", "\n"), "\n")
 
@@ -93,7 +100,7 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     able = docs.select(F.col(id_column), text.alias("__text")).withColumn("__able", F.lower("__text").rlike("|".join(HINTS)))
     none = F.array().cast("array<string>")
     lines = F.when(F.col("__able"), _identifiers(_pieces(F.col("__text")))).otherwise(none)
-    whole = F.when(F.col("__able"), _identifiers(_pieces(F.regexp_replace(F.regexp_replace("__text", "\\n[ \\t\\r]*\\n", ". \n"), "[ \\t\\r]*\\n[ \\t\\r]*(?:[#*/]+[ \\t]+)?", " ")))).otherwise(none)
+    whole = F.when(F.col("__able"), _identifiers(_pieces(F.regexp_replace(F.regexp_replace(F.regexp_replace("__text", _BARE_MARKS, "\n"), "\\n[ \\t\\r]*\\n", ". \n"), "[ \\t\\r]*\\n[ \\t\\r]*(?:[#*/]+[ \\t]+)?", " ")))).otherwise(none)
     found = able.withColumn("__lines", lines).withColumn("__whole", whole)
     found = found.withColumn("__ids", F.when(F.size("__whole") > F.size("__lines"), F.col("__whole")).otherwise(F.col("__lines")))
     found = found.withColumn("__first", F.concat(F.lit(","), F.array_join("__lines", ","), F.lit(","))).withColumn("__second", F.concat(F.lit(","), F.array_join("__whole", ","), F.lit(",")))

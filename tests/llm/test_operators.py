@@ -275,6 +275,37 @@ def test_license_rules(spark):
     assert got == {1: "MIT", 2: "", 3: "Apache-2.0,CC-BY-NC-4.0", 4: ""}
 
 
+#: Headers as their licences word them, by rule.
+HEADERS = {
+    "apache_by_name": ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    "apache_header,apache_comply": ("Apache-2.0", "Copyright 2020 A. Person\n\nLicensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0"),
+    "apache_comply,apache_as_is": ("Apache-2.0", "you may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing permissions and\nlimitations under the License."),
+    "bsd_grant,bsd_source,bsd_binary": ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution."),
+    "bsd_grant,bsd_source,bsd_binary,bsd_endorse": ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission."),
+    "cc_by": ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "cc_by_nc": ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "cc_by_sa": ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "gpl3_by_name": ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    "gpl_free,gpl_hope": ("GPL-3.0", "Copyright (C) 2020  A. Person\n\nThis program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details."),
+    "isc_grant": ("ISC", "Copyright (c) 2020 A. Person\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."),
+    "mit_by_name": ("MIT", "This project is licensed under the MIT License."),
+    "mit_grant,mit_notice,mit_as_is": ("MIT", "MIT License\n\nCopyright (c) 2020 A. Person\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE\nAUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."),
+    "mpl_subject,mpl_obtain": ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "unlicense": ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\ndistribute this software."),
+}
+
+
+def test_every_licence_rule_on_its_own_words(spark):
+    assert set(HEADERS) == {",".join(ids) for _, ids in license_scan.RULES}
+    rows = []
+    for rule, (_, text) in HEADERS.items():
+        block = "/*\n" + "\n".join(f" * {x}".rstrip() for x in text.split("\n")) + "\n */\nint main() { return 0; }"
+        rows += [(rule, text), (rule, block), (rule, block.replace("\n", "\r\n")), (rule, "\n".join(f"# {x}".rstrip() for x in text.split("\n"))), (rule, text.replace("free software:", "free software;"))]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert [(r.doc_id, r.licenses) for r in got if r.licenses != HEADERS[r.doc_id][0]] == [] and len(got) == len(rows)
+    assert license_scan.scan_licenses(spark.createDataFrame([(1, HEADERS["gpl_free,gpl_hope"][1].replace("General", "Lesser General"))], "doc_id int, text string")).first().licenses == ""
+
+
 def _brute_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
