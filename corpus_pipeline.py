@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import byte_bpe, decontaminate, line_dedup, quality, simhash
+from jobloom.llm import byte_bpe, decontaminate, line_dedup, near_copies, quality
 from jobloom.llm.common import stored, table
 
 #: SQL can't express compressed sizes, XXH64 or byte-level BPE: a test holds run() against a brute-force version.
@@ -30,8 +30,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that with the smallest id."""
-    return simhash.keep_one(docs).select(*docs.columns)
+    """One document of each group of near duplicates stays: that with the smallest id.  Linked are fingerprints within 2 bits, and texts that share 0.8 of their 5-word shingles."""
+    return near_copies.keep_one(docs).select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

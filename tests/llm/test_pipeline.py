@@ -1,5 +1,7 @@
 """The pipeline against its stages in plain Python, and queries against their SQL."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +58,33 @@ def test_pipeline_by_hand(spark):
     assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, SF).collect()} == want
 
 
+def _similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := x.lower().split()) else set() for x in (a, b))
+    return len(a & b) / max(1, len(a | b))
+
+
+def test_no_two_texts_stay_that_share_their_shingles(spark):
+    rng = random.Random(3)
+    rows = []
+    for group in range(12):
+        words = [f"w{rng.randint(0, 3000)}" for _ in range(rng.choice([60, 200, 900]))]
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(3):  # a few words changed, or much of the text
+            changed = list(words)
+            for _ in range(rng.choice([1, len(words) // 60, len(words) // 12])):
+                changed[rng.randrange(len(words))] = "other"
+            rows.append((len(rows), " ".join(changed)))
+    label = list(range(len(rows)))
+    for i, (_, a) in enumerate(rows):
+        for j, (_, b) in enumerate(rows[:i]):
+            if label[i] != label[j] and (_similarity(a, b) >= 0.8 or (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() <= 2):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    got = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
+    assert got == set(label) and len(rows) // 4 < len(got) < len(rows)
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("false")
     for name, stage in corpus_pipeline.STAGES[:-1]:
