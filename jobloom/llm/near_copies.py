@@ -140,13 +140,23 @@ def similar_links(docs: DataFrame, found: DataFrame, similarity: float = 0.8, sh
 def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, width: int = 3, radius: int = 2, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when texts are linked by fingerprints, as in ``simhash.near_duplicates``, and by shingles as well.
 
-    Of each component the rows with the least id stay (of repeated rows with that id, all).
+    Of each component one row stays: the least id, null last, then the least key of
+    the text.  Of rows that agree in both, which are copies, any one stays.
     """
     found = stored(sketches(docs, width, seed, shingle, id_column, text_column))
     prints = stored(found.select("fp").distinct())
     edges = stored(links(prints, radius).union(similar_links(docs, found, similarity, shingle, seed, text_column)).distinct())
     labels = connected(edges).withColumnRenamed("node", "fp")
-    named = stored(found.select(F.col("__id").alias("id"), "key", "fp").join(labels, "fp", "left").select("id", "key", F.coalesce("root", "fp").alias("root")))
-    best = stored(named.groupBy("root").agg(F.min("id").alias("best")))
-    gone = stored(named.join(best, "root").filter("id <> best").select(F.col("id").alias(id_column)).distinct())
-    return docs.join(gone, id_column, "left_anti")
+    rows = found.groupBy("__id", "key", "fp").agg(F.count(F.lit(1)).alias("n"))
+    rows = stored(rows.join(labels, "fp", "left").select("__id", F.col("key").alias("__key"), "n", F.coalesce("root", "fp").alias("root")))
+    order = F.struct(F.col("__id").isNull(), "__id", "__key")
+    best = stored(rows.groupBy("root").agg(F.min(order).alias("best")))
+    judged = rows.join(best, "root").select("__id", "__key", "n", (order == F.col("best")).alias("first"))
+    gone, repeated = stored(judged.filter("NOT first")), stored(judged.filter("first AND n > 1"))
+    keyed = docs.withColumn("__key", text_key(text_column)).withColumn("__id", F.col(id_column))
+    meets = lambda a, b: a["__id"].eqNullSafe(b["__id"]) & (a["__key"] == b["__key"])
+    keyed = keyed.join(gone, meets(keyed, gone), "left_anti")
+    if repeated.limit(1).count():
+        copies = keyed.join(repeated, meets(keyed, repeated), "left_semi").dropDuplicates(["__id", "__key"])
+        keyed = keyed.join(repeated, meets(keyed, repeated), "left_anti").unionByName(copies)
+    return keyed.drop("__id", "__key")

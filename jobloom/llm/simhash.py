@@ -273,10 +273,3 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, seed: int
     roots = stored(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.sum("n").alias("component_size")))
     classes = stored(named.select("fp", "root").join(roots, "root").select("fp", "component_id", "component_size"))
     return prints.join(classes, "fp").select(id_column, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size")
-
-
-def keep_one(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that stay: those with the least id of their component (of repeated rows with that id, all)."""
-    found = near_duplicates(docs, id_column=id_column, **options)
-    gone = stored(found.filter(F.col(id_column) != F.col("component_id")).select(id_column).distinct())
-    return docs.join(gone, id_column, "left_anti")

@@ -85,6 +85,14 @@ def test_no_two_texts_stay_that_share_their_shingles(spark):
     assert got == set(label) and len(rows) // 4 < len(got) < len(rows)
 
 
+def test_one_row_of_each_group_of_copies_stays(spark):
+    one, two = "one two three four " * 20, "five six seven eight nine " * 20
+    rows = [(1, one, "x"), (1, one, "y"), (None, one, "x"), (2, two, "x"), (1, "a text of its own", "x"), (1, two, "x"), (None, "no id here", "x"), (None, "no id here", "x"), (None, "nor in this one at all", "x")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string").repartition(3)
+    got = sorted((str(r.doc_id), r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect())
+    assert got == sorted([("1", one), ("1", two), ("1", "a text of its own"), ("None", "no id here"), ("None", "nor in this one at all")])
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("false")
     for name, stage in corpus_pipeline.STAGES[:-1]:
