@@ -258,8 +258,10 @@ def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.alias("a").join(b.alias("b"), ["segment", "row"]).select("segment", "row", "a.id", "a.n_words", joined.alias("hits"), union("items"), union("near_items"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated.  Of rows with one id, all go if one is."""
-    found = contamination(docs, benchmark, id_column=id_column, **options)
-    gone = stored(found.filter("contaminated").select(id_column).distinct())
-    return docs.join(gone, id_column, "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated.  Each text is judged for itself, whatever ids its rows have, null or shared."""
+    key = F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))
+    keyed = docs.select(F.unhex(key).alias("__key"), F.col(text_column).alias("__text"))
+    found = contamination(keyed, benchmark, id_column="__key", text_column="__text", **options)
+    gone = stored(found.filter("contaminated").select("__key").distinct())
+    return docs.withColumn("__key", F.unhex(key)).join(gone, "__key", "left_anti").drop("__key")

@@ -93,6 +93,14 @@ def test_one_row_of_each_group_of_copies_stays(spark):
     assert got == sorted([("1", one), ("1", two), ("1", "a text of its own"), ("None", "no id here"), ("None", "nor in this one at all")])
 
 
+def test_decontamination_judges_rows_and_not_ids(spark):
+    bench = spark.createDataFrame([(1, "one two three four")], "item_id int, text string")
+    rows = [(None, "One two three four!"), (None, "clean"), (1, "one two three four"), (1, "clean too"), (2, None), (None, None)]
+    out = decontaminate.drop_contaminated(spark.createDataFrame(rows, "doc_id int, text string"), bench)
+    assert out.columns == ["doc_id", "text"]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [(None, "clean"), (1, "clean too"), (2, None), (None, None)]))
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("false")
     for name, stage in corpus_pipeline.STAGES[:-1]:
