@@ -27,39 +27,78 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
-#: Bits per character from which a window of a class counts; words of letters of one case are no candidates.
-THRESHOLDS = {"hex": 3.1, "mixed": 3.9}
-#: Allow-list: what looks random and is none. Matched against the whole candidate, or the sequences that a window may run through.
-ALLOWED = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|.*EXAMPLE.*|[A-Za-z]+(?:[-_/=][A-Za-z]+)*|[0-9/_=-]+")
+#: Bits per character from which a window of a class counts.  "mixed" has both cases and digits; the others have fewer characters to draw from.
+THRESHOLDS = {"hex": 3.1, "lower": 3.5, "upper": 3.5, "letters": 3.6, "mixed": 3.9}
+#: Letters of each case that a window of letters alone needs: random ones have about ten, words joined by capitals few and no two capitals together.
+CASES = 5
+#: Allow-list: what looks random and is none. Matched against the whole candidate, or a part of it, or the sequences that a window may run through.
+ALLOWED = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9/_=-]+")
+#: Samples from manuals; a candidate up to the longest one is silenced whole, in a longer one the windows that touch the word.
+SAMPLE, LONGEST_SAMPLE = re.compile("EXAMPLE"), 40
+PART = re.compile(r"[A-Za-z0-9]{20,}")
 RUNS = ("0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
 
 _SUMS = [0.0] + [c * log2(c) for c in range(1, WINDOW + 1)]
 
 
+def _kind(part: str) -> str | None:
+    """The class of a candidate or part; None for letters of one case, which are words."""
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", part):
+        return "hex"
+    lower, upper, digit = (re.search(c, part) for c in ("[a-z]", "[A-Z]", "[0-9]"))
+    if lower and upper:
+        return "mixed" if digit else "letters"
+    return ("lower" if lower else "upper") if digit else None
+
+
 def entropy_spans(candidate: str) -> list[tuple[int, int]]:
-    """Merged spans of the windows whose entropy reaches the threshold of the candidate's class."""
+    """Merged spans of the windows whose entropy reaches the threshold of their class, in the candidate and in its parts of letters and digits."""
     if ALLOWED.fullmatch(candidate) or any(candidate in run for run in RUNS):
         return []
-    kind = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", candidate) else "mixed"
-    most = WINDOW * (log2(WINDOW) - THRESHOLDS[kind])  # of the sum of c log c
+    samples = [m.span() for m in SAMPLE.finditer(candidate)]
+    if samples and len(candidate) <= LONGEST_SAMPLE:
+        return []
+    found = []
+    parts = [m.span() for m in PART.finditer(candidate)]
+    kind = _kind(candidate)
+    if kind == "mixed" or (0, len(candidate)) in parts:
+        found += _windows(candidate, kind)
+    for a, b in parts:
+        if b - a < len(candidate):
+            found += [(a + x, a + y) for x, y in _windows(candidate[a:b], _kind(candidate[a:b]))]
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if any(a < y and x < b for x, y in samples):
+            continue
+        if spans and a <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
+        else:
+            spans.append((a, b))
+    return spans
+
+
+def _windows(part: str, kind: str | None) -> list[tuple[int, int]]:
+    """The windows of a candidate or part of it that reach the threshold of ``kind``."""
+    if kind is None:
+        return []
+    most = WINDOW * (log2(WINDOW) - THRESHOLDS[kind]) + 1e-9  # of the sum of c log c
     counts: dict[str, int] = {}
-    total, spans = 0.0, []
-    for i, ch in enumerate(candidate):
+    total, found = 0.0, []
+    for i, ch in enumerate(part):
         c = counts.get(ch, 0)
         counts[ch] = c + 1
         total += _SUMS[c + 1] - _SUMS[c] if c < WINDOW else 0.0
         if i >= WINDOW:
-            old = candidate[i - WINDOW]
+            old = part[i - WINDOW]
             c = counts[old]
             counts[old] = c - 1
             total -= _SUMS[min(c, WINDOW)] - _SUMS[c - 1]
         if i >= WINDOW - 1 and total <= most:
             begin = i - WINDOW + 1
-            if spans and begin <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], i + 1)
-            else:
-                spans.append((begin, i + 1))
-    return spans
+            if kind == "letters" and not (CASES <= sum(x.isupper() for x in part[begin : i + 1]) <= WINDOW - CASES and re.search("[A-Z]{2}", part[begin : i + 1])):
+                continue
+            found.append((begin, i + 1))
+    return found
 
 
 def scan(text: str, entropy: bool = True) -> list[tuple[int, int, str]]:

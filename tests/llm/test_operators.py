@@ -190,6 +190,18 @@ def test_secret_scan():
     assert secret_scan.entropy_spans("123e4567-e89b-12d3-a456-426614174000") == [] and secret_scan.entropy_spans("abcdefghijklmnopqrstuvwxyz") == []
 
 
+def test_random_tokens_of_every_alphabet_are_found():
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    rng = random.Random(8)
+    for letters, least in ((low + digits, 0.95), (up + "234567", 0.9), (low + up, 0.92), (low + up + digits, 0.75), (low + up + digits + "+/", 0.75)):
+        tokens = ["".join(rng.choice(letters) for _ in range(20)) for _ in range(1000)]
+        assert np.mean([bool(secret_scan.entropy_spans(x)) for x in tokens]) >= least, letters
+    token = "q7x2m9k4z8w1v5t3r6p0" * 2
+    assert secret_scan.entropy_spans(token + "/EXAMPLE") and secret_scan.entropy_spans("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
+    for words in ("internationalizationandlocalization", "src/main/java/org/apache/commons/lang", "getElementsByClassNameAndTagName", "2020-01-01/2021-02-03_04"):
+        assert secret_scan.entropy_spans(words) == [], words
+
+
 def test_line_dedup(spark):
     rows = [(i, "h", f"menu one\nbody {i}\n\nfooter" if i < 8 else f"body {i}") for i in range(20)] + [(99, "h", "menu one\nfooter")]
     df = spark.createDataFrame(rows * 2, "doc_id int, source string, text string")
