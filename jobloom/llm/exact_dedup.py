@@ -1,16 +1,18 @@
 """Exact deduplication by a Golomb-coded exchange of fingerprints.
 
 1. Each partition fingerprints its rows (64 bits of the SHA-256 of the normalised
-   text) and writes (part, row, id, length, fingerprint, hash); texts stay behind.
-2. Each partition sorts its distinct fingerprints and sends each owner (a range of
-   the fingerprint space) its share as Golomb-coded gaps, with a bit for those it
-   holds more than once itself.
+   text) and writes parts of them, each as one row: (part, ids, lengths, hashes).
+   A part is a row, so that no reader ever meets half of one, however the written
+   table is split; texts stay behind.
+2. Each part's distinct fingerprints are sorted, and each owner (a range of the
+   fingerprint space) is sent its share as Golomb-coded gaps, with a bit for those
+   that the part holds more than once itself.
 3. Owners decode the lists, find fingerprints that are held twice, and return to
-   each partition a bitmap over the list that it sent.
+   each part a bitmap over the list that it sent.
 4. Rows with a set bit are suspects.  Only their texts are shuffled, combined on
    the map side, and compared byte for byte.
 
-A fingerprint held by a third of all rows costs one entry per partition.
+A fingerprint held by a third of all rows costs one entry per part.
 """
 
 from __future__ import annotations
@@ -20,15 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from jobloom.llm.common import ship, stored, text_blocks
 
 DELETED = b"\t\n\x0b\x0c\r "
 #: Owners of ranges of fingerprints: at least these, and one more per so many rows.
 OWNERS, ROWS_PER_OWNER = 64, 2_000_000
+#: Rows of a part at most: a written part then has about 1.5 MB.
+PART_ROWS = 32_768
+#: Parts of a task have numbers of so many bits; with the rows of a part that leaves 24 bits for the task.
+PART_BITS = 24
+#: Bitmaps up to so many bytes are broadcast to the parts (one bit for each row of the corpus at most); beyond it parts and bitmaps, not texts, are joined by shuffling.
+BROADCAST_BYTES = 32 << 20
 #: Suspect ids up to this number (16 bytes each in a hash relation) are broadcast; beyond it they are joined by shuffling.
 BROADCAST_IDS = 500_000
 
@@ -76,38 +84,59 @@ def golomb_decode(data: bytes) -> np.ndarray:
 
 
 def _hashed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Parts: part (its number), ids, n (code points of each text) and sha (32 bytes of each), in the order read."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_blocks(batches, text_column):
-            hashes = [hashlib.sha256(normalised(x)).digest() for x in texts]
-            fields = pa.schema([part.schema.field("part"), part.schema.field("row"), pa.field("id", part.schema.field(id_column).type), ("n", pa.int64()), ("fp", pa.int64()), ("sha", pa.binary())])
-            yield pa.RecordBatch.from_arrays([part.column("part"), part.column("row"), part.column(id_column), pa.array(list(map(len, texts)), pa.int64()), pa.array(np.frombuffer(b"".join(x[:8] for x in hashes), ">i8").astype(np.int64)), pa.array(hashes, pa.binary())], schema=fields)
-
-    placed = docs.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"), id_column, text_column)
-    return placed.mapInArrow(run, f"part int, row bigint, id {kind}, n bigint, fp bigint, sha binary")
+        task = TaskContext.get()
+        number = (task.partitionId() if task else 0) << PART_BITS
+        ids, sizes, hashes = [], [], []
+
+        def part(of: pa.DataType) -> pa.RecordBatch:
+            schema = pa.schema([("part", pa.int64()), ("ids", pa.list_(of)), ("n", pa.binary()), ("sha", pa.binary())])
+            held = pa.concat_arrays(ids)
+            row = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held), pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()), pa.array([b"".join(hashes)], pa.binary())]
+            ids.clear(), sizes.clear(), hashes.clear()
+            return pa.RecordBatch.from_arrays(row, schema=schema)
+
+        of = None
+        for rows, texts in text_blocks(batches, text_column):
+            of = rows.schema.field(id_column).type
+            for at in range(0, len(texts), PART_ROWS):
+                if hashes and len(hashes) + min(PART_ROWS, len(texts) - at) > PART_ROWS:
+                    yield part(of)
+                    number += 1
+                some = texts[at : at + PART_ROWS]
+                ids.append(rows.column(id_column).slice(at, len(some)))
+                sizes += map(len, some)
+                hashes += (hashlib.sha256(normalised(x)).digest() for x in some)
+        if hashes:
+            yield part(of)
+
+    return docs.select(id_column, text_column).mapInArrow(run, f"part bigint, ids array<{kind}>, n binary, sha binary")
+
+
+def _prints(sha: bytes) -> np.ndarray:
+    """The first eight bytes of every hash, as unsigned numbers."""
+    return np.frombuffer(sha, ">u8").reshape(-1, 4)[:, 0].astype(np.uint64)
 
 
 def _exchange(hashed: DataFrame, owners: int) -> DataFrame:
-    """(part, owner, bitmap): of the sorted distinct fingerprints that a partition has for an owner, those held more than once anywhere."""
+    """(part, owner, held, bitmap): which of the ``held`` sorted distinct fingerprints that a part has for an owner are held more than once anywhere."""
     span = 2**64 // owners + 1
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
+        schema = pa.schema([("owner", pa.int32()), ("part", pa.int64()), ("codes", pa.binary()), ("twice", pa.binary())])
         for batch in batches:
-            parts, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for p in np.unique(parts).tolist():
-                held.setdefault(p, []).append(fps[parts == p])
-        schema = pa.schema([("owner", pa.int32()), ("part", pa.int32()), ("codes", pa.binary()), ("twice", pa.binary())])
-        for p, lists in held.items():
-            values, counts = np.unique(np.concatenate(lists).view(np.uint64), return_counts=True)
-            owner = (values // np.uint64(span)).astype(np.int64)
-            cuts = np.searchsorted(owner, np.arange(owners + 1)).tolist()
-            rows = [(o, p, golomb_encode(values[a:b] - np.uint64(o * span), span), np.packbits(counts[a:b] > 1).tobytes()) for o, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
+            for p, sha in zip(batch.column(0).to_pylist(), batch.column(1)):
+                values, counts = np.unique(_prints(sha.as_py()), return_counts=True)
+                owner = (values // np.uint64(span)).astype(np.int64)
+                cuts = np.searchsorted(owner, np.arange(owners + 1)).tolist()
+                rows = [(o, p, golomb_encode(values[a:b] - np.uint64(o * span), span), np.packbits(counts[a:b] > 1).tobytes()) for o, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("owner", pa.int32()), ("bitmap", pa.binary())])
+        schema = pa.schema([("part", pa.int64()), ("owner", pa.int32()), ("held", pa.int32()), ("bitmap", pa.binary())])
 
         def reply(owner: int, lists: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
             decoded = [golomb_decode(codes) for _, codes, _ in lists]
@@ -117,7 +146,7 @@ def _exchange(hashed: DataFrame, owners: int) -> DataFrame:
             for (_, _, twice), v in zip(lists, decoded):
                 own = np.unpackbits(np.frombuffer(twice, np.uint8))[: len(v)].astype(bool)
                 maps.append(np.packbits(own | np.isin(v, again, assume_unique=True)).tobytes())
-            return pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in lists], pa.int32()), pa.array([owner] * len(lists), pa.int32()), pa.array(maps, pa.binary())], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in lists], pa.int64()), pa.array([owner] * len(lists), pa.int32()), pa.array(list(map(len, decoded)), pa.int32()), pa.array(maps, pa.binary())], schema=schema)
 
         now, lists = None, []
         for batch in batches:
@@ -130,25 +159,39 @@ def _exchange(hashed: DataFrame, owners: int) -> DataFrame:
         if lists:
             yield reply(now, lists)
 
-    sent = hashed.select("part", "fp").mapInArrow(send, "owner int, part int, codes binary, twice binary")
-    return sent.repartition("owner").sortWithinPartitions("owner").mapInArrow(answer, "part int, owner int, bitmap binary")
+    sent = hashed.select("part", "sha").mapInArrow(send, "owner int, part bigint, codes binary, twice binary")
+    return sent.repartition("owner").sortWithinPartitions("owner").mapInArrow(answer, "part bigint, owner int, held int, bitmap binary")
 
 
 def _suspects(hashed: DataFrame, maps: DataFrame, owners: int) -> DataFrame:
-    """The rows of ``hashed`` whose fingerprint's bit is set.  Each part's rows meet its own bitmaps; a part is what one task read."""
+    """(id, row, n, sha, suspect) of every row; suspect are those whose fingerprint's bit is set in the bitmaps that came back to their part."""
     span = 2**64 // owners + 1
+    kind = hashed.schema["ids"].dataType.elementType.simpleString()
 
-    def pick(key, rows: pa.Table, bitmaps: pa.Table) -> pa.Table:
-        values, place = np.unique(rows.column("fp").to_numpy().view(np.uint64), return_inverse=True)
-        owner = (values // np.uint64(span)).astype(np.int64)
-        bits = np.zeros(len(values), bool)
-        for o, bitmap in zip(bitmaps.column("owner").to_pylist(), bitmaps.column("bitmap").to_pylist()):
-            a, b = np.searchsorted(owner, [o, o + 1])
-            bits[a:b] = np.unpackbits(np.frombuffer(bitmap, np.uint8))[: b - a]
-        return rows.append_column("suspect", pa.array(bits[place]))
-
-    schema = T.StructType([*hashed.schema.fields, T.StructField("suspect", T.BooleanType())])
-    return hashed.groupBy("part").cogroup(maps.groupBy("part")).applyInArrow(pick, schema)
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part, sizes, sha, answers = (batch.column(c)[i].as_py() for c in ("part", "n", "sha", "answers"))
+                ids = batch.column("ids")[i].values
+                values, place = np.unique(_prints(sha), return_inverse=True)
+                owner = (values // np.uint64(span)).astype(np.int64)
+                bits, answered = np.zeros(len(values), bool), 0
+                for a in answers:
+                    begin, end = np.searchsorted(owner, [a["owner"], a["owner"] + 1])
+                    if end - begin != a["held"]:
+                        raise ValueError(f"part {part} has {end - begin} fingerprints of owner {a['owner']}, which was sent {a['held']}")
+                    bits[begin:end] = np.unpackbits(np.frombuffer(a["bitmap"], np.uint8))[: end - begin]
+                    answered += int(end - begin)
+                if answered != len(values):
+                    raise ValueError(f"part {part} has answers for {answered} of {len(values)} fingerprints")
+                schema = pa.schema([pa.field("id", ids.type), ("row", pa.int64()), ("n", pa.int64()), ("sha", pa.binary()), ("suspect", pa.bool_())])
+                hashes = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(ids), [None, pa.py_buffer(sha)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([ids, pa.array(part * PART_ROWS + np.arange(len(ids))), pa.array(np.frombuffer(sizes, np.int64)), hashes, pa.array(bits[place])], schema=schema)
+
+    answers = stored(maps.groupBy("part").agg(F.collect_list(F.struct("owner", "held", "bitmap")).alias("answers")))
+    few = (maps.agg(F.sum(F.octet_length("bitmap") + 64)).first()[0] or 0) <= BROADCAST_BYTES
+    met = hashed.join(F.broadcast(answers) if few else answers, "part")
+    return met.select("part", "ids", "n", "sha", "answers").mapInArrow(pick, f"id {kind}, row bigint, n bigint, sha binary, suspect boolean")
 
 
 def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -163,7 +206,8 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     """
     ship(docs.sparkSession)
     hashed = stored(_hashed(docs, id_column, text_column))
-    owners = OWNERS + hashed.count() // ROWS_PER_OWNER
+    rows = hashed.agg(F.sum(F.octet_length("n"))).first()[0] or 0
+    owners = OWNERS + rows // 8 // ROWS_PER_OWNER
     maps = stored(_exchange(hashed, owners))
     marked = stored(_suspects(hashed, maps, owners))
     suspects = marked.filter("suspect")

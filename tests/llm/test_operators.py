@@ -83,6 +83,22 @@ def test_exact_duplicates(spark, edge):
     assert sum(r.kept for r in got) == len(groups)
 
 
+def test_exact_duplicates_when_a_task_writes_many_parts(spark):
+    """Parts of one task, read in many splits and row groups, against counts by text."""
+    hadoop, splits = spark.sparkContext._jsc.hadoopConfiguration(), "spark.sql.files.maxPartitionBytes"
+    hadoop.set("parquet.block.size", "65536")
+    spark.conf.set(splits, "100k")
+    try:
+        df = spark.range(3 * exact_dedup.PART_ROWS + 5).coalesce(1).select(F.col("id").alias("doc_id"), F.concat(F.lit("a "), (F.xxhash64("id") % 40_000).cast("string")).alias("text"))
+        got = exact_dedup.exact_duplicates(df)
+        groups = df.groupBy("text").agg(F.count(F.lit(1)).alias("want_size"), F.min("doc_id").alias("want_keep"))
+        wrong = got.join(df.join(groups, "text"), "doc_id").filter((F.col("group_size") != F.col("want_size")) | (F.col("keep_id") != F.col("want_keep")) | (F.col("kept") != (F.col("doc_id") == F.col("want_keep"))))
+        assert got.count() == df.count() and wrong.count() == 0
+    finally:
+        hadoop.unset("parquet.block.size")
+        spark.conf.unset(splits)
+
+
 def test_golomb_codes():
     rng = np.random.default_rng(1)
     for n, span in ((0, 10), (1, 2**63), (3000, 2**58), (4000, 5000)):
