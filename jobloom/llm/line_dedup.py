@@ -3,6 +3,11 @@
 A line is boilerplate on a host if the share of the host's pages that hold it
 exceeds a ratio.  A page counts once however often it was fetched: pages of one
 host with the same text are one page, so copies don't make their text boilerplate.
+
+A host has at most (its mean number of lines on a page) / ratio boilerplate lines,
+whatever its size, since each stands on more than ratio * pages of its pages.  They
+are kept as one array for each host, in buckets of about four by hash, so that a
+line is looked up in constant time.
 """
 
 from __future__ import annotations
@@ -22,8 +27,8 @@ def _key(line: Column) -> Column:
     return F.when(bare != "", F.unhex(F.md5(bare.cast("binary"))))
 
 
-def boilerplate(docs: DataFrame, ratio: float = 0.02, least_pages: int = 5, host_column: str = "source", text_column: str = "text") -> DataFrame:
-    """(host, line_key, pages, host_pages) of the lines on more than ``ratio`` of a host's distinct pages, and on ``least_pages`` at least.
+def boilerplate(docs: DataFrame, ratio: float = 0.02, least_pages: int = 2, host_column: str = "source", text_column: str = "text") -> DataFrame:
+    """(host, line_key, pages, host_pages) of the lines on more than ``ratio`` of a host's distinct pages, and on ``least_pages`` at least: a line on one page doesn't repeat.
 
     Rows meet by (host, line), not by host: a host with a third of all pages is
     spread over all tasks, and its frequent lines are counted before the shuffle.
@@ -36,7 +41,16 @@ def boilerplate(docs: DataFrame, ratio: float = 0.02, least_pages: int = 5, host
     return counts.join(totals, "host").filter(F.col("pages") > F.lit(ratio) * F.col("host_pages"))
 
 
-def drop_boilerplate(docs: DataFrame, ratio: float = 0.02, least_pages: int = 5, host_column: str = "source", text_column: str = "text") -> DataFrame:
+def _buckets(found: DataFrame) -> DataFrame:
+    """(host, drops): a host's line keys as an array of arrays; a key is in that of its hash modulo their number."""
+    sizes = found.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / 4).cast("int").alias("n"))
+    keys = found.join(sizes, "host").groupBy("host", F.pmod(F.xxhash64("line_key"), "n").cast("int").alias("bucket")).agg(F.collect_list("line_key").alias("keys"))
+    every = sizes.select("host", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("bucket"))
+    filled = every.join(keys, ["host", "bucket"], "left").select("host", F.struct("bucket", F.coalesce("keys", F.array().cast("array<binary>")).alias("keys")).alias("b"))
+    return filled.groupBy(F.col("host").alias("__host")).agg(F.array_sort(F.collect_list("b"))["keys"].alias("__drops"))
+
+
+def drop_boilerplate(docs: DataFrame, ratio: float = 0.02, least_pages: int = 2, host_column: str = "source", text_column: str = "text") -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text, and n_lines, n_dropped.
 
     Other lines keep their bytes and order.  A null text stays null with no lines;
@@ -46,13 +60,16 @@ def drop_boilerplate(docs: DataFrame, ratio: float = 0.02, least_pages: int = 5,
     """
     found = stored(boilerplate(docs, ratio, least_pages, host_column, text_column))
     few = found.count() <= BROADCAST_LINES
-    drops = found.groupBy(F.col("host").alias("__host")).agg(F.collect_list("line_key").alias("__drops"))
-    lines, kept = F.split(text_column, "\n"), lambda x: ~F.coalesce(F.array_contains("__drops", _key(x)), F.lit(False))
+    drops = stored(_buckets(found))
+    lines = F.split(text_column, "\n")
+    keyed = F.transform(lines, lambda x: F.struct(x.alias("line"), _key(x).alias("key")))
+    bucket = lambda key: F.element_at("__drops", (F.pmod(F.xxhash64(key), F.size("__drops")) + 1).cast("int"))
+    kept = F.filter(keyed, lambda x: ~F.coalesce(F.array_contains(bucket(x["key"]), x["key"]), F.lit(False)))["line"]
     base = docs.drop("n_lines", "n_dropped").withColumn("__host", F.coalesce(F.col(host_column).cast("string"), F.lit("")))
-    out = base.join(F.broadcast(drops) if few else drops, "__host", "left").withColumn("__kept", F.when(F.col("__drops").isNull(), lines).otherwise(F.filter(lines, kept)))
+    out = base.join(F.broadcast(drops) if few else drops, "__host", "left").withColumn("__kept", F.when(F.col("__drops").isNotNull(), kept))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text = F.when(F.col("__drops").isNull(), F.col(text_column)).otherwise(F.array_join("__kept", "\n")).alias(text_column)
-    n = F.coalesce(F.size(lines), F.lit(0)).cast("bigint")
-    n = F.when(F.col(text_column).isNull(), F.lit(0).cast("bigint")).otherwise(n)
-    gone = F.when(F.col(text_column).isNull(), F.lit(0).cast("bigint")).otherwise((F.size(lines) - F.size("__kept")).cast("bigint"))
+    none = F.lit(0).cast("bigint")
+    n = F.when(F.col(text_column).isNull(), none).otherwise(F.size(lines).cast("bigint"))
+    gone = F.when(F.col(text_column).isNull() | F.col("__drops").isNull(), none).otherwise((F.size(lines) - F.size("__kept")).cast("bigint"))
     return out.select(*[text if c == text_column else F.col(f"`{c}`") for c in names], n.alias("n_lines"), gone.alias("n_dropped"))

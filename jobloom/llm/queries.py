@@ -66,7 +66,7 @@ OP5_SQL = r"""
 WITH pages AS (SELECT DISTINCT coalesce(source, '') AS host, text FROM documents WHERE text IS NOT NULL),
 totals AS (SELECT host, count(*) AS n FROM pages GROUP BY host),
 lines AS (SELECT DISTINCT host, text, trim(regexp_replace(unnest(string_split(text, chr(10))), '[ \t\r]+', ' ', 'g')) AS line FROM pages),
-drops AS (SELECT l.host, list(line) AS gone FROM (SELECT host, line, count(*) AS pages FROM lines WHERE line <> '' GROUP BY host, line HAVING count(*) >= 5) l
+drops AS (SELECT l.host, list(line) AS gone FROM (SELECT host, line, count(*) AS pages FROM lines WHERE line <> '' GROUP BY host, line HAVING count(*) >= 2) l
           JOIN totals t ON l.host = t.host WHERE pages > 0.02 * n GROUP BY l.host),
 cut AS (SELECT doc_id, string_split(text, chr(10)) AS before, text, list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(coalesce(gone, []), trim(regexp_replace(x, '[ \t\r]+', ' ', 'g')))) AS after
         FROM documents d LEFT JOIN drops ON coalesce(d.source, '') = drops.host)

@@ -87,7 +87,7 @@ def test_exact_duplicates_when_a_task_writes_many_parts(spark):
     """Parts of one task, read in many splits and row groups, against counts by text."""
     hadoop, splits = spark.sparkContext._jsc.hadoopConfiguration(), "spark.sql.files.maxPartitionBytes"
     hadoop.set("parquet.block.size", "65536")
-    spark.conf.set(splits, "100k")
+    spark.conf.set(splits, "1m")
     try:
         df = spark.range(3 * exact_dedup.PART_ROWS + 5).coalesce(1).select(F.col("id").alias("doc_id"), F.concat(F.lit("a "), (F.xxhash64("id") % 40_000).cast("string")).alias("text"))
         got = exact_dedup.exact_duplicates(df)
@@ -227,6 +227,27 @@ def test_line_dedup(spark):
     assert kept[0].n_dropped == 0  # 9 of 21 pages; the repeated rows are no pages of their own
 
 
+def test_line_dedup_lets_the_ratio_decide(spark):
+    rows = [(i, "few", f"menu\nbody {i}" if i < 3 else f"body {i}") for i in range(4)] + [(9, "one", "menu\nalone")] + [(10 + i, None, f"menu\nown {i}") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id int, source string, text string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(df).collect()}
+    assert got == {0: "body 0", 1: "body 1", 2: "body 2", 3: "body 3", 9: "menu\nalone", 10: "own 0", 11: "own 1"}
+
+
+def test_line_dedup_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    """Hosts with many boilerplate lines, so that the buckets of a host's list count."""
+    rng = random.Random(6)
+    common = {h: [f"{h} line {i}" for i in range(300)] for h in ("h", "k", "")}
+    rows = [(i, h := rng.choice([*common]), "\n".join(x for pair in zip(rng.sample(common[h], 40), [f"own {i} {j}" for j in range(40)]) for x in pair)) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id int, source string, text string")
+    for most in (line_dedup.BROADCAST_LINES, 0):
+        monkeypatch.setattr(line_dedup, "BROADCAST_LINES", most)
+        seen, pages = Counter((h, x) for _, h, t in rows for x in set(t.split("\n"))), Counter(h for _, h, _ in rows)
+        want = {i: "\n".join(x for x in t.split("\n") if not (seen[h, x] >= 2 and seen[h, x] > 0.1 * pages[h])) for i, h, t in rows}
+        assert {r.doc_id: r.text for r in line_dedup.drop_boilerplate(df, ratio=0.1).collect()} == want
+    assert {len(t.split("\n")) for t in want.values()} != {80}
+
+
 def _hits(words, items, window=13):
     hit, names = set(), set()
     for name, item in items:
