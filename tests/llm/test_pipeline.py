@@ -7,11 +7,29 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jobloom.llm import byte_bpe, decontaminate, quality, queries, simhash
+from jobloom.llm import byte_bpe, decontaminate, near_copies, quality, queries, simhash
 
 SF = "/root/testdata/sf0.001"
 
 
+def _similarity(a, b):
+    return len(a & b) / max(1, len(a | b))
+
+
+def _components(texts):
+    """Least place of each text's component, linked by 2 bits of fingerprints or 0.8 of 5-word shingles."""
+    words = [t.lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    prints = [simhash.fingerprint(t) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and ((prints[i] ^ prints[j]).bit_count() <= 2 or _similarity(sets[i], sets[j]) >= 0.8):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
 def test_pipeline_by_hand(spark):
     docs = [r.asDict() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     bench = [(str(r.item_id), decontaminate.words_of(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
@@ -26,17 +44,11 @@ def test_pipeline_by_hand(spark):
         total[s] = total.get(s, 0) + 1
         for x in {line(x) for x in t.split("\n")} - {""}:
             seen[s, x] = seen.get((s, x), 0) + 1
-    drops = {k for k, n in seen.items() if n >= 5 and n > 0.02 * total[k[0]]}
+    drops = {k for k, n in seen.items() if n >= 2 and n > 0.02 * total[k[0]]}
     for d in docs:
         d["text"] = "\n".join(x for x in d["text"].split("\n") if (d["source"], line(x)) not in drops)
 
-    prints = [simhash.fingerprint(d["text"]) for d in docs]
-    group = list(range(len(docs)))
-    for i in range(len(docs)):
-        for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= 2 and group[i] != group[j]:
-                a, b = group[i], group[j]
-                group = [min(a, b) if g in (a, b) else g for g in group]
+    group = _components([d["text"] for d in docs])
     first = {}
     for d, g in zip(docs, group):
         first[g] = min(d["doc_id"], first.get(g, d["doc_id"]))
@@ -58,12 +70,11 @@ def test_pipeline_by_hand(spark):
     assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, SF).collect()} == want
 
 
-def _similarity(a, b):
-    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := x.lower().split()) else set() for x in (a, b))
-    return len(a & b) / max(1, len(a | b))
-
-
-def test_no_two_texts_stay_that_share_their_shingles(spark):
+@pytest.mark.parametrize("limits", [{}, {"GROUP": 2, "PIVOTS": 2, "ROUNDS": 1}, {"GROUP": 3, "BUCKET": 3, "BROADCAST_KEYS": 0}])
+def test_no_two_texts_stay_that_share_their_shingles(spark, monkeypatch, limits):
+    """Groups in one task, and dealt to shards, and buckets too large to compare."""
+    for name, value in limits.items():
+        monkeypatch.setattr(near_copies, name, value)
     rng = random.Random(3)
     rows = []
     for group in range(12):
@@ -74,12 +85,7 @@ def test_no_two_texts_stay_that_share_their_shingles(spark):
             for _ in range(rng.choice([1, len(words) // 60, len(words) // 12])):
                 changed[rng.randrange(len(words))] = "other"
             rows.append((len(rows), " ".join(changed)))
-    label = list(range(len(rows)))
-    for i, (_, a) in enumerate(rows):
-        for j, (_, b) in enumerate(rows[:i]):
-            if label[i] != label[j] and (_similarity(a, b) >= 0.8 or (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() <= 2):
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
+    label = _components([t for _, t in rows])
     docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
     got = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
     assert got == set(label) and len(rows) // 4 < len(got) < len(rows)
