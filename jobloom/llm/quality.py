@@ -2,12 +2,13 @@
 
 Two zstandard dictionaries are made from labelled text, one of good and one of bad
 rows.  A text is compressed with either; the difference of the two sizes, divided
-by the size without a dictionary, says which kind it is like.  The whole text goes
-through in consecutive pieces, each compressed by itself: in one long stream the
-text itself soon takes the dictionary's place, and one bad part would vanish.  A
-logistic curve over the difference (in all, and of the pieces that are the most
-like either kind) and compression ratios, fitted on labelled rows that the
-dictionaries have not seen, makes it a calibrated score.
+by their sum, says which kind it is like.  The whole text goes through in
+consecutive pieces, each compressed by itself: in one long stream the text itself
+soon takes the dictionary's place, and one bad part would vanish.  A logistic curve,
+fitted on labelled rows that the dictionaries have not seen, makes a calibrated
+score of the difference (in all, and of the pieces that are the most like either
+kind) and of the two sizes it is taken from, normalised by the text's.  It sees no
+other size than these, and both labels weigh as often as they occur.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from jobloom.llm.common import batch_of, ship, text_blocks
 LEVEL = 3
 #: Bytes of a piece of text, of a row's slice in a dictionary, and of a dictionary; chosen on rows of the training fold.
 PIECE, SLICE, DICTIONARY = 2048, 1000, 448 << 10
-FEATURES = 8
+FEATURES = 9
 
 
 def _tuned(dictionary: zstandard.ZstdCompressionDict | None) -> zstandard.ZstdCompressor:
@@ -48,7 +49,7 @@ class Model:
         for d in raw:
             if d is not None:
                 d.precompute_compress(level=LEVEL)
-        return (*map(_tuned, raw), _tuned(None))
+        return tuple(map(_tuned, raw))
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = (features - np.array(self.middle)) / np.array(self.scale)
@@ -56,30 +57,28 @@ class Model:
 
 
 def features(texts: list[str], compressors: tuple[zstandard.ZstdCompressor, ...]) -> np.ndarray:
-    """Normalised size differences over all pieces of a text, and what it is like to a plain compressor; all from compressed sizes.  Pieces of one text are of like size."""
-    good, bad, plain = compressors
+    """Normalised size differences over all pieces of a text, and the two normalised sizes, in all and of the pieces at either end.  Pieces of one text are of like size."""
+    good, bad = compressors
     out = np.zeros((len(texts), FEATURES))
     for i, text in enumerate(texts):
         data = text.encode()
         size = len(data)
         step = max(1, -(-size // max(1, -(-size // PIECE))))
         pieces = [data[at : at + step] for at in range(0, max(1, size), step)]
-        g, b, p = np.array([(len(good.compress(x)), len(bad.compress(x)), len(plain.compress(x))) for x in pieces], float).T
-        difference, parts = (b.sum() - g.sum()) / p.sum(), (b - g) / p
-        whole = p[0] if len(pieces) == 1 else len(plain.compress(data))
-        out[i] = difference, parts.min(), parts.max(), g.sum() / p.sum(), p.sum() / (size + 16), whole / (size + 16), np.log1p(size), difference * np.log1p(size)
+        g, b, n = np.array([(len(good.compress(x)), len(bad.compress(x)), len(x) + 16) for x in pieces], float).T
+        parts, by_good, by_bad = (b - g) / (b + g), g / n, b / n
+        out[i] = (b.sum() - g.sum()) / (b.sum() + g.sum()), parts.min(), parts.max(), g.sum() / (size + 16), b.sum() / (size + 16), by_good.min(), by_good.max(), by_bad.min(), by_bad.max()
     return out
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights (the first is the constant) by Newton's method; both labels weigh alike in sum."""
+    """Weights (the first is the constant) by Newton's method."""
     x = np.column_stack([np.ones(len(x)), x])
-    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     w = np.zeros(x.shape[1])
     penalty = np.diag([0.0, *[ridge] * (x.shape[1] - 1)])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(x.shape[1]), x.T @ (share * (p - y)) + penalty @ w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(x.shape[1]), x.T @ (p - y) + penalty @ w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -156,7 +155,12 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5, id_column: str
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a score of ``threshold`` or more, with all their columns.  One pass; nothing is joined by id."""
+    """The rows of ``docs`` with a score of ``threshold`` or more, with all their columns.
+
+    A null text is scored as an empty one and stays null.  Rows are judged by their
+    text alone: null and repeated ids and repeated rows make no difference.  An empty
+    table gives an empty result.  One pass; nothing is joined by id.
+    """
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
