@@ -30,58 +30,97 @@ SENTENCES = {
     "bsd_binary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
     "bsd_endorse": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
     "isc_grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
+    "gpl2_by_name": ["licensed under the gnu general public license version 2", "this program is licensed under the gnu general public license version 2", "this work is licensed under the gnu general public license version 2"],
     "gpl3_by_name": ["this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 3", "this program is licensed under the gnu general public license version 3"],
     "gpl_program": ["this program is free software"],
+    "lgpl_library": ["this library is free software"],
+    "gpl_terms": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"],
+    "lgpl_terms": ["you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"],
+    "version_2": ["either version 2 of the license or at your option any later version"],
+    "version_2_1": ["either version 2 1 of the license or at your option any later version"],
+    "version_3": ["either version 3 of the license or at your option any later version"],
     "gpl_free": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
-    "gpl_useful": ["this program is distributed in the hope that it will be useful but without any warranty"],
+    "lgpl3_free": ["you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "agpl_free": ["you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "gpl_useful": ["this program is distributed in the hope that it will be useful but without any warranty", "this library is distributed in the hope that it will be useful but without any warranty"],
     "gpl_hope": ["without even the implied warranty of merchantability or fitness for a particular purpose", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
     "mpl_subject": ["this source code form is subject to the terms of the mozilla public license v", "this source code form is subject to the terms of the mozilla public license v 2 0"],
     "mpl_obtain": ["if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"],
     "cc_by": ["licensed under cc by 4 0", "this work is licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"],
     "cc_by_sa": ["licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"],
     "cc_by_nc": ["licensed under cc by nc 4 0", "this work is licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
+    "cc0": ["licensed under cc0 1 0", "this work is licensed under cc0 1 0", "this work is licensed under cc0 1 0 universal"],
+    "zlib_as_is": ["this software is provided as is without any express or implied warranty"],
+    "zlib_grant": ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"],
+    "boost": ["distributed under the boost software license version 1 0"],
+    "epl2_available": ["this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at http www eclipse org legal epl 2 0"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
 
 #: Ordered rules, (licence, identifiers).
 RULES = [
+    ("AGPL-3.0", ["agpl_free", "gpl_hope"]),
     ("Apache-2.0", ["apache_by_name"]),
     ("Apache-2.0", ["apache_header", "apache_comply"]),
     ("Apache-2.0", ["apache_comply", "apache_as_is"]),
     ("BSD-2-Clause", ["bsd_grant", "bsd_source", "bsd_binary"]),
     ("BSD-3-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse"]),
+    ("BSL-1.0", ["boost"]),
     ("CC-BY-4.0", ["cc_by"]),
     ("CC-BY-NC-4.0", ["cc_by_nc"]),
     ("CC-BY-SA-4.0", ["cc_by_sa"]),
+    ("CC0-1.0", ["cc0"]),
+    ("EPL-2.0", ["epl2_available"]),
+    ("GPL-2.0", ["gpl2_by_name"]),
+    ("GPL-2.0", ["gpl_terms", "version_2", "gpl_hope"]),
     ("GPL-3.0", ["gpl3_by_name"]),
     ("GPL-3.0", ["gpl_free", "gpl_hope"]),
+    ("GPL-3.0", ["gpl_terms", "version_3", "gpl_hope"]),
     ("ISC", ["isc_grant"]),
+    ("LGPL-2.1", ["lgpl_terms", "version_2_1", "gpl_hope"]),
+    ("LGPL-3.0", ["lgpl3_free", "gpl_hope"]),
+    ("LGPL-3.0", ["lgpl_terms", "version_3", "gpl_hope"]),
     ("MIT", ["mit_by_name"]),
     ("MIT", ["mit_grant", "mit_notice", "mit_as_is"]),
     ("MPL-2.0", ["mpl_subject", "mpl_obtain"]),
     ("Unlicense", ["unlicense"]),
 ]
 
-#: Characters of the longest known sentence, with room for punctuation: longer pieces aren't normalised.
-LONGEST = 2 * max(len(x) for xs in SENTENCES.values() for x in xs)
+#: Names that follow "SPDX-License-Identifier:"; the sentence and rule of each are made below.
+SPDX = ("0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib")
+
+
+def _normal_name(name: str) -> str:
+    return "".join(c if c.isalnum() else " " for c in name.lower())
+
+
+for _name in SPDX:
+    _id = "spdx_" + _normal_name(_name).replace(" ", "_")
+    SENTENCES[_id] = [f"spdx license identifier {_normal_name(_name)}{end}" for end in ("", *(((" only", " or later") if "GPL" in _name else ())))]
+    RULES.append((_name, [_id]))
+RULES.append(("Zlib", ["zlib_as_is", "zlib_grant"]))
+
+#: Characters of the shortest known sentence: a shorter piece is none.
+SHORTEST = min(len(x) for xs in SENTENCES.values() for x in xs)
 #: Every known sentence has one of these words; texts without them need no cutting.
-HINTS = ("licen", "permi", "redistribut", "neither the name", "notice", "warrant", "free software", "mpl", "unencumbered")
+HINTS = ("licen", "cc0", "permi", "redistribut", "neither the name", "notice", "warrant", "free software", "mpl", "unencumbered")
 
 
+#: The colon of an SPDX line ends no sentence.
+_SPDX_COLON = "(?i)(spdx-license-identifier):"
 #: What is left of an empty line in a comment.
 _BARE_MARKS = "\\n[ \\t\\r]*[#*/;%-]+[ \\t\\r]*(?=\\n)"
 
 
 def _pieces(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, "[.;:!?][ \\t\\r\\n]+", "\n"), "\n")
+    return F.split(F.regexp_replace(F.regexp_replace(text, _SPDX_COLON, "$1 "), "[.;:!?][ \\t\\r\\n]+", "\n"), "\n")
 
 
 def _identifiers(pieces: Column) -> Column:
     normal = lambda x: F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " "))
     known = {s: name for name, xs in SENTENCES.items() for s in xs}
     table = F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])
-    short = F.filter(pieces, lambda x: (F.length(x) >= 8) & (F.length(x) <= LONGEST))
-    sentences = F.filter(F.transform(short, normal), lambda x: x.isin(*sorted(known)))
+    sentences = F.filter(F.transform(F.filter(pieces, lambda x: F.length(x) >= SHORTEST), normal), lambda x: x.isin(*sorted(known)))
     return F.transform(sentences, lambda x: F.element_at(table, x))
 
 
@@ -111,14 +150,15 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def oracle_sql() -> str:
-    """The scan of ``documents`` in DuckDB's SQL."""
+    """The scan of ``documents`` in DuckDB's SQL.  Its patterns know no look-ahead, so lines of comment marks are found line by line."""
     known = sorted((s, name) for name, xs in SENTENCES.items() for s in xs)
     table = "map {" + ", ".join(f"'{s}': '{n}'" for s, n in known) + "}"
-    ids = lambda x: f"list_transform(list_filter(list_transform(list_filter(string_split(regexp_replace({x}, '[.;:!?][ \\t\\r\\n]+', chr(10), 'g'), chr(10)), lambda p: length(p) >= 8 AND length(p) <= {LONGEST}), lambda p: trim(regexp_replace(lower(p), '[^a-z0-9]+', ' ', 'g'))), lambda p: map_contains(k, p)), lambda p: k[p])"
+    ids = lambda x: f"list_transform(list_filter(list_transform(list_filter(string_split(regexp_replace(regexp_replace({x}, '(?i)(spdx-license-identifier):', '\\1 ', 'g'), '[.;:!?][ \\t\\r\\n]+', chr(10), 'g'), chr(10)), lambda p: length(p) >= {SHORTEST}), lambda p: trim(regexp_replace(lower(p), '[^a-z0-9]+', ' ', 'g'))), lambda p: map_contains(k, p)), lambda p: k[p])"
     rules = ", ".join(f"CASE WHEN regexp_matches(a, '{_rule_pattern(r)}') OR regexp_matches(b, '{_rule_pattern(r)}') THEN '{n}' END" for n, r in RULES)
     return f"""
-    WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {table} AS k FROM documents),
-    u AS (SELECT doc_id, {ids("text")} AS x, {ids("regexp_replace(regexp_replace(text, '\\n[ \\t\\r]*\\n', '. ' || chr(10), 'g'), '[ \\t\\r]*\\n[ \\t\\r]*(?:[#*/]+[ \\t]+)?', ' ', 'g')")} AS y FROM t),
+    WITH s AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines, {table} AS k FROM documents),
+    t AS (SELECT doc_id, text, k, array_to_string(list_transform(lines, lambda x, i: CASE WHEN i > 1 AND i < len(lines) AND regexp_full_match(x, '[ \\t\\r]*[#*/;%-]+[ \\t\\r]*') THEN '' ELSE x END), chr(10)) AS bare FROM s),
+    u AS (SELECT doc_id, {ids("text")} AS x, {ids("regexp_replace(regexp_replace(bare, '\\n[ \\t\\r]*\\n', '. ' || chr(10), 'g'), '[ \\t\\r]*\\n[ \\t\\r]*(?:[#*/]+[ \\t]+)?', ' ', 'g')")} AS y FROM t),
     v AS (SELECT doc_id, CASE WHEN len(y) > len(x) THEN y ELSE x END AS ids, ',' || array_to_string(x, ',') || ',' AS a, ',' || array_to_string(y, ',') || ',' AS b FROM u),
     w AS (SELECT *, list_sort(list_distinct(list_filter([{rules}], lambda z: z IS NOT NULL))) AS l FROM v)
     SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
