@@ -1,12 +1,14 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 The index consists of segments, one row for some megabytes of documents: its
-words, and for each word the sorted positions at which it stands.  Segments are
-written to the shared folder.  A search meets every segment with the test items.
-For each window of test words it starts from the rarest word's list in that
-segment, and follows the lists of the words around it, adjusted by their offsets:
-those next to it first, so that almost every candidate falls at once.  Windows of
-an item that start from the same word are followed together.
+words, and for each word the sorted positions at which it stands, as bytes of
+differences.  Segments are written to the shared folder.  A search first counts the
+test items' words in the whole index, and meets every segment with the items.  Each
+window of test words starts from the list of its rarest word, and that list is
+intersected with the lists of the words around it, adjusted by their offsets: those
+next to it first, so that almost every candidate falls at once.  Windows that start
+from the same word are followed together.  With a slop, a word may stand so many
+places from where it would, counted from the window's rarest word.
 """
 
 from __future__ import annotations
@@ -30,6 +32,39 @@ BLOCK_BYTES = 16 << 20
 _WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 
+def pack(gaps: np.ndarray, heads: np.ndarray, values: np.ndarray) -> bytes:
+    """Rising numbers, list after list, as differences of 7 bits a byte, the lowest first; the high bit says that more follow.  At ``heads`` a list begins, with its own first value."""
+    gaps = gaps.copy()
+    gaps[heads[heads < len(gaps)]] = values[heads[heads < len(gaps)]]
+    if not len(gaps):
+        return b""
+    width = np.ones(len(gaps), np.int64)
+    for bits in (7, 14, 21, 28):
+        width += gaps >> bits > 0
+    ends = np.cumsum(width)
+    out = np.zeros(int(ends[-1]), np.uint8)
+    for k in range(int(width.max())):
+        has = width > k
+        out[(ends - width)[has] + k] = (gaps[has] >> (7 * k) & 127) | np.where(width[has] > k + 1, 128, 0)
+    return out.tobytes()
+
+
+def unpack(data: bytes, cuts: np.ndarray) -> np.ndarray:
+    """What ``pack`` wrote; ``cuts`` are where lists begin, and the end."""
+    raw = np.frombuffer(data, np.uint8)
+    if not len(raw):
+        return np.zeros(0, np.int64)
+    last = raw < 128
+    ends = np.flatnonzero(last)
+    starts = np.append(0, ends[:-1] + 1)
+    place = np.arange(len(raw)) - np.repeat(starts, ends - starts + 1)
+    gaps = np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), starts)
+    sums = np.cumsum(gaps)
+    sizes = np.diff(cuts)
+    before = np.where(cuts[:-1] > 0, sums[np.maximum(cuts[:-1] - 1, 0)], 0)  # of all lists before
+    return sums - np.repeat(before, sizes)
+
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_WORD_BYTES).split()
 
@@ -55,7 +90,7 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             cuts = np.append(0, np.cumsum(np.bincount(term, minlength=len(terms))))
             ids = part.column(id_column)
             fields = pa.schema([("segment", pa.int64()), pa.field("ids", pa.list_(ids.type)), ("sizes", pa.binary()), ("terms", pa.binary()), ("cuts", pa.binary()), ("positions", pa.binary())])
-            yield pa.RecordBatch.from_arrays([pa.array([first + number_here]), pa.array([ids.to_pylist()], fields.field("ids").type), *(pa.array([x], pa.binary()) for x in (sizes.tobytes(), b" ".join(terms), cuts.astype(np.int32).tobytes(), place[order].astype(np.int32).tobytes()))], schema=fields)
+            yield pa.RecordBatch.from_arrays([pa.array([first + number_here]), pa.array([ids.to_pylist()], fields.field("ids").type), *(pa.array([x], pa.binary()) for x in (sizes.tobytes(), b" ".join(terms), cuts.astype(np.int32).tobytes(), pack(np.diff(place[order], prepend=0), cuts[:-1], place[order])))], schema=fields)
 
     return docs.select(id_column, text_column).mapInArrow(run, f"segment bigint, ids array<{kind}>, sizes binary, terms binary, cuts binary, positions binary")
 
@@ -63,7 +98,7 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 class Items:
     """Test items as numbers of their words, laid end to end."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW, slop: int = 0):
         lists = [(str(i), words_of(text)) for i, text in items]
         lists = [(i, w) for i, w in lists if w]
         self.names = [i for i, _ in lists]
@@ -79,6 +114,22 @@ class Items:
             which = np.flatnonzero(sizes >= window if size == window else sizes == size)
             if len(which):
                 self.windows.append((size, np.concatenate([np.arange(self.begins[i], self.ends[i] - size + 1) for i in which])))
+        self.slop = slop
+        self.anchors: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def count(self, counts: np.ndarray) -> None:
+        """Sets the anchors, given how often each word of the vocabulary stands in the whole index: (window's length, places of the words that are the rarest of a window all of whose words occur, and the first and last such window of each)."""
+        counts = counts[self.terms]
+        self.anchors = []
+        for size, firsts in self.windows:
+            span = counts[firsts[:, None] + np.arange(size)]
+            able = (span > 0).all(1)
+            firsts = firsts[able]
+            rarest, which = np.unique(firsts + span[able].argmin(1), return_inverse=True)
+            low, high = np.full(len(rarest), len(self.terms)), np.full(len(rarest), -1)
+            np.minimum.at(low, which, firsts)
+            np.maximum.at(high, which, firsts)
+            self.anchors.append((size, rarest, low, high))
 
 
 class Segment:
@@ -86,9 +137,11 @@ class Segment:
         self.sizes = np.frombuffer(sizes, np.int32).astype(np.int64)
         self.terms = terms.split(b" ") if terms else []
         self.cuts = np.frombuffer(cuts, np.int32).astype(np.int64)
-        self.positions = np.frombuffer(positions, np.int32).astype(np.int64)
+        self.positions = unpack(positions, self.cuts)
         self.bases = np.cumsum(self.sizes + GAP) - self.sizes
-        self.end = int(self.bases[-1] + self.sizes[-1] + GAP) if len(self.sizes) else 0
+        self.wide = int(self.bases[-1] + self.sizes[-1] + GAP) + 1 if len(self.sizes) else 1
+        #: All lists as one sorted list: a word's number and a position.
+        self.keys = np.repeat(np.arange(len(self.terms)) * self.wide, np.diff(self.cuts)) + self.positions
 
     def numbers(self, vocabulary: list[bytes]) -> np.ndarray:
         """Numbers here of the vocabulary's words; -1 for those that don't occur."""
@@ -99,90 +152,91 @@ class Segment:
         size = np.append(np.diff(self.cuts), 0)
         return size[local]
 
-
-def _rarest(items: Items, counts: np.ndarray, size: int, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the windows all of whose words occur: first word, and place of the rarest."""
-    span = counts[firsts[:, None] + np.arange(size)]
-    able = (span > 0).all(1)
-    return firsts[able], firsts[able] + span[able].argmin(1)
+    def holds(self, term: np.ndarray, at: np.ndarray, slop: int) -> np.ndarray:
+        """Whether the lists of these words have a position within ``slop`` of each."""
+        if not len(self.keys):
+            return np.zeros(len(at), bool)
+        low = np.maximum(at - slop, 0) + term * self.wide
+        found = self.keys[np.minimum(np.searchsorted(self.keys, low), len(self.keys) - 1)]
+        return (term >= 0) & (found >= low) & (found <= term * self.wide + at + slop)
 
 
-def _extent(at_doc: np.ndarray, at_item: np.ndarray, bound: np.ndarray, step: int, most: int, forward: np.ndarray, local: np.ndarray) -> np.ndarray:
-    """Words that agree beside each candidate, in direction ``step``, up to ``most``."""
+def _extent(segment: Segment, at_doc: np.ndarray, at_item: np.ndarray, bound: np.ndarray, step: int, most: int, local: np.ndarray, slop: int) -> np.ndarray:
+    """Words around each candidate whose lists hold them, in direction ``step``, up to ``most``."""
     out = np.zeros(len(at_doc), np.int64)
     live = np.arange(len(at_doc))
     for k in range(1, most + 1):
         q = at_item[live] + step * k
         live, q = live[ok := (q < bound[live] if step > 0 else q >= bound[live])], q[ok]
-        live = live[forward[at_doc[live] + step * k] == local[q]]
+        live = live[segment.holds(local[q], at_doc[live] + step * k, slop)]
         if not len(live):
             break
         out[live] = k
     return out
 
 
-def phrase_hits(segment: Segment, items: Items, most: int = 250_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, item) of exact occurrences in the segment, runs of overlapping windows joined.  Candidates are followed ``most`` at a time, or one word's."""
+def hits(segment: Segment, items: Items, slop: int = 0, most: int = 250_000) -> tuple[np.ndarray, ...]:
+    """(start, end, item, place of the rarest word) of occurrences in the segment; exact ones as runs of overlapping windows.  Candidates are followed ``most`` at a time, or one word's."""
     local = segment.numbers(items.vocabulary)[items.terms]
     counts = segment.counts(local)
-    forward = np.full(segment.end + 1, -2, np.int64)
-    forward[segment.positions] = np.repeat(np.arange(len(segment.terms)), np.diff(segment.cuts))
-    found = [np.zeros((3, 0), np.int64)]
-    for size, firsts in items.windows:
-        anchors = np.unique(_rarest(items, counts, size, firsts)[1])
+    found = [np.zeros((4, 0), np.int64)]
+    for size, anchors, low, high in items.anchors:
+        here = counts[anchors] > 0
+        anchors, low, high = anchors[here], low[here], high[here]
         lengths = counts[anchors]
         ends = np.cumsum(lengths)
         begin = 0
         while begin < len(anchors):
             stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + most)))
-            q = np.repeat(anchors[begin:stop], lengths[begin:stop])
             n = lengths[begin:stop]
+            which = np.repeat(np.arange(begin, stop), n)
+            q = anchors[which]
             p = segment.positions[np.repeat(segment.cuts[local[anchors[begin:stop]]], n) + np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n)]
-            right = _extent(p, q, items.ends[items.item[q]], 1, size - 1, forward, local)
-            if size > 1:  # what can still reach the window's length goes on
-                left = _extent(p, q, items.begins[items.item[q]], -1, size - 1, forward, local)
-            else:
-                left = np.zeros(len(q), np.int64)
-            ok = left + right + 1 >= size
-            found.append(np.stack([(p - left)[ok], (p + right + 1)[ok], items.item[q[ok]]]))
+            right = _extent(segment, p, q, items.ends[items.item[q]], 1, size - 1, local, slop)
+            # To the left only what can still reach a window of this anchor.
+            go = np.flatnonzero(q + right >= low[which] + size - 1)
+            which, q, p, right = which[go], q[go], p[go], right[go]
+            left = _extent(segment, p, q, items.begins[items.item[q]], -1, size - 1, local, slop)
+            ok = np.maximum(low[which], q - left) <= np.minimum(high[which], q + right - size + 1)
+            found.append(np.stack([(p - left)[ok], (p + right + 1)[ok], items.item[q[ok]], p[ok]]))
             begin = stop
     return tuple(np.concatenate(found, 1))
 
 
-def near_hits(segment: Segment, items: Items, slop: int) -> np.ndarray:
-    """Rows (document, item): every word of a window stands within ``slop`` places of where it would in an exact occurrence."""
-    local = segment.numbers(items.vocabulary)[items.terms]
-    counts = segment.counts(local)
-    wide = segment.end + 1
-    keys = np.repeat(np.arange(len(segment.terms)), np.diff(segment.cuts)) * wide + segment.positions  # sorted
-    pairs = [np.zeros((0, 2), np.int64)]
-    for size, firsts in items.windows:
-        firsts, anchors = _rarest(items, counts, size, firsts)
-        for w, q in zip(firsts.tolist(), anchors.tolist()):
-            t = local[q]
-            start = segment.positions[segment.cuts[t] : segment.cuts[t + 1]] - (q - w)
-            for k in np.argsort(counts[w : w + size], kind="stable").tolist():
-                low = np.maximum(start + k - slop, 0)
-                at = np.searchsorted(keys, local[w + k] * wide + low)
-                start = start[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] <= local[w + k] * wide + start + k + slop)]
-                if not len(start):
-                    break
-            if len(start):
-                doc = np.unique(np.searchsorted(segment.bases, start + (q - w), "right") - 1)
-                pairs.append(np.stack([doc, np.full(len(doc), items.item[w])], 1))
-    return np.unique(np.concatenate(pairs), axis=0)
+def counted(index: DataFrame, vocabulary: list[bytes]) -> np.ndarray:
+    """How often each word of the vocabulary stands in the whole index; only words and the lengths of their lists are read."""
+    sent = index.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(sent.value), np.int64)
+        for batch in batches:
+            for terms, cuts in zip(batch.column(0), batch.column(1)):
+                words = terms.as_py().split(b" ") if terms.as_py() else []
+                known = dict(zip(words, np.diff(np.frombuffer(cuts.as_py(), np.int32)).tolist()))
+                total += np.array([known.get(w, 0) for w in sent.value], np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["word", "n"])
+
+    out = np.zeros(len(vocabulary), np.int64)
+    for r in index.select("terms", "cuts").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():  # a row for a word of the block at most
+        out[r.word] = r.n
+    return out
 
 
 def search(index: DataFrame, items: list[tuple[str, str | None]], window: int = WINDOW, slop: int = 0) -> DataFrame:
     """One row per indexed document: segment and row (its place), id, n_words, hits (arrays of start and end, in words, merged), items (names, sorted), near_items.
 
-    near_items are those within ``slop`` places (proximity); with 0 they are left empty.
+    near_items are those with a window all of whose words stand within ``slop`` places
+    of where they would, counted from the window's rarest word in the whole index, of
+    equal ones the first (proximity); with 0 they are left empty.
     """
     spark = index.sparkSession
     ship(spark)
     if slop + window >= GAP:
         raise ValueError(f"window and slop must stay below {GAP} together")
-    sent = spark.sparkContext.broadcast(Items(items, window))
+    tests = Items(items, window, slop)
+    tests.count(counted(index, tests.vocabulary))
+    sent = spark.sparkContext.broadcast(tests)
     kind = index.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,11 +246,11 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], window: int =
                 number, ids, *rest = (c[i].as_py() for c in batch.columns)
                 segment = Segment(*rest)
                 n = len(ids)
-                start, end, item = phrase_hits(segment, tests)
-                doc = np.searchsorted(segment.bases, start, "right") - 1
-                hits: list[list[list[int]]] = [[] for _ in range(n)]
+                start, end, item, at = hits(segment, tests)
+                doc = np.searchsorted(segment.bases, at, "right") - 1
+                places: list[list[list[int]]] = [[] for _ in range(n)]
                 for d, a, b in sorted(set(zip(doc.tolist(), start.tolist(), end.tolist()))):
-                    a, b, spans = a - int(segment.bases[d]), b - int(segment.bases[d]), hits[d]
+                    a, b, spans = a - int(segment.bases[d]), b - int(segment.bases[d]), places[d]
                     if spans and a <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], b)
                     else:
@@ -205,25 +259,28 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], window: int =
                 for d, t in set(zip(doc.tolist(), item.tolist())):
                     names[d].add(tests.names[t])
                 near: list[set[str]] = [set() for _ in range(n)]
-                for d, t in near_hits(segment, tests, slop).tolist() if slop else ():
-                    near[d].add(tests.names[t])
+                if tests.slop:
+                    *_, item, at = hits(segment, tests, tests.slop)
+                    doc = np.searchsorted(segment.bases, at, "right") - 1
+                    for d, t in set(zip(doc.tolist(), item.tolist())):
+                        near[d].add(tests.names[t])
                 fields = pa.schema([("segment", pa.int64()), ("row", pa.int32()), pa.field("id", batch.schema.field("ids").type.value_type), ("n_words", pa.int64()), ("hits", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([[number] * n, range(n), ids, segment.sizes, hits, [sorted(x) for x in names], [sorted(x) for x in near]], fields)], schema=fields)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([[number] * n, range(n), ids, segment.sizes, places, [sorted(x) for x in names], [sorted(x) for x in near]], fields)], schema=fields)
 
     schema = f"segment bigint, row int, id {kind}, n_words bigint, hits array<array<int>>, items array<string>, near_items array<string>"
     return index.select("segment", "ids", "sizes", "terms", "cuts", "positions").mapInArrow(run, schema)
 
 
-def blocks_of(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> list[list[tuple[str, str | None]]]:
-    """The test items in blocks of bounded size.  The items are a stated query set; the corpus never comes to the driver."""
-    blocks, size = [[]], 0
+def blocks_of(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> Iterator[list[tuple[str, str | None]]]:
+    """The test items in blocks of bounded size, of which the driver holds one; at least one block, which may be empty.  The items are a stated query set; the corpus never comes to the driver."""
+    block, size = [], 0
     for item, text in benchmark.select(F.col(item_column).cast("string"), text_column).filter(F.col(text_column).isNotNull()).toLocalIterator():
         size += len(text.encode())
-        if size > BLOCK_BYTES and blocks[-1]:
-            blocks.append([])
-            size = len(text.encode())
-        blocks[-1].append((item if item is not None else "null", text))
-    return blocks
+        if size > BLOCK_BYTES and block:
+            yield block
+            block, size = [], len(text.encode())
+        block.append((item if item is not None else "null", text))
+    yield block
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0, share: int = 20, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
@@ -238,8 +295,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     """
     index = stored(build_index(docs, id_column, text_column))
     out = None
-    blocks = blocks_of(benchmark, item_column)
-    for block in blocks:
+    for block in blocks_of(benchmark, item_column):
         found = search(index, block, window, slop)
         out = found if out is None else _merged(stored(out), stored(found))
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda acc, s: acc + s[1] - s[0])
@@ -259,7 +315,12 @@ def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated.  Each text is judged for itself, whatever ids its rows have, null or shared."""
+    """The rows of ``docs`` that are not contaminated.
+
+    Each text is judged for itself, whatever ids its rows have, null or shared: rows
+    that repeat a contaminated text all go, others stay.  Null and empty texts are
+    clean.  Other columns pass through; an empty table gives an empty result.
+    """
     key = F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))
     keyed = docs.select(F.unhex(key).alias("__key"), F.col(text_column).alias("__text"))
     found = contamination(keyed, benchmark, id_column="__key", text_column="__text", **options)

@@ -13,45 +13,55 @@ from jobloom.llm.common import table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact duplicates of all documents; see ``exact_dedup.exact_duplicates`` for nulls, ties and repeated rows."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op2_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents; see ``token_count.token_counts`` for nulls and special strings."""
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt outside the held-out fold; see ``quality.train`` and ``quality.score`` for nulls and missing labels."""
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents; see ``secret_scan.scan_documents`` for nulls."""
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the boilerplate lines of their sources; see ``line_dedup.drop_boilerplate`` for nulls and blank lines."""
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded bytes of all documents, as digests; see ``byte_bpe.encode_documents`` for nulls and special strings."""
     coded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+    """Contamination of whole documents by all items, and the items near to them: a window whose words stand within two places of where they would."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=2)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated", F.array_join("near_items", ",").alias("near_items"))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC files and read back; see ``warc.round_trip`` for nulls and repeated rows."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents; see ``license_scan.scan_licenses`` for nulls."""
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and components of all documents; see ``simhash.near_duplicates`` for nulls and wordless texts."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
@@ -82,10 +92,18 @@ windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') A
 grams AS (SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS gram FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM items))),
 hits AS (SELECT doc_id, item_id, k, i FROM grams JOIN windows USING (k, gram)),
 places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+pos AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+words AS (SELECT item_id, i, k, unnest(w[i : i + k - 1]) AS word, unnest(range(k)) AS o FROM (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
+found AS (SELECT words.*, coalesce(c, 0) AS c FROM words LEFT JOIN (SELECT word, count(*) AS c FROM pos GROUP BY word) USING (word)),
+anchors AS (SELECT item_id, i, min({'c': c, 'o': o}) AS a FROM found GROUP BY item_id, i HAVING min(c) > 0),
+starts AS (SELECT DISTINCT item_id, i, k, pos.doc_id, pos.p - o AS s FROM anchors JOIN found USING (item_id, i) JOIN pos ON pos.word = found.word WHERE o = a.o),
+nearby AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM (SELECT s.item_id, s.doc_id FROM starts s JOIN found f ON s.item_id = f.item_id AND s.i = f.i JOIN pos ON pos.doc_id = s.doc_id AND pos.word = f.word AND pos.p BETWEEN s.s + f.o - 2 AND s.s + f.o + 2
+           GROUP BY s.item_id, s.i, s.doc_id, s.s, s.k HAVING count(DISTINCT f.o) = s.k)),
+near AS (SELECT doc_id, string_agg(item_id, ',' ORDER BY item_id) AS near_items FROM nearby GROUP BY doc_id),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(near_items, '') AS near_items
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 OP8_SQL = r"""
