@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from jobloom.llm.common import batch_of, ship, text_blocks
-from jobloom.llm.pretoken import Words
+from jobloom.llm.pretoken import Words, packs
 
-#: Words remembered by a worker; beyond it the memory starts anew.
-MOST_WORDS = 100_000
-#: Bytes of text that a worker encodes at once; the splitter's tables take many bytes for each.
+#: Words that either of a worker's two generations remembers: a full one becomes the old one, and what is met again moves on from there.
+MOST_WORDS = 50_000
+#: Bytes of a row's text read at once, and characters that a worker encodes at once, be they one text or many: the splitter's tables take many bytes for each.
 BLOCK_BYTES = 256 << 10
 
 
@@ -48,11 +48,21 @@ class ByteBpe:
         for word, i in vocabulary.items():
             self.bytes_of[i] = word.encode() if word in special else bytes(table[c] for c in word)
         self.sizes = np.array([len(x) for x in self.bytes_of], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.table = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
+        """Ids of words not known yet: those of the older generation move on, the library encodes the others."""
+        older, new = self.older, []
+        for w in words:
+            if (ids := older.get(w)) is None:
+                new.append(w)
+            else:
+                self.known[w] = ids
+        for i in range(0, len(new), 4096):
+            part = new[i : i + 4096]
             got = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
             ids = np.array(got.ids, "<u4").tobytes()
             cuts = np.searchsorted(np.array([-1 if x is None else x for x in got.word_ids]), np.arange(len(part) + 1)) * 4
@@ -61,15 +71,22 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        for part, owners in packs(texts, BLOCK_BYTES):
+            for owner, ids in zip(owners, self._encode(part)):
+                out[owner].append(ids)
+        return [b"".join(x) for x in out]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         words = Words(texts)
         data = words.data
-        pieces = [data[a:b] for a, b in zip(words.starts.tolist(), words.stops.tolist())]
+        found = [data[a:b] for a, b in zip(words.starts.tolist(), words.stops.tolist())]
         if len(self.known) > MOST_WORDS:
-            self.known.clear()
-        self.learn(sorted({*pieces} - self.known.keys()))
+            self.known, self.older = {}, self.known
+        self.learn(sorted({*found} - self.known.keys()))
         cuts = np.searchsorted(words.owner, np.arange(len(texts) + 1)).tolist()
         get = self.known.__getitem__
-        return [b"".join(map(get, pieces[a:b])) for a, b in zip(cuts, cuts[1:])]
+        return [b"".join(map(get, found[a:b])) for a, b in zip(cuts, cuts[1:])]
 
     def offsets(self, text: str, ids: bytes) -> np.ndarray:
         """Rows (start, end) in characters; a token with a part of a character covers all of it."""
@@ -80,8 +97,14 @@ class ByteBpe:
         return np.stack([character[starts], character[ends - 1] + 1], 1) if len(ends) else np.zeros((0, 2), np.int64)
 
     def decode(self, ids: bytes) -> bytes:
-        table = self.bytes_of
-        return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        """The bytes of all ids, looked up some at a time."""
+        numbers, out = np.frombuffer(ids, "<u4"), []
+        for i in range(0, len(numbers), BLOCK_BYTES >> 2):
+            some = numbers[i : i + (BLOCK_BYTES >> 2)]
+            sizes = self.sizes[some]
+            ends = np.cumsum(sizes)
+            out.append(self.table[np.repeat(self.begins[some] - (ends - sizes), sizes) + np.arange(int(ends[-1]))].tobytes())
+        return b"".join(out)
 
     def decode_stream(self, ids: Iterable[int]) -> Iterator[str]:
         """Text as it becomes complete: bytes of a split character wait for the rest of it; what never does becomes U+FFFD."""

@@ -12,6 +12,9 @@ its now known first state.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 from tokenizers.pre_tokenizers import ByteLevel
 
@@ -123,21 +126,20 @@ def flags_of(cls: np.ndarray, chunk: int = 256) -> np.ndarray:
 class Words:
     """Words of many texts: byte positions in ``data`` and the text that each is of."""
 
-    def __init__(self, texts: list[str], special: str | None = None):
+    def __init__(self, texts: list[str], special: list[str] | None = None):
         joined = "\0".join(texts) + "\0"
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         cls = classes(points)
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
         cls[ends] = END
         self.specials = np.zeros(len(texts), np.int64)
-        if special:
+        if special:  # longest first: the library takes the longest of the leftmost
+            find = re.compile("|".join(map(re.escape, special))).finditer
             for i, text in enumerate(texts):
-                at = text.find(special)
-                while at >= 0:
-                    begin = int(ends[i]) - len(text) + at
-                    cls[begin : begin + len(special)] = END
+                for m in find(text):
+                    begin = int(ends[i]) - len(text)
+                    cls[begin + m.start() : begin + m.end()] = END
                     self.specials[i] += 1
-                    at = text.find(special, at + len(special))
         flags = flags_of(cls)
         begins = (flags & HERE).astype(bool)
         begins[:-1] |= (flags[1:] & BEFORE).astype(bool)
@@ -156,3 +158,34 @@ class Words:
             size[1:] += (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
             place = np.cumsum(size)
             self.starts, self.stops = place[starts], place[stops]
+
+
+#: Between a sign or letter and a blank a word begins whatever stands around it, and no special string has a blank.
+_SEAM = re.compile(r"(?<=[!-~])[ \n]")
+
+
+def pieces(text: str, limit: int) -> Iterator[str]:
+    """Consecutive pieces of about ``limit`` characters that are split into words as the whole text is; without a seam a piece goes on."""
+    begin = 0
+    while len(text) - begin > limit:
+        seam = _SEAM.search(text, begin + limit)
+        if seam is None:
+            break
+        yield text[begin : seam.start()]
+        begin = seam.start()
+    yield text[begin:] if begin else text
+
+
+def packs(texts: list[str], limit: int) -> Iterator[tuple[list[str], list[int]]]:
+    """The pieces of many texts, some ``limit`` characters at a time, and the text that each is of."""
+    held, owners, size = [], [], 0
+    for i, text in enumerate(texts):
+        for piece in pieces(text, limit):
+            if held and size + len(piece) > limit:
+                yield held, owners
+                held, owners, size = [], [], 0
+            held.append(piece)
+            owners.append(i)
+            size += len(piece)
+    if held:
+        yield held, owners

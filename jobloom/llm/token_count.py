@@ -3,7 +3,10 @@
 A text passes through two transducers.  The first (``pretoken``) splits it into
 words; its chunks' state maps compose through a parallel prefix scan.  The second
 reads the bytes of every word; each of its transitions is annotated with the
-number of tokens that it adds to the encoding of what was read so far.
+number of tokens that it adds to the encoding of what was read so far.  It starts
+anew with each word, so a word is a chunk whose map needs one state; a long word
+is cut to chunks, whose maps (state at the end and tokens added, for the states that
+chunks before them end in) compose by a scan.
 
 That encoding is determined from left to right: the encoding of a prefix ends in
 exactly one token, the one vocabulary entry that is a suffix of the prefix and may
@@ -19,6 +22,8 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +33,13 @@ from pyspark.sql import DataFrame
 
 from jobloom.llm.byte_bpe import byte_table
 from jobloom.llm.common import batch_of, ship, text_blocks
-from jobloom.llm.pretoken import Words
+from jobloom.llm.pretoken import Words, packs
 
 ROOT = (b"", (-1,), (0,))
+#: Bytes of a word beyond which it is cut to chunks, bytes read before a chunk to find the state it likely starts in, and chunks taken at once.
+LONG, AHEAD, AT_ONCE = 512, 64, 256
+#: Characters of text that a worker counts at once, be they one text or many.
+BLOCK = 1 << 20
 
 
 class TokenTransducer:
@@ -41,7 +50,10 @@ class TokenTransducer:
             spec = json.load(f)
         table = byte_table()
         to_bytes = lambda s: bytes(table[c] for c in s)
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = sorted((t["content"] for t in spec["added_tokens"]), key=lambda x: (-len(x), x))
+        if any(t.get(flag) for t in spec["added_tokens"] for flag in ("lstrip", "rstrip", "single_word")):
+            raise ValueError("added tokens that look at what stands beside them are not supported")
+        self.block = sys.maxsize if any(re.search(r"\s", x) for x in self.special) else BLOCK
         special = set(self.special)
         self.ids = {to_bytes(s): i for s, i in spec["model"]["vocab"].items() if s not in special}
         self.split: dict[int, tuple[int, int]] = {}
@@ -204,11 +216,17 @@ class TokenTransducer:
             self._empty()
         sizes = stops - starts
         out = np.zeros(len(starts), np.int64)
-        for i in np.flatnonzero(sizes > 512).tolist():
-            out[i] = self.count_one(data[starts[i] : stops[i]])
-        order = np.argsort(-np.where(sizes > 512, 0, sizes).astype(np.int16), kind="stable")
-        lengths = np.where(sizes > 512, 0, sizes)[order]
-        place, state, total = starts[order], np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            out[i] = self.count_long(data, int(starts[i]), int(stops[i]))
+        lengths = np.where(sizes > LONG, 0, sizes)
+        out += self.run(data, starts, lengths, np.zeros(len(starts), np.int64))[1]
+        return out
+
+    def run(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State at the end and tokens added of each stretch of bytes, from a state at its start; all advance together, byte by byte."""
+        order = np.argsort(-lengths.astype(np.int16), kind="stable")  # LONG at most
+        lengths = lengths[order]
+        place, state, total = starts[order], states[order], np.zeros(len(order), np.int64)
         active = np.searchsorted(-lengths, -np.arange(int(lengths[0]) if len(lengths) else 0), "left")
         for j, n in enumerate(active.tolist()):
             at = state[:n] * 256 + data[place[:n] + j]
@@ -219,25 +237,33 @@ class TokenTransducer:
                 to = self.next.take(at)
             total[:n] += self.adds.take(at)
             state[:n] = to
-        out[order] += total
-        return out
-
-    def count_one(self, word: np.ndarray) -> int:
-        state = total = 0
-        for byte in word.tolist():
-            at = state * 256 + byte
-            to = int(self.next[at])
-            if to >= 0:
-                total += int(self.adds[at])
-            else:
-                if len(self.states) > 4 * self.most:
-                    kept = self.states[state]
-                    self._empty()
-                    self.numbers[kept] = state = 1
-                    self.states.append(kept)
-                to, adds = self.compile(state, byte)
-                total += adds
-            state = to
+        ends, added = np.empty_like(state), np.empty_like(total)
+        ends[order], added[order] = state, total
+        return ends, added
+
+    def count_long(self, data: np.ndarray, start: int, stop: int) -> int:
+        """Tokens of one long word.  Its chunks run from the states that the bytes just before them lead to; where the chunk before ends in another, it is run again from that."""
+        kept, total = ROOT, 0
+        for base in range(start, stop, LONG * AT_ONCE):
+            if len(self.states) > self.most:
+                self._empty()
+            first = self.numbers.get(kept)
+            if first is None:
+                first = self.numbers[kept] = len(self.states)
+                self.states.append(kept)
+            begins = np.arange(base, min(stop, base + LONG * AT_ONCE), LONG)
+            lengths = np.minimum(begins + LONG, stop) - begins
+            ahead = np.minimum(begins - base, AHEAD)
+            guessed = self.run(data, begins - ahead, ahead, np.zeros(len(begins), np.int64))[0]
+            guessed[0] = first
+            ends, added = self.run(data, begins, lengths, guessed)
+            wrong = np.flatnonzero(ends[:-1] != guessed[1:]) + 1
+            while len(wrong):  # composition: a chunk's start is the end of the one before
+                guessed[wrong] = ends[wrong - 1]
+                ends[wrong], added[wrong] = self.run(data, begins[wrong], lengths[wrong], guessed[wrong])
+                wrong = np.flatnonzero(ends[:-1] != guessed[1:]) + 1
+            total += int(added.sum())
+            kept = self.states[int(ends[-1])]
         return total
 
 
@@ -253,9 +279,11 @@ def transducer(path: str) -> TokenTransducer:
 def count_texts(texts: list[str], path: str) -> tuple[list[int], list[int]]:
     """UTF-8 bytes and tokens of each text.  The vocabulary's special strings count as one token each, as the library takes them by default."""
     machine = transducer(path)
-    words = Words(texts, machine.special[0] if machine.special else None)
-    counts = machine.count(np.frombuffer(words.data, np.uint8), words.starts, words.stops)
-    tokens = np.bincount(words.owner, counts, len(texts)).astype(np.int64) + words.specials
+    tokens = np.zeros(len(texts), np.int64)
+    for part, owners in packs(texts, machine.block):
+        words = Words(part, machine.special)
+        counts = machine.count(np.frombuffer(words.data, np.uint8), words.starts, words.stops)
+        np.add.at(tokens, owners, np.bincount(words.owner, counts, len(part)).astype(np.int64) + words.specials)
     return [len(x.encode()) for x in texts], tokens.tolist()
 
 
