@@ -5,14 +5,18 @@ A row that is dropped leaves no keys behind, so chained distincts give another
 result: the kept rows are the first maximal set without shared keys.  They are
 found in rounds: rows that come first for both of their keys are kept, and rows
 that share a key with them go.  A round is joins and partial aggregates; the
-number of rounds grows with the logarithm of the rows for random orders.
+number of rounds grows with the logarithm of the rows for random orders.  Chains,
+where each row waits for the one before, would take a round for each: what some
+rounds leave is settled in order, group by group of rows that hang together, in
+streams that hold the keys kept so far and no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,21 +31,55 @@ def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return best.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in df.columns])
 
 
-def two_key_first(rows: DataFrame, seq: str = "seq", first: str = "url", second: str = "content_hash", most_rounds: int = 100) -> DataFrame:
+def two_key_first(rows: DataFrame, seq: str = "seq", first: str = "url", second: str = "content_hash", rounds: int = 12) -> DataFrame:
     """(seq, first, second) of the rows that an ordered insert keeps.  seq is unique; rows with a null key are not kept."""
+    ship(rows.sparkSession)
     left = Stored(rows.select(F.col(seq).alias("s"), F.col(first).alias("u"), F.col(second).alias("h")).filter("u IS NOT NULL AND h IS NOT NULL"))
     kept = None
-    for _ in range(most_rounds):
-        by_u = left.df.groupBy("u").agg(F.min("s").alias("s"))
-        by_h = left.df.groupBy("h").agg(F.min("s").alias("s"))
-        chosen = stored(by_u.join(by_h, "s").select("s", "u", "h"))
+    for turn in range(rounds + 1):
+        if turn == rounds:
+            chosen = _in_order(left.df)
+        else:
+            by_u = left.df.groupBy("u").agg(F.min("s").alias("s"))
+            by_h = left.df.groupBy("h").agg(F.min("s").alias("s"))
+            chosen = stored(by_u.join(by_h, "s").select("s", "u", "h"))
         kept = chosen if kept is None else kept.union(chosen)
+        if turn == rounds:
+            break
         after = Stored(left.df.join(chosen.select("u"), "u", "left_anti").join(chosen.select("h"), "h", "left_anti"))
         left.drop()
         left = after
         if left.df.isEmpty():
-            return kept.select(F.col("s").alias(seq), F.col("u").alias(first), F.col("h").alias(second))
-    raise RuntimeError("rounds did not settle")
+            break
+    return kept.select(F.col("s").alias(seq), F.col("u").alias(first), F.col("h").alias(second))
+
+
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def _in_order(left: DataFrame) -> DataFrame:
+    """(s, u, h) of the rows kept, by reading each group of rows linked by keys in order."""
+    kind = left.schema["s"].dataType.simpleString()
+    pairs = stored(left.select(F.col("s").alias("node"), F.explode(F.array(F.concat(F.lit("u"), "u"), F.concat(F.lit("h"), "h"))).alias("key")))
+    grouped = left.join(_components(pairs), left.s == F.col("node")).select("root", "s", F.xxhash64("u").alias("u"), F.xxhash64(F.lit(1), "h").alias("h"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(_streamed(batches), lambda r: r[0]):
+            taken, out = set(), []
+            for _, s, u, h in rows:
+                if u not in taken and h not in taken:
+                    taken |= {u, h}
+                    out.append(s)
+                if len(out) >= 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(out)], names=["s"])
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(out)], names=["s"])
+
+    chosen = grouped.repartition("root").sortWithinPartitions("root", "s").mapInArrow(run, f"s {kind}")
+    return stored(left.join(chosen, "s").select("s", "u", "h"))
 
 
 def insert_new(store: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
@@ -50,31 +88,25 @@ def insert_new(store: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFram
     return batch.join(two_key_first(fresh, seq).select(seq), seq, "left_semi")
 
 
-def fold(store: Iterable[dict], batch: Iterable[dict]) -> tuple[list[dict], list[tuple[int, str]]]:
-    """Sequential rule, row by row: rows of the store afterwards, and (seq, outcome) of each batch row."""
-    by_url = {r["url"]: dict(r) for r in store}
+def outcomes_in_order(rows: Iterator[tuple]) -> Iterator[tuple[int, str]]:
+    """(seq, outcome) of a group's batch rows, from (seq, url, hash, blank) in order, the stored ones (seq null) first.
+
+    A row whose url is stored with a blank description updates it; else a row whose
+    url or hash is stored is a duplicate; else it is inserted.
+    """
+    by_url: dict[str, tuple[str, bool]] = {}
     hashes: dict[str, int] = {}
-    for r in by_url.values():
-        hashes[r["content_hash"]] = hashes.get(r["content_hash"], 0) + 1
-    outcomes = []
-    for row in batch:
-        old = by_url.get(row["url"])
-        if old is not None:
-            if old["job_description"] is not None and str(old["job_description"]).strip():
-                outcomes.append((row["seq"], "duplicate"))
+    for seq, url, digest, blank in rows:
+        old = by_url.get(url)
+        if seq is not None:
+            if old is not None and not old[1] or old is None and hashes.get(digest, 0) > 0:
+                yield seq, "duplicate"
                 continue
-            hashes[old["content_hash"]] -= 1
-            for c in ("job_description", "last_updated", "scraped_at", "content_hash"):
-                old[c] = row[c]
-            outcomes.append((row["seq"], "updated"))
-        elif hashes.get(row["content_hash"], 0) > 0:
-            outcomes.append((row["seq"], "duplicate"))
-            continue
-        else:
-            by_url[row["url"]] = {k: v for k, v in row.items() if k != "seq"}
-            outcomes.append((row["seq"], "inserted"))
-        hashes[row["content_hash"]] = hashes.get(row["content_hash"], 0) + 1
-    return list(by_url.values()), outcomes
+            if old is not None:
+                hashes[old[0]] -= 1
+            yield seq, "inserted" if old is None else "updated"
+        by_url[url] = digest, blank
+        hashes[digest] = hashes.get(digest, 0) + 1
 
 
 def _components(pairs: DataFrame) -> DataFrame:
@@ -113,45 +145,53 @@ def settled(store: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
-    """(store afterwards, outcomes (seq, outcome)) of saving ``batch`` in order.
+    """(store afterwards, outcomes (seq, outcome)) of saving ``batch`` in order; urls of the store and seq are unique.
 
     Rows that are ``settled`` go first.  Of the others, those whose group of shared
     keys holds no blank description can only be inserted or dropped, and take the
     rounds.  The rest can rewrite stored descriptions and hashes, which makes
     them depend on each other's order; each such group (rows linked by url or
-    hash) is folded in one task.  Stored rows that no batch row touches are passed
-    on as they are.
+    hash) is read in order by one task, which sees keys and whether a description is
+    blank, no texts, and keeps a link's hash, no rows.  The rows themselves meet in
+    joins afterwards.
     """
     ship(batch.sparkSession)
     columns = [c for c in batch.columns if c != seq]
     old = stored(store.select(*columns))
     came = stored(batch)
     sure = stored(settled(old, came, seq))
-    new = stored(came.join(sure, seq, "left_anti").select(*came.columns))
-    touched = stored(old.join(new.select("url").distinct(), "url", "left_semi").union(old.join(new.select("content_hash").distinct(), "content_hash", "left_semi").select(*old.columns)).distinct())
-    nodes = stored(touched.withColumn(seq, F.lit(None).cast("bigint")).select(*columns, seq).union(new.select(*columns, F.col(seq).cast("bigint"))).withColumn("node", F.xxhash64("url", F.coalesce(F.col(seq), F.lit(-1)))))
-    pairs = stored(nodes.select("node", F.concat(F.lit("u"), "url").alias("key")).union(nodes.select("node", F.concat(F.lit("h"), "content_hash").alias("key"))))
+    blank = is_blank(F.col("job_description")).alias("blank")
+    new = stored(came.join(sure, seq, "left_anti").select(F.col(seq).cast("bigint").alias("seq"), "url", "content_hash", blank))
+    known = old.select(F.lit(None).cast("bigint").alias("seq"), "url", "content_hash", blank)
+    touched = stored(known.join(new.select("url").distinct(), "url", "left_semi").select(*known.columns).union(known.join(new.select("content_hash").distinct(), "content_hash", "left_semi").select(*known.columns)).distinct())
+    nodes = stored(touched.union(new).withColumn("node", F.xxhash64("url", F.coalesce("seq", F.lit(-1)))))
+    pairs = stored(nodes.select("node", F.explode(F.array(F.concat(F.lit("u"), "url"), F.concat(F.lit("h"), "content_hash"))).alias("key")))
     named = stored(nodes.join(_components(pairs), "node"))
-    loose = stored(named.filter(is_blank(F.col("job_description"))).select("root").distinct())
-    plain_new = named.join(loose, "root", "left_anti").filter(F.col(seq).isNotNull()).select(*columns, seq)
-    inserted = stored(insert_new(old, plain_new, seq))
-    plain_out = plain_new.join(inserted.select(F.col(seq), F.lit("inserted").alias("o")), seq, "left").select(seq, F.coalesce("o", F.lit("duplicate")).alias("outcome"))
-
-    # As text: pandas would turn whole numbers with nulls among them into floats.
-    schema = named.select(*columns, F.col(seq).cast("string").alias("__seq")).schema
-    fields = [f.name for f in schema]
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.astype(object).where(rows.notna(), None)
-        records = rows.to_dict("records")
-        held = [{c: r[c] for c in columns} for r in records if r[seq] is None]
-        coming = sorted((r for r in records if r[seq] is not None), key=lambda r: int(r[seq]))
-        after, outcomes = fold(held, [{c: r[c] for c in columns} | {"seq": int(r[seq])} for r in coming])
-        out = [r | {"__seq": None, "outcome": None} for r in after] + [dict.fromkeys(columns) | {"__seq": str(s), "outcome": o} for s, o in outcomes]
-        return pd.DataFrame(out, columns=[*fields, "outcome"])
-
-    folded = stored(named.join(loose, "root", "left_semi").withColumn(seq, F.col(seq).cast("string")).groupBy("root").applyInPandas(run, schema.add("outcome", "string")))
-    changed = folded.filter("outcome IS NULL").select(*columns)
-    kept = old.join(touched.join(named.join(loose, "root", "left_semi").filter(F.col(seq).isNull()).select("url"), "url", "left_semi").select("url"), "url", "left_anti")
-    result = kept.select(*columns).union(changed).union(inserted.select(*columns))
-    return result, sure.select(F.col(seq).cast("bigint").alias(seq), F.lit("duplicate").alias("outcome")).union(plain_out).union(folded.filter("outcome IS NOT NULL").select(F.col("__seq").cast("bigint").alias(seq), "outcome"))
+    loose = stored(named.filter("blank").select("root").distinct())
+    plain = named.join(loose, "root", "left_anti").filter("seq IS NOT NULL").select("seq", "url", "content_hash")
+    inserted = stored(insert_new(old, plain).select("seq"))
+    plain_out = plain.join(inserted.withColumn("o", F.lit("inserted")), "seq", "left").select("seq", F.coalesce("o", F.lit("duplicate")).alias("outcome"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(_streamed(batches), lambda r: r[0]):
+            out: list[tuple[int, str]] = []
+            for found in outcomes_in_order(r[1:] for r in rows):
+                out.append(found)
+                if len(out) >= 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names=["seq", "outcome"])
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names=["seq", "outcome"])
+
+    groups = named.join(loose, "root", "left_semi").select("root", "seq", "url", "content_hash", "blank")
+    folded = groups.repartition("root").sortWithinPartitions("root", F.col("seq").asc_nulls_first()).mapInArrow(run, "seq bigint, outcome string")
+    outcomes = stored(sure.select(F.col(seq).cast("bigint").alias("seq"), F.lit("duplicate").alias("outcome")).union(plain_out).union(folded))
+
+    by_seq = came.withColumn("seq", F.col(seq).cast("bigint"))
+    taken = by_seq.join(outcomes.filter("outcome <> 'duplicate'"), "seq")
+    fresh = taken.filter("outcome = 'inserted'").select(*columns)
+    written = ("job_description", "last_updated", "scraped_at", "content_hash")
+    last = taken.filter("outcome = 'updated'").groupBy("url").agg(F.max_by(F.struct(*written), "seq").alias("__new"))
+    rows = old.select(*columns).union(fresh).join(last, "url", "left")
+    after = rows.select(*[F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in written else F.col(c) for c in columns])
+    return after, outcomes.select(F.col("seq").alias(seq), "outcome")

@@ -81,6 +81,30 @@ def batch_of(spark, rows, seq=True):
     return spark.createDataFrame([(u, d, None, None, h, *([i] if seq else [])) for i, (u, d, h) in enumerate(rows)], schema)
 
 
+def fold(store, batch):
+    """The sequential rule, row by row: rows of the store afterwards, and (seq, outcome) of each batch row."""
+    by_url, outcomes = {r["url"]: dict(r) for r in store}, []
+    for row in batch:
+        old = by_url.get(row["url"])
+        if old is not None and (old["job_description"] or "").strip():
+            outcomes.append((row["seq"], "duplicate"))
+        elif old is not None:
+            old.update({c: row[c] for c in ("job_description", "last_updated", "scraped_at", "content_hash")})
+            outcomes.append((row["seq"], "updated"))
+        elif any(r["content_hash"] == row["content_hash"] for r in by_url.values()):
+            outcomes.append((row["seq"], "duplicate"))
+        else:
+            by_url[row["url"]] = {k: v for k, v in row.items() if k != "seq"}
+            outcomes.append((row["seq"], "inserted"))
+    return list(by_url.values()), outcomes
+
+
+def test_a_chain_settles(spark):
+    """Every row shares a key with the next, so that rounds alone would settle two rows each."""
+    rows = batch_of(spark, [(f"u{(i + 1) // 2}", "d", f"h{i // 2}") for i in range(1000)])
+    assert sorted(r.seq for r in dedup.two_key_first(rows, rounds=3).collect()) == list(range(0, 1000, 2))
+
+
 def test_dropped_rows_leave_no_keys(spark):
     rows = batch_of(spark, [("u1", "d", "h1"), ("u2", "d", "h1"), ("u2", "d", "h2")])
     assert sorted(r.seq for r in dedup.two_key_first(rows).collect()) == [0, 2]
@@ -94,10 +118,17 @@ def test_upsert_equals_the_sequential_rule(spark, seed):
     batch = [(f"u{rng.randint(0, 39)}", rng.choice(kinds), f"h{rng.randint(0, 60)}") for _ in range(70)]
     names = ("url", "job_description", "content_hash")
     record = lambda r, **more: dict(zip(names, r)) | {"last_updated": None, "scraped_at": None} | more
-    want, outcomes = dedup.fold([record(r) for r in store.values()], [record(r, seq=i) for i, r in enumerate(batch)])
+    want, outcomes = fold([record(r) for r in store.values()], [record(r, seq=i) for i, r in enumerate(batch)])
     after, got = dedup.upsert(batch_of(spark, list(store.values()), seq=False), batch_of(spark, batch))
     assert sorted((r.url, r.job_description or "", r.content_hash) for r in after.collect()) == sorted((r["url"], r["job_description"] or "", r["content_hash"]) for r in want)
     assert sorted((r.seq, r.outcome) for r in got.collect()) == sorted(outcomes)
+    rows = batch_of(spark, batch)
+    seqs, hashes = set(), set()
+    for i, (u, _, h) in enumerate(batch):
+        if u not in seqs and h not in hashes:
+            seqs.add(u), hashes.add(h)
+    assert {(r.url, r.content_hash) for r in dedup.two_key_first(rows, rounds=1).collect()} == {(r.url, r.content_hash) for r in dedup.two_key_first(rows).collect()}
+    assert {r.url for r in dedup.two_key_first(rows, rounds=0).collect()} == seqs
 
 
 def test_settled_rows_skip_the_fold(spark):
