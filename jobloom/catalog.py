@@ -9,12 +9,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions import anchors, postings, text, urls
 from jobloom.operators import dedup, dml, links, maintain, schedule
 from jobloom.runtime import shared_folder, ship, table
+from jobloom.sources import boards
 from jobloom.streaming import messages
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -303,11 +304,8 @@ def touch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY nullif(p_size % 10, 0) NULLS LAST, lower(p_name), p_partkey) AS place FROM part")
 def nulls_last_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rank with nulls last, then title, then place, within a brand (part)."""
-    from pyspark.sql import Window
-
-    rank = F.nullif(F.col("p_size") % 10, F.lit(0))
-    order = Window.partitionBy("p_brand").orderBy(rank.asc_nulls_last(), F.lower("p_name"), "p_partkey")
-    return table(spark, sf_dir, "part").select("p_partkey", F.row_number().over(order).alias("place"))
+    rows = table(spark, sf_dir, "part").select("p_brand", F.nullif(F.col("p_size") % 10, F.lit(0)).alias("rank"), F.col("p_name").alias("title"), F.col("p_partkey").alias("pos"))
+    return rows.select(F.col("pos").alias("p_partkey"), F.row_number().over(Window.partitionBy("p_brand").orderBy(*schedule.rank_order())).alias("place"))
 
 
 def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,14 +357,68 @@ def rate_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with what a detail table has of them (customer, orders)."""
     detail = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
-    return table(spark, sf_dir, "customer").select("c_custkey").join(detail, "c_custkey", "left").fillna(0, ["n_orders"])
+    return postings.with_detail(table(spark, sf_dir, "customer").select("c_custkey"), detail, ["c_custkey"]).fillna(0, ["n_orders"])
 
 
-@_query("""SELECT s_suppkey, '{"title":"' || s_name || '","location":null,"rank":' || s_nationkey || '}' AS body FROM supplier""")
+@_query("""
+SELECT '{"event_id":"' || s_suppkey || '","event_type":"job.scrape.request","occurred_at":"2024-01-02","payload":{"rank":' || s_nationkey || ',"title":"' || s_name || '","url":"https://h/' || s_suppkey
+       || '","location":null,"company":null,"salary":null,"summary":null,"email_subject":null,"email_sender":null,"source":"email_raw_manual"}}' AS body FROM supplier
+""")
 def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows as JSON with nulls kept (supplier)."""
-    row = F.struct(F.col("s_name").alias("title"), F.lit(None).cast("string").alias("location"), F.col("s_nationkey").alias("rank"))
-    return table(spark, sf_dir, "supplier").select("s_suppkey", F.to_json(row, {"ignoreNullFields": "false"}).alias("body"))
+    """Rows as messages with nulls kept (supplier)."""
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("title"), F.col("s_nationkey").alias("rank"), F.concat(F.lit("https://h/"), F.col("s_suppkey").cast("string")).alias("url"))
+    return messages.envelope(rows, F.lit("2024-01-02"), F.col("s_suppkey").cast("string"))
+
+
+@_query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2 AND n_nationkey % 3 = 0")
+def enabled_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies of one source that are enabled; null is not (nation: companies, regions are sources)."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("company_endpoint"), F.col("n_regionkey").cast("string").alias("source_id"), F.when(F.col("n_nationkey") % 3 == 0, True).when(F.col("n_nationkey") % 3 == 1, False).alias("enabled"))
+    return boards.enabled_companies(nation, "2").select("n_nationkey", F.col("company_endpoint").alias("n_name"))
+
+
+@_query("SELECT r_regionkey, CASE WHEN r_regionkey = 2 THEN 1 ELSE 0 END AS k FROM region WHERE r_name = 'ASIA'")
+def source_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings of the source of a name, empty where null (region)."""
+    config = F.when(F.col("r_regionkey") == 2, F.parse_json(F.lit('{"k": 1}')))
+    rows = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("name"), config.alias("config"))
+    return boards.source_config(rows, "ASIA").select("r_regionkey", F.coalesce(postings.field(F.col("config"), "$.k", "int"), F.lit(0)).alias("k"))
+
+
+@_query("SELECT coalesce(CAST(nullif(s_nationkey, 0) AS VARCHAR), '?') AS rank, s_name AS title, substr(repeat(s_name || ' ', 20), 1, 220) AS summary FROM supplier")
+def console_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as a console shows them (supplier)."""
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("company", "location", "salary", "url")]
+    rows = table(spark, sf_dir, "supplier").select(F.nullif("s_nationkey", F.lit(0)).alias("rank"), F.col("s_name").alias("title"), F.repeat(F.concat("s_name", F.lit(" ")), F.lit(20)).alias("summary"), *nothing)
+    return links.preview(rows).select("rank", "title", "summary")
+
+
+@_query("""
+SELECT s_suppkey, 'https://h/' || s_suppkey AS url, s_name AS job_title, CASE s_suppkey % 3 WHEN 0 THEN 'email_raw_manual' WHEN 1 THEN 'web' END AS source_website, 'active' AS status, s_acctbal < 0 AS remote_allowed
+FROM supplier WHERE s_acctbal >= 0 UNION ALL SELECT s_suppkey, 'https://h/' || s_suppkey, s_name, CASE s_suppkey % 3 WHEN 0 THEN 'email_raw_manual' WHEN 1 THEN 'web' END, 'active', false FROM supplier WHERE s_acctbal < 0
+""")
+def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads as postings; the default source stands for an absent key, not for a null (supplier)."""
+    ship(spark)
+    k = F.col("s_suppkey")
+    source = F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit(',"source":"web"')).otherwise(F.lit(',"source":null'))
+    body = F.concat(F.lit('{"url":"HTTPS://H/'), k.cast("string"), F.lit('","title":"'), "s_name", F.lit('"'), source, F.lit("}"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.parse_json(body).alias("payload"))
+    return postings.from_payload(rows, F.lit(None).cast("timestamp_ntz"), keep=("s_suppkey",)).select("s_suppkey", "url", "job_title", "source_website", "status", "remote_allowed")
+
+
+@_query("""
+SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 AND s_suppkey % 8 = 0 THEN 'new ' || s_suppkey ELSE s_name END AS job_title, CASE WHEN s_suppkey % 4 = 0 AND s_suppkey % 8 = 0 THEN NULL ELSE 'pay' END AS salary_range FROM supplier
+""")
+def enrich_or_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings whose link is a board link with a known detail are replaced whole (supplier)."""
+    k = F.col("s_suppkey")
+    number = k.cast("string")
+    rows = table(spark, sf_dir, "supplier")
+    link = F.when(k % 4 == 0, F.concat(F.lit("https://boards.greenhouse.io/Acme/jobs/0"), number)).otherwise(F.concat(F.lit("https://h/"), number))
+    own = rows.select(*postings.posted(url=link, job_title=F.col("s_name"), salary_range=F.lit("pay")), "s_suppkey")
+    details = rows.filter(k % 8 == 0).select(F.lit("acme").alias("board"), number.alias("job_id"), *postings.posted(url=link, job_title=F.concat(F.lit("new "), number)))
+    return postings.enriched(own, details, True).select("s_suppkey", "job_title", "salary_range")
 
 
 @_query()
@@ -375,7 +427,7 @@ def newsletter_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.job_entries(table(spark, sf_dir, "pages"), "page_id", "html", HOST + "/jobs")
 
 
-@_query()
+@_query(_SQL["dispositions"])
 def stream_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same validation as a stream: messages as files, replayed once through foreachBatch."""
     top = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"

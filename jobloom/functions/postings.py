@@ -122,6 +122,11 @@ def enriched(postings: DataFrame, details: DataFrame, enabled: bool) -> DataFram
     return joined.withColumn("__row", F.when(F.col("__detail").isNotNull(), F.col("__detail")).otherwise(own)).select("__row.*", *[c for c in postings.columns if c not in names])
 
 
+def with_detail(rows: DataFrame, details: DataFrame, keys: list[str]) -> DataFrame:
+    """All ``rows`` with the columns of their detail, null where there is none: the left join of a list with what was looked up for it.  Keys are unique in ``details``."""
+    return rows.join(details, keys, "left")
+
+
 def card_line(parent: Column, title: Column) -> Column:
     """struct(rank, location, company, salary) of a line such as ``1) Title (Place), Company - Pay``."""
     parent, title = text.clean_text(parent), text.clean_text(title)

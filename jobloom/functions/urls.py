@@ -111,7 +111,3 @@ def canonical_http_url(url: Column) -> Column:
     """Trimmed, scheme and host in lower case, a slash for an empty path, no default port, ASCII; null for what is no http(s) URL."""
     return F.udf(_canonical, "string", useArrow=True)(url)
 
-
-def is_http_url(url: Column) -> Column:
-    """Cheap test that stays in the JVM; ``canonical_http_url`` decides finer points."""
-    return F.coalesce(strip(url).rlike(r"(?i)^https?://[^\s/?#@:]+(?::\d{1,5})?(?:[/?#].*)?$"), F.lit(False))

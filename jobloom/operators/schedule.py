@@ -54,9 +54,13 @@ def run_stats(companies: DataFrame, fetched: DataFrame, outcomes: DataFrame, err
     return out.fillna(0, ["fetched", "with_description", "saved", "duplicates", "failed"])
 
 
-def by_rank(rows: DataFrame, rank: str = "rank", title: str = "title", pos: str = "pos") -> DataFrame:
+def rank_order(rank: str = "rank", title: str = "title", pos: str = "pos") -> list[Column]:
     """By rank with nulls last, then title in lower case, then place."""
-    return rows.orderBy(F.col(rank).asc_nulls_last(), F.lower(title), pos)
+    return [F.col(rank).asc_nulls_last(), F.lower(title), F.col(pos)]
+
+
+def by_rank(rows: DataFrame, rank: str = "rank", title: str = "title", pos: str = "pos") -> DataFrame:
+    return rows.orderBy(*rank_order(rank, title, pos))
 
 
 def keyword_matches(docs: DataFrame, keywords: list[str], text: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import postings
-from jobloom.operators import dedup, links
+from jobloom.operators import dedup, dml, links, schedule
 from jobloom.runtime import stored
 from jobloom.streaming import messages
 
@@ -29,6 +29,34 @@ def crawl(rows: DataFrame, companies: DataFrame, store: DataFrame, root: str, so
     return after, outcomes.join(numbered.select("seq", "company_endpoint"), "seq"), failed
 
 
+def run_source(rows: DataFrame, companies: DataFrame, sources: DataFrame, store: DataFrame, root: str, source: str, now: Column) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """A run of a source over its rows (board, body, detail, error): the store, companies and sources afterwards, and the run's statistics (one row).
+
+    Companies whose list came are touched; the source is touched whatever came, as a
+    run that found nothing was a run.
+    """
+    mine = sources.filter(F.col("name") == source).select(F.col("id").alias("source_id"))
+    ours = companies.join(F.broadcast(mine), "source_id", "left_semi").filter(F.coalesce("enabled", F.lit(False)))
+    after, outcomes, errors = crawl(rows, ours, store, root, source, now)
+    outcomes, errors = stored(outcomes), stored(errors)
+    failed = errors.filter("error <> 'row error'").select("company_endpoint").distinct()
+    came = rows.filter("error IS NULL").select(F.col("board").alias("company_endpoint"), F.lit(source).alias("source"), F.lit(None).cast("string").alias("job_description"))
+    done = stored(ours.join(failed, "company_endpoint", "left_anti").select(F.col("id").alias("__id")).distinct())
+    hit = F.col("__id").isNotNull()
+    touched = companies.join(done, companies.id == done["__id"], "left").select(*[F.when(hit, now).otherwise(F.col(c)).alias(c) if c in ("last_fetched_at", "updated_at") else F.col(c) for c in companies.columns])
+    sources = sources.select(*[F.when(F.col("name") == source, now).otherwise(F.col(c)).alias(c) if c in ("last_run_at", "updated_at") else F.col(c) for c in sources.columns])
+    named = lambda df: df.withColumn("source", F.lit(source))
+    return after, touched, sources, schedule.run_stats(named(ours), came, named(outcomes), named(errors), "source")
+
+
+def lookup(found: DataFrame, root: str, source: str, now: Column) -> DataFrame:
+    """Postings of single links' details (url, board, job_id, detail); links whose request failed or whose row is faulty have none."""
+    parsed = found.filter("detail IS NOT NULL").select("board", F.try_parse_json("detail").alias("row")).withColumn("company_name", postings.company_name(F.col("row"), F.col("board"))).withColumn("text", postings.description(F.col("row")))
+    taken = postings.from_api(parsed, root, source, now, board="board", keep=("text",))
+    good = taken.filter("NOT row_error")
+    return good.select(*[F.col("text").alias(c) if c == "job_description" else F.col(c) for c in good.columns if c not in ("text", "row_error")])
+
+
 def newsletter(mails: DataFrame, now: Column, base: str = "") -> DataFrame:
     """Messages of the job links of mails (path, subject, sender, html)."""
     entries = links.job_entries(mails, base=base)

@@ -49,6 +49,8 @@ def shared_folder(spark: SparkSession) -> str:
     set_already = sc._jsc.sc().getCheckpointDir()
     found = spark.conf.get("spark.checkpoint.dir", None) or (set_already.get() if set_already.isDefined() else None)
     if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="jobloom-shared-")
         atexit.register(shutil.rmtree, found, True)
         sc.setCheckpointDir(found)

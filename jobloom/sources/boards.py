@@ -9,53 +9,69 @@ import os
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Iterator
+from types import SimpleNamespace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from jobloom.functions import urls
 from jobloom.runtime import ship
 
 
-class _Board(InputPartition):
-    def __init__(self, board: str):
-        self.board = board
+#: Tasks that ask a source at the same time, at most; each waits so long between requests that all together keep the source's rate.
+LANES = 4
+
+
+def _get(base: str, path: str, suffix: str, timeout: float):
+    try:
+        with urllib.request.urlopen(f"{base}/{path}{suffix}", timeout=timeout) as answer:
+            return json.load(answer)
+    except (urllib.error.URLError, ValueError, OSError):
+        return None
+
+
+def gap_seconds(per_minute: float | None, lanes: int) -> float:
+    """Seconds that each of some lanes leaves between requests; no limit without a positive rate."""
+    return lanes * 60.0 / per_minute if per_minute and per_minute > 0 else 0.0
+
+
+class _Lane(InputPartition):
+    def __init__(self, boards: list[str]):
+        self.boards = boards
 
 
 class _BoardReader(DataSourceReader):
     def __init__(self, options):
         self.base, self.boards = options["base_url"].rstrip("/"), [b for b in options["boards"].split(",") if b]
         self.suffix, self.timeout = options.get("suffix", ""), float(options.get("timeout", 30))
-        self.gap = 60.0 / float(options["per_minute"]) if float(options.get("per_minute") or 0) > 0 else 0.0
+        self.lanes = max(1, min(len(self.boards), int(options.get("lanes", LANES))))
+        self.gap = gap_seconds(float(options.get("per_minute") or 0), self.lanes)
         self.details = options.get("details", "false").lower() == "true"
 
     def partitions(self):
-        return [_Board(b) for b in self.boards]
+        return [_Lane(self.boards[i :: self.lanes]) for i in range(self.lanes)]
 
-    def _get(self, path: str):
-        if self.gap:
+    def read(self, partition):
+        def get(path: str):
             time.sleep(self.gap)
-        try:
-            with urllib.request.urlopen(f"{self.base}/{path}{self.suffix}", timeout=self.timeout) as answer:
-                return json.load(answer)
-        except (urllib.error.URLError, ValueError, OSError):
-            return None
+            return _get(self.base, path, self.suffix, self.timeout)
 
-    def read(self, partition):
-        listed = self._get(f"boards/{partition.board}/jobs")
-        if not isinstance(listed, dict):
-            yield partition.board, None, None, "list request failed"
-            return
-        for row in listed.get("jobs") or []:
-            job_id = row.get("id") if isinstance(row, dict) else None
-            detail = self._get(f"boards/{partition.board}/jobs/{job_id}") if self.details and job_id else None
-            yield partition.board, json.dumps(row), json.dumps(detail) if detail is not None else None, None
+        for board in partition.boards:
+            listed = get(f"boards/{board}/jobs")
+            if not isinstance(listed, dict):
+                yield board, None, None, "list request failed"
+                continue
+            for row in listed.get("jobs") or []:
+                job_id = row.get("id") if isinstance(row, dict) else None
+                detail = get(f"boards/{board}/jobs/{job_id}") if self.details and job_id else None
+                yield board, json.dumps(row), json.dumps(detail) if detail is not None else None, None
 
 
 class BoardSource(DataSource):
-    """``spark.read.format("posting_boards")``: one partition per board; options base_url, boards (comma-joined), details, per_minute, timeout, suffix."""
+    """``spark.read.format("posting_boards")``: boards dealt to a few partitions; options base_url, boards (comma-joined), details, per_minute (of all partitions together), lanes, timeout, suffix."""
 
     @classmethod
     def name(cls):
@@ -68,8 +84,46 @@ class BoardSource(DataSource):
         return _BoardReader(self.options)
 
 
-#: (type, name) of a source to the format that reads it.  New sources are added here.
-REGISTRY: dict[tuple[str, str], str] = {("api", "greenhouse"): "posting_boards"}
+class PostingSource:
+    """What a source offers: rows (board, body, detail, error) of boards, single postings by link, and its rate.  A new kind of source is a subclass in ``REGISTRY``."""
+
+    def __init__(self, spark: SparkSession, config: dict):
+        self.spark, self.options = spark, {k: str(v) for k, v in (config.get("config") or {}).items() if v is not None}
+        rate = config.get("rate_limit_per_minute")
+        self.per_minute = 60 if rate is None else rate
+
+    def rows(self, boards: list[str]) -> DataFrame:
+        raise NotImplementedError
+
+    def lookup(self, links: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+
+class BoardApi(PostingSource):
+    def rows(self, boards: list[str]) -> DataFrame:
+        register(self.spark)
+        return self.spark.read.format("posting_boards").options(**self.options, per_minute=str(self.per_minute), boards=",".join(boards)).load()
+
+    def lookup(self, links: DataFrame) -> DataFrame:
+        """links (url) that are board links, with board, job_id and detail (JSON, or null where the request fails): one request each, spread over the lanes."""
+        ship(self.spark)
+        base, suffix = self.options["base_url"].rstrip("/"), self.options.get("suffix", "")
+        lanes, timeout = int(self.options.get("lanes", LANES)), float(self.options.get("timeout", 30))
+        gap = gap_seconds(self.per_minute, lanes)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    time.sleep(gap)
+                    found = _get(base, f"boards/{row['board']}/jobs/{row['job_id']}", suffix, timeout)
+                    yield pa.RecordBatch.from_pylist([row | {"detail": json.dumps(found) if isinstance(found, dict) else None}], schema=pa.schema([(c, pa.string()) for c in ("url", "board", "job_id", "detail")]))
+
+        known = links.select("url", urls.board_token(F.col("url")).alias("board"), urls.board_job_id(F.col("url")).alias("job_id")).filter("board IS NOT NULL").distinct()
+        return known.repartition(lanes).mapInArrow(run, "url string, board string, job_id string, detail string")
+
+
+#: (type, name) of a source to its class.  New sources are added here.
+REGISTRY: dict[tuple[str, str], type[PostingSource]] = {("api", "greenhouse"): BoardApi}
 
 
 def register(spark: SparkSession) -> None:
@@ -77,15 +131,10 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(BoardSource)
 
 
-def create(spark: SparkSession, config: dict) -> Callable[[list[str]], DataFrame] | None:
-    """A function from boards to rows for a source's settings; None for a source that no format reads."""
-    name = REGISTRY.get((config.get("type"), config.get("name")))
-    if name is None:
-        return None
-    register(spark)
-    options = {k: str(v) for k, v in (config.get("config") or {}).items() if v is not None}
-    rate = config.get("rate_limit_per_minute")
-    return lambda boards: spark.read.format(name).options(**options, per_minute=str(60 if rate is None else rate), boards=",".join(boards)).load()
+def create(spark: SparkSession, config: dict) -> PostingSource | None:
+    """The source that a row of settings names; None for one that no class reads."""
+    kind = REGISTRY.get((config.get("type"), config.get("name")))
+    return kind(spark, config) if kind is not None else None
 
 
 def source_config(sources: DataFrame, name: str) -> DataFrame:
@@ -137,34 +186,42 @@ def read_mails(spark: SparkSession, path: str) -> DataFrame:
     return mails(spark.read.format("binaryFile").load(path))
 
 
-@dataclass(frozen=True)
-class QueueSettings:
-    host: str
-    port: int
-    virtual_host: str
-    queue_name: str
-    username: str
-    password: str
-    prefetch_count: int = 2
-    reconnect_delay_seconds: float = 5.0
-    requeue_on_failure: bool = True
-
-
-def queue_settings(raw: dict, env: dict[str, str] | None = None) -> QueueSettings:
-    """Settings of a mapping, overridden by RABBITMQ_* variables; the password comes from the environment alone."""
-    env = dict(os.environ if env is None else env)
-
-    def need(key: str):
-        if raw.get(key) is None:
-            raise ValueError(f"setting {key} is missing")
-        return raw[key]
-
-    if not env.get("RABBITMQ_PASSWORD"):
-        raise ValueError("RABBITMQ_PASSWORD is required")
-    host = str(env.get("RABBITMQ_HOST") or raw.get("host") or "").strip()
-    if not host:
-        raise ValueError("no queue host is set")
-    return QueueSettings(
-        host, int(env.get("RABBITMQ_PORT") or need("port")), env.get("RABBITMQ_VHOST") or str(need("virtual_host")), env.get("RABBITMQ_QUEUE") or str(need("queue_name")),
-        env.get("RABBITMQ_USER") or raw.get("username") or "guest", env["RABBITMQ_PASSWORD"], int(need("prefetch_count")), float(need("reconnect_delay_seconds")), bool(need("requeue_on_failure")),
-    )
+REQUIRED = object()
+#: Settings of the queue worker: name, variable that wins over the file (or None), value where neither says, type.  The password has no place in a file.
+QUEUE_SETTINGS = (
+    ("host", "RABBITMQ_HOST", REQUIRED, str),
+    ("port", "RABBITMQ_PORT", REQUIRED, int),
+    ("virtual_host", "RABBITMQ_VHOST", REQUIRED, str),
+    ("queue_name", "RABBITMQ_QUEUE", REQUIRED, str),
+    ("username", "RABBITMQ_USER", "guest", str),
+    ("prefetch_count", None, REQUIRED, int),
+    ("reconnect_delay_seconds", None, REQUIRED, float),
+    ("requeue_on_failure", None, REQUIRED, bool),
+)
+
+
+def queue_settings(given: dict, env: dict[str, str] | None = None) -> SimpleNamespace:
+    """Settings from a mapping and the environment; all that are missing are named at once."""
+    env = os.environ if env is None else env
+    out, missing = {"password": env.get("RABBITMQ_PASSWORD")}, [] if env.get("RABBITMQ_PASSWORD") else ["password"]
+    for name, variable, otherwise, kind in QUEUE_SETTINGS:
+        said = [x for x in (env.get(variable) if variable else None, given.get(name)) if x is not None and str(x).strip()]
+        if not said and otherwise is REQUIRED:
+            missing.append(name)
+        else:
+            out[name] = kind(said[0].strip() if said and isinstance(said[0], str) else said[0] if said else otherwise)
+    if missing:
+        raise ValueError(f"queue settings are missing: {', '.join(missing)}")
+    return SimpleNamespace(**out)
+
+
+def queue_settings_of(path: str | None = None, env: dict[str, str] | None = None) -> SimpleNamespace:
+    """The same from a YAML file: ``path``, or the one that RABBITMQ_WORKER_CONFIG names; it needs PyYAML."""
+    import yaml
+
+    named = path or (os.environ if env is None else env).get("RABBITMQ_WORKER_CONFIG")
+    given = {}
+    if named:
+        with open(named, encoding="utf-8") as f:
+            given = yaml.safe_load(f) or {}
+    return queue_settings(given, env)

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobloom.functions.postings import field, is_string, kind
-from jobloom.functions.urls import is_http_url
+from jobloom.functions.urls import canonical_http_url
+from jobloom.runtime import ship
 
 ACK, REJECT, RETRY = "ACK", "NACK_NO_REQUEUE", "NACK_REQUEUE"
 TEXT_FIELDS = ("title", "location", "company", "salary", "summary", "email_subject", "email_sender")
@@ -28,6 +29,16 @@ def envelope(entries: DataFrame, now: Column, event_id: Column | None = None, ev
     return entries.select(F.to_json(F.struct(key.alias("event_id"), F.lit(event_type).alias("event_type"), now.cast("string").alias("occurred_at"), payload.alias("payload")), {"ignoreNullFields": "false"}).alias("body"))
 
 
+def publish(bodies: DataFrame, folder: str) -> None:
+    """Appends messages (body) to a folder, one a line; what JSON text holds has no line ends of its own."""
+    bodies.select("body").write.mode("append").text(folder)
+
+
+def incoming(spark: SparkSession, folder: str, prefetch: int = 2) -> DataFrame:
+    """Messages (body) of such a folder as a stream, ``prefetch`` files at a time."""
+    return spark.readStream.format("text").option("maxFilesPerTrigger", prefetch).load(folder).withColumnRenamed("value", "body")
+
+
 def _optional_text(v: Column, path: str) -> Column:
     at = field(v, path, "variant")
     return at.isNull() | F.is_variant_null(at) | is_string(at)
@@ -59,12 +70,14 @@ def validated(messages: DataFrame, body: str = "body") -> DataFrame:
         .when(v.isNull(), "not JSON")
         .when(~object_at(v), "not an object")
         .when(~object_at(payload), "no payload")
-        .when(~F.coalesce(is_string(url) & is_http_url(field(v, "$.payload.url")), F.lit(False)), "no url")
+        .when(~F.coalesce(is_string(url) & F.col("__url").isNotNull(), F.lit(False)), "no url")
         .when(~F.coalesce(_whole_number(field(v, "$.payload.rank", "variant")), F.lit(True)), "rank")
         .when(source.isNotNull() & ~F.coalesce(is_string(source), F.lit(False)), "source")
         .when(~F.coalesce(texts, F.lit(True)), "text field")
     )
-    return messages.withColumn("__raw", raw).withColumn("v", F.try_parse_json("__raw")).withColumn("reason", reason).drop("__raw")
+    ship(messages.sparkSession)
+    parsed = messages.withColumn("__raw", raw).withColumn("v", F.try_parse_json("__raw"))
+    return parsed.withColumn("__url", canonical_http_url(field(v, "$.payload.url"))).withColumn("reason", reason).drop("__raw", "__url")
 
 
 def dispositions(checked: DataFrame, outcomes: DataFrame | None = None, seq: str = "seq") -> DataFrame:

@@ -214,11 +214,39 @@ def test_crawl_of_local_boards(spark, tmp_path):
     make = boards.create(spark, {"type": "api", "name": "greenhouse", "rate_limit_per_minute": 0, "config": {"base_url": f"file://{tmp_path}", "suffix": ".json", "details": "true"}})
     assert boards.create(spark, {"type": "scraper", "name": "x"}) is None
     companies = spark.createDataFrame([("acme", "Acme"), ("other", "Other"), ("gone", "Gone")], "company_endpoint string, company_name string")
-    after, outcomes, errors = flows.crawl(make(["acme", "other", "gone"]), companies, spark.createDataFrame([], POSTING), "https://boards.greenhouse.io", "greenhouse", F.lit(None).cast("timestamp_ntz"))
+    after, outcomes, errors = flows.crawl(make.rows(["acme", "other", "gone"]), companies, spark.createDataFrame([], POSTING), "https://boards.greenhouse.io", "greenhouse", F.lit(None).cast("timestamp_ntz"))
     assert {(r.url, r.job_description, r.company) for r in after.collect()} == {("https://boards.greenhouse.io/acme/jobs/1", "Text", "Acme"), ("https://boards.greenhouse.io/acme/jobs/2", None, "Acme"), ("https://boards.greenhouse.io/other/jobs/3", None, "Other")}
     assert {(r.company_endpoint, r.error) for r in errors.collect()} == {("gone", "list request failed"), ("acme", "row error")}
     assert outcomes.count() == 3
 
+    sources = spark.createDataFrame([("7", "greenhouse", None, None), ("8", "other", None, None)], "id string, name string, last_run_at timestamp_ntz, updated_at timestamp_ntz")
+    every = spark.createDataFrame([("1", "7", "Acme", "acme", True), ("2", "7", "Gone", "gone", True), ("3", "7", "Off", "other", None), ("4", "8", "Else", "else", True)], "id string, source_id string, company_name string, company_endpoint string, enabled boolean").withColumns({c: F.lit(None).cast("timestamp_ntz") for c in ("last_fetched_at", "updated_at")})
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    after, companies, sources, stats = flows.run_source(make.rows(["acme", "gone"]), every, sources, spark.createDataFrame([], POSTING), "https://boards.greenhouse.io", "greenhouse", now)
+    assert after.count() == 2 and {r.id for r in companies.collect() if r.last_fetched_at} == {"1"} and {r.id for r in sources.collect() if r.last_run_at} == {"7"}
+    got = stats.first()
+    assert (got.companies, got.fetched, got.saved, got.duplicates, got.failed) == (2, 3, 2, 0, 2)
+
+    links = spark.createDataFrame([("https://boards.greenhouse.io/acme/jobs/01",), ("https://boards.greenhouse.io/acme/jobs/9",), ("https://else/1",)], "url string")
+    found = make.lookup(links)
+    assert {(r.board, r.job_id, r.detail is None) for r in found.collect()} == {("acme", "1", False), ("acme", "9", True)}
+    (tmp_path / "boards" / "acme" / "jobs" / "1.json").write_text(json.dumps({"id": 1, "title": "A", "company": {"name": "Acme Inc"}, "content": "&lt;p&gt;Text&lt;/p&gt;"}))
+    assert [(r.url, r.company, r.job_description) for r in flows.lookup(make.lookup(links), "https://boards.greenhouse.io", "greenhouse", now).collect()] == [("https://boards.greenhouse.io/acme/jobs/1", "Acme Inc", "Text")]
+
+
+def test_lanes_share_a_source_rate():
+    reader = boards._BoardReader({"base_url": "x", "boards": ",".join("abcdefg"), "per_minute": "60", "lanes": "3"})
+    assert reader.gap == 3 and sorted(b for p in reader.partitions() for b in p.boards) == list("abcdefg") and len(reader.partitions()) == 3
+    assert boards.gap_seconds(0, 3) == boards.gap_seconds(None, 3) == 0
+
+
+def test_published_messages_come_as_a_stream(spark, tmp_path):
+    rows = spark.createDataFrame([(f"https://h/{i}", "a\nb") for i in range(5)], "url string, title string")
+    messages.publish(messages.envelope(rows, F.lit("now")).repartition(3), str(tmp_path / "q"))
+    seen = []
+    messages.start(messages.incoming(spark, str(tmp_path / "q")), lambda b, _: seen.extend(r.body for r in b.collect()), lambda b, _: seen.extend([None] * b.count()), str(tmp_path / "c")).awaitTermination()
+    assert sorted(json.loads(x)["payload"]["url"] for x in seen) == [f"https://h/{i}" for i in range(5)]
+
 
 def test_enrichment_replaces_the_whole_row(spark):
     row = dict.fromkeys([f.name for f in POSTING])
@@ -228,12 +256,24 @@ def test_enrichment_replaces_the_whole_row(spark):
     assert sorted((r.url, r.salary_range or "") for r in postings.enriched(df, detail, True).collect()) == [("https://else", "2"), ("new", "")]
 
 
-def test_settings():
+def test_settings(tmp_path):
     raw = {"host": "", "port": 5672, "virtual_host": "v", "queue_name": "q", "prefetch_count": 2, "reconnect_delay_seconds": 5, "requeue_on_failure": True}
-    got = boards.queue_settings(raw, {"RABBITMQ_PASSWORD": "p", "RABBITMQ_HOST": "h", "RABBITMQ_PORT": "1"})
-    assert (got.host, got.port, got.username) == ("h", 1, "guest")
-    with pytest.raises(ValueError):
-        boards.queue_settings(raw | {"host": "h"}, {})
+    got = boards.queue_settings(raw, {"RABBITMQ_PASSWORD": "p", "RABBITMQ_HOST": " h ", "RABBITMQ_PORT": "1"})
+    assert (got.host, got.port, got.username, got.reconnect_delay_seconds, got.password) == ("h", 1, "guest", 5.0, "p")
+    with pytest.raises(ValueError, match="password, host"):
+        boards.queue_settings(raw, {})
+    with pytest.raises(ValueError, match="prefetch_count"):
+        boards.queue_settings({k: v for k, v in raw.items() if k != "prefetch_count"} | {"host": "h"}, {"RABBITMQ_PASSWORD": "p"})
+    pytest.importorskip("yaml")
+    (tmp_path / "s.yaml").write_text("host: h\nport: 5\nvirtual_host: v\nqueue_name: q\nprefetch_count: 3\nreconnect_delay_seconds: 1\nrequeue_on_failure: false\nusername: u\n")
+    got = boards.queue_settings_of(env={"RABBITMQ_PASSWORD": "p", "RABBITMQ_WORKER_CONFIG": str(tmp_path / "s.yaml"), "RABBITMQ_USER": "w"})
+    assert (got.port, got.prefetch_count, got.requeue_on_failure, got.username) == (5, 3, False, "w")
+
+
+def test_urls_are_judged_by_their_canonical_form(spark):
+    cases = {"https://h:99999/x": "no url", "https://[::1]/x": None, "https://u:p@h/x": None, "https:///x": "no url", "http://h": None, "mailto:a@b": "no url"}
+    df = spark.createDataFrame([(u, json.dumps({"payload": {"url": u}})) for u in cases], "u string, body string")
+    assert {r.u: r.reason for r in messages.validated(df).collect()} == cases
 
 
 def test_tables_are_created_twice_without_harm(spark):
