@@ -124,6 +124,30 @@ def test_stages_keep_nulls_and_clashing_columns(spark):
         assert {r.doc_id for r in out.collect()} >= {1, 3}, name
 
 
+def test_first_and_last_stage_on_nulls_clashes_and_repeated_rows(spark):
+    """Whole rows, against the functions that the stages are made of."""
+    junk = "zzzz$$$$ 0000 " * 40
+    rows = [(1, None, "en", None, None), (2, "", None, "s", 0), (3, "one two three four " * 50, "en", "s", 1), (3, "one two three four " * 50, "en", "s", 1), (None, junk, "en", "s", 3), (None, "x y z", None, None, 3), (4, "word " * 30_000, "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumns({c: F.lit(1) for c in ("score", "ids", "predicted", "id", "y")}).repartition(2)
+    real = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.train(real, spark.read.parquet(f"{SF}/labels.parquet"))
+    scores = dict(zip([r[1] for r in rows], model.score(quality.features([r[1] or "" for r in rows], model.compressors()))))
+    kept = quality.keep_good(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in docs.collect() if scores[r.text] >= 0.5)
+    bpe = byte_bpe.codec(byte_bpe.public_tokenizers.path("byte_bpe_50k.json"))
+    want = sorted(str((r[0], ids := bpe.encode([r[1] or ""])[0], len(ids) // 4, byte_bpe.digest(ids), byte_bpe.digest((r[1] or "").encode()))) for r in rows)
+    got = corpus_pipeline.encoding_stage(spark, docs, SF).collect()
+    assert sorted(str((r.doc_id, bytes(r.ids), r.n_tokens, r.ids_sha256, r.decoded_sha256)) for r in got) == want
+
+
+def test_line_stage_keeps_whole_rows(spark):
+    rows = [(1, "menu\nbody", "s", 9), (1, "menu\nbody", "s", 9), (None, "menu\nother", "s", 9), (2, None, "s", None), (3, "menu", "s", 4), (4, "menu\nalone", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint").withColumn("host", F.lit("x"))
+    want = [(1, "body", "s", 4, "x"), (1, "body", "s", 4, "x"), (None, "other", "s", 5, "x"), (2, None, "s", None, "x"), (3, "", "s", 0, "x"), (4, "menu\nalone", None, 10, "x")]
+    assert sorted(map(str, (tuple(r) for r in corpus_pipeline.line_stage(spark, docs, SF).collect()))) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
