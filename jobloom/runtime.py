@@ -58,6 +58,9 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_written: set[str] = set()
+
+
 class Stored:
     """A table written to the shared folder: it cuts lineage and survives the loss of executors."""
 
@@ -65,6 +68,7 @@ class Stored:
         self.spark = df.sparkSession
         self.path = f"{shared_folder(self.spark)}/jobloom-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
+        _written.add(self.path)
 
     @property
     def df(self) -> DataFrame:
@@ -72,10 +76,21 @@ class Stored:
 
     def drop(self) -> None:
         """Removes the files; only for tables that no result still reads."""
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, self.path)
 
 
 def stored(df: DataFrame) -> DataFrame:
     return Stored(df).df
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    _written.discard(name)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes all tables that this process has written to the shared folder; for when no lazy result is needed any more."""
+    for name in sorted(_written):
+        _delete(spark, name)

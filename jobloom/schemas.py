@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -30,13 +31,31 @@ PAYLOAD = _struct("url string, title string, rank int, location string, company
 
 TABLES = {"postings": POSTING, "sources": SOURCE, "source_companies": COMPANY, "keywords": KEYWORD}
 SOURCE_TYPES = ("api", "scraper")
+#: Columns that are unique in a table, and what a column holds where an insert names none.
+KEYS = {"postings": [["id"], ["url"]], "sources": [["id"], ["name"]], "source_companies": [["id"], ["source_id", "company_endpoint"]], "keywords": [["id"], ["category", "keyword"]]}
+DEFAULTS = {
+    "postings": {"sponsorship_required": "false", "citizenship_required": "false", "remote_allowed": "false", "hybrid_allowed": "false", "status": "'active'"},
+    "sources": {"enabled": "true", "schedule_hours": "6"},
+    "source_companies": {"enabled": "true"},
+    "keywords": {"active": "true"},
+}
+
+
+def repeated_keys(rows: DataFrame, name: str) -> DataFrame:
+    """(key, value, n) of unique keys that a table's rows repeat: Spark enforces none.  A key with a null in it never repeats."""
+    found = None
+    for key in KEYS[name]:
+        counts = rows.dropna(subset=key).groupBy(*key).count().filter("count > 1").select(F.lit(",".join(key)).alias("key"), F.to_json(F.struct(*key)).alias("value"), F.col("count").alias("n"))
+        found = counts if found is None else found.union(counts)
+    return found
 
 
 def create_tables(spark: SparkSession, database: str = "default") -> list[str]:
     """Creates the tables that aren't there yet; the store of postings is partitioned by source."""
     made = []
     for name, schema in TABLES.items():
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        default = lambda c: f" DEFAULT {DEFAULTS[name][c]}" if c in DEFAULTS[name] else ""
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{default(f.name)}" for f in schema)
         part = " PARTITIONED BY (source_website)" if name == "postings" else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet{part}")
         made.append(f"{database}.{name}")

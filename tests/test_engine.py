@@ -13,7 +13,7 @@ from jobloom import catalog, runtime
 from jobloom.functions import anchors, postings, text, urls
 from jobloom.operators import dedup, dml, maintain, schedule
 from jobloom.plans import flows
-from jobloom.schemas import POSTING, create_tables
+from jobloom.schemas import POSTING, create_tables, repeated_keys
 from jobloom.sources import boards
 from jobloom.streaming import messages
 
@@ -280,9 +280,27 @@ def test_tables_are_created_twice_without_harm(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS made")
     assert create_tables(spark, "made") == create_tables(spark, "made")
     assert len(spark.table("made.postings").columns) == 24
+    spark.sql("INSERT INTO made.sources (id, name) VALUES ('1', 'a'), ('1', 'b'), ('2', NULL), ('3', NULL)")
+    rows = spark.table("made.sources")
+    assert {(r.enabled, r.schedule_hours, r.rate_limit_per_minute) for r in rows.collect()} == {(True, 6, None)}
+    assert [tuple(r) for r in repeated_keys(rows, "sources").collect()] == [("id", '{"id":"1"}', 2)]
     spark.sql("DROP DATABASE made CASCADE")
 
 
+def test_written_tables_are_released(spark):
+    df = runtime.stored(spark.range(3))
+    path = df.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and df.count() == 3
+    runtime.Stored(spark.range(2)).drop()
+    assert os.path.dirname(path) in {p.removeprefix("file:") for p in runtime._written}
+    kept = set(runtime._written)
+    runtime._written.clear()
+    runtime._written.add(os.path.dirname(path))
+    runtime.release(spark)
+    assert not os.path.exists(path) and not runtime._written
+    runtime._written.update(kept)
+
+
 def test_stream_equals_batch(spark):
     a, b = (catalog.queries()[q](spark, SF).collect() for q in ("stream_dispositions", "dispositions"))
     key = lambda rows: sorted((r.event_id, r.reason or "", r.disposition) for r in rows)
