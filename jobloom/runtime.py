@@ -6,8 +6,11 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +62,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _written: set[str] = set()
+_scopes = threading.local()
 
 
 class Stored:
@@ -69,6 +73,8 @@ class Stored:
         self.path = f"{shared_folder(self.spark)}/jobloom-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         _written.add(self.path)
+        if scopes := getattr(_scopes, "open", []):
+            scopes[-1].add(self.path)
 
     @property
     def df(self) -> DataFrame:
@@ -83,6 +89,31 @@ def stored(df: DataFrame) -> DataFrame:
     return Stored(df).df
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], Stored]]:
+    """Removes at its end what this thread has stored within, but for the tables stored by the function that it gives.
+
+    For steps that end in written tables: lazy results made within may read no other
+    table of the step.  Scopes may be nested; what an inner one keeps, the outer one
+    holds.
+    """
+    scopes = _scopes.open = getattr(_scopes, "open", [])
+    outer = scopes[-1] if scopes else set()
+    scopes.append(set())
+
+    def keep(df: DataFrame) -> Stored:
+        result = Stored(df)
+        scopes[-1].discard(result.path)
+        outer.add(result.path)
+        return result
+
+    try:
+        yield keep
+    finally:
+        for name in sorted(scopes.pop()):
+            _delete(spark, name)
+
+
 def _delete(spark: SparkSession, name: str) -> None:
     sc = spark.sparkContext
     path = sc._jvm.org.apache.hadoop.fs.Path(name)

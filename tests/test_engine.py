@@ -301,6 +301,23 @@ def test_written_tables_are_released(spark):
     runtime._written.update(kept)
 
 
+def test_scratch_tables_go_but_for_those_kept(spark):
+    before = set(runtime._written)
+    with runtime.scratch(spark) as keep:
+        runtime.stored(spark.range(2))
+        with runtime.scratch(spark) as keep_inner:
+            runtime.stored(spark.range(3))
+            inner = keep_inner(spark.range(4))
+        assert inner.df.count() == 4 and len(runtime._written - before) == 2
+        outer = keep(inner.df)
+    assert outer.df.count() == 4 and runtime._written - before == {outer.path}
+    with pytest.raises(ValueError), runtime.scratch(spark):
+        runtime.stored(spark.range(2))
+        raise ValueError
+    assert runtime._written - before == {outer.path}
+    outer.drop()
+
+
 def test_stream_equals_batch(spark):
     a, b = (catalog.queries()[q](spark, SF).collect() for q in ("stream_dispositions", "dispositions"))
     key = lambda rows: sorted((r.event_id, r.reason or "", r.disposition) for r in rows)
