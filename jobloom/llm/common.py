@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from jobloom.runtime import Stored, ship, shared_folder, stored, table
+from jobloom.runtime import Stored, scratch, ship, shared_folder, stored, table
 
-__all__ = ["Stored", "batch_of", "ship", "shared_folder", "stored", "table", "text_blocks"]
+__all__ = ["Stored", "batch_of", "give_back", "scratch", "ship", "shared_folder", "stored", "table", "text_blocks"]
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker lives on, and what a batch took must not stay with it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -27,7 +38,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 <
             part = batch.slice(start)
             yield part, [x or "" for x in part.column(column).to_pylist()]
         batch = part = None
-        pa.default_memory_pool().release_unused()  # a worker lives on; what a batch took must not stay with it
+        give_back()
 
 
 def batch_of(source: pa.RecordBatch, keep: list[str], schema: pa.Schema, **columns: list) -> pa.RecordBatch:

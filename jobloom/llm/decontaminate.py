@@ -13,7 +13,9 @@ places from where it would, counted from the window's rarest word.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import ship, stored, text_blocks
+from jobloom.llm.common import give_back, scratch, ship, stored, text_blocks
 
 WINDOW = 13
 GAP = 64  # positions between documents, so that no phrase or proximity match spans two
@@ -78,14 +80,13 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         task = TaskContext.get()
         first = (task.partitionId() if task else 0) << 32
         for number_here, (part, texts) in enumerate(text_blocks(batches, text_column, segment_bytes)):
-            lists = [words_of(x) for x in texts]
-            sizes = np.array([len(x) for x in lists], np.int32)
-            words = [w for x in lists for w in x]
-            terms = list(dict.fromkeys(words))
-            number = dict(zip(terms, range(len(terms))))
-            term = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
+            number: defaultdict[bytes, int] = defaultdict(count().__next__)
+            # one text's words at a time: as objects they take many times what their numbers do
+            numbers = [np.fromiter(map(number.__getitem__, words_of(x)), np.int32) for x in texts]
+            sizes = np.array([len(x) for x in numbers], np.int32)
+            terms, term = list(number), np.concatenate([np.zeros(0, np.int32), *numbers])
             bases = np.cumsum(sizes + GAP) - sizes
-            place = np.arange(len(words)) + np.repeat(bases - (np.cumsum(sizes) - sizes), sizes)
+            place = np.arange(len(term)) + np.repeat(bases - (np.cumsum(sizes) - sizes), sizes)
             order = np.argsort(term, kind="stable")
             cuts = np.append(0, np.cumsum(np.bincount(term, minlength=len(terms))))
             ids = part.column(id_column)
@@ -243,6 +244,7 @@ def search(index: DataFrame, items: list[tuple[str, str | None]], window: int =
         tests = sent.value
         for batch in batches:
             for i in range(batch.num_rows):  # one segment at a time: a batch holds many megabytes of them
+                give_back()
                 number, ids, *rest = (c[i].as_py() for c in batch.columns)
                 segment = Segment(*rest)
                 n = len(ids)
@@ -323,6 +325,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str =
     """
     key = F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))
     keyed = docs.select(F.unhex(key).alias("__key"), F.col(text_column).alias("__text"))
-    found = contamination(keyed, benchmark, id_column="__key", text_column="__text", **options)
-    gone = stored(found.filter("contaminated").select("__key").distinct())
+    with scratch(docs.sparkSession) as keep:  # the index goes once the contaminated texts are known
+        found = contamination(keyed, benchmark, id_column="__key", text_column="__text", **options)
+        gone = keep(found.filter("contaminated").select("__key").distinct()).df
     return docs.withColumn("__key", F.unhex(key)).join(gone, "__key", "left_anti").drop("__key")
