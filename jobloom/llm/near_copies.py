@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import ship, stored, text_blocks
+from jobloom.llm.common import scratch, ship, stored, text_blocks
 from jobloom.llm.simhash import connected, fingerprint, links
 
 VALUES, BAND = 80, 4  # of a pair at 0.8, 3 in 100,000 share none of 20 bands
@@ -235,16 +235,17 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, width:
     stays whatever ids its row has, null or shared.  Other columns pass through; an
     empty table gives an empty result.
     """
-    found = stored(sketches(docs, width, seed, shingle, id_column, text_column))
-    prints = stored(found.select("fp").distinct())
-    edges = stored(links(prints, radius).union(similar_links(docs, found, similarity, shingle, seed, text_column)).distinct())
-    labels = connected(edges).withColumnRenamed("node", "fp")
-    rows = found.groupBy("__id", "key", "fp").agg(F.count(F.lit(1)).alias("n"))
-    rows = stored(rows.join(labels, "fp", "left").select("__id", F.col("key").alias("__key"), "n", F.coalesce("root", "fp").alias("root")))
-    order = F.struct(F.col("__id").isNull(), "__id", "__key")
-    best = stored(rows.groupBy("root").agg(F.min(order).alias("best")))
-    judged = rows.join(best, "root").select("__id", "__key", "n", (order == F.col("best")).alias("first"))
-    gone, repeated = stored(judged.filter("NOT first")), stored(judged.filter("first AND n > 1"))
+    with scratch(docs.sparkSession) as keep:  # sketches and links go once the rows are judged
+        found = stored(sketches(docs, width, seed, shingle, id_column, text_column))
+        prints = stored(found.select("fp").distinct())
+        edges = stored(links(prints, radius).union(similar_links(docs, found, similarity, shingle, seed, text_column)).distinct())
+        labels = connected(edges).withColumnRenamed("node", "fp")
+        rows = found.groupBy("__id", "key", "fp").agg(F.count(F.lit(1)).alias("n"))
+        rows = stored(rows.join(labels, "fp", "left").select("__id", F.col("key").alias("__key"), "n", F.coalesce("root", "fp").alias("root")))
+        order = F.struct(F.col("__id").isNull(), "__id", "__key")
+        best = stored(rows.groupBy("root").agg(F.min(order).alias("best")))
+        judged = rows.join(best, "root").select("__id", "__key", "n", (order == F.col("best")).alias("first"))
+        gone, repeated = keep(judged.filter("NOT first")).df, keep(judged.filter("first AND n > 1")).df
     keyed = docs.withColumn("__key", text_key(text_column)).withColumn("__id", F.col(id_column))
     meets = lambda a, b: a["__id"].eqNullSafe(b["__id"]) & (a["__key"] == b["__key"])
     keyed = keyed.join(_checked(gone), meets(keyed, gone), "left_anti")
