@@ -9,7 +9,6 @@ are its words' ids joined.
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from jobloom.llm.common import batch_of, ship, text_blocks
+from jobloom.llm.common import batch_of, give_back, ship, text_blocks
 from jobloom.llm.pretoken import Words, packs
 
 #: Words that either of a worker's two generations remembers: a full one becomes the old one, and what is met again moves on from there.
@@ -40,8 +39,7 @@ class ByteBpe:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # special strings in a text are ordinary text
-        with open(path, encoding="utf-8") as f:
-            special = {t["content"] for t in json.load(f)["added_tokens"]}
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         table = byte_table()
         vocabulary = self.tokenizer.get_vocab()
         self.bytes_of = [b""] * (max(vocabulary.values()) + 1)
@@ -124,6 +122,7 @@ _codecs: dict[str, ByteBpe] = {}
 def codec(path: str) -> ByteBpe:
     if path not in _codecs:
         _codecs[path] = ByteBpe(path)
+        give_back()  # reading the vocabulary takes much more than keeping it
     return _codecs[path]
 
 
