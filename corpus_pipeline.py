@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom.llm import byte_bpe, decontaminate, line_dedup, near_copies, quality
-from jobloom.llm.common import stored, table
+from jobloom.llm.common import scratch, table
 
 #: SQL can't express compressed sizes, XXH64 or byte-level BPE: a test holds run() against a brute-force version.
 ORACLE_SQL = None
@@ -66,8 +66,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's result is written to the shared folder and reread."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; each stage's result is written to the shared folder and reread.  Of the tables written on the way only the last stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        with scratch(spark) as keep:
+            result = keep(stage(spark, docs, sf_dir))
+        if before is not None:
+            before.drop()
+        docs, before = result.df, result
     return docs
