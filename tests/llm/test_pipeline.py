@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from jobloom import runtime
 from jobloom.llm import byte_bpe, decontaminate, near_copies, quality, queries, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -67,7 +68,9 @@ def test_pipeline_by_hand(spark):
             clean.append(d)
     bpe = byte_bpe.codec(byte_bpe.public_tokenizers.path("byte_bpe_50k.json"))
     want = {d["doc_id"]: byte_bpe.digest(bpe.encode([d["text"]])[0]) for d in clean}
+    before = set(runtime._written)
     assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, SF).collect()} == want
+    assert len(runtime._written - before) == 1  # the result; tables of the stages are gone
 
 
 @pytest.mark.parametrize("limits", [{}, {"GROUP": 2, "PIVOTS": 2, "ROUNDS": 1}, {"GROUP": 3, "BUCKET": 3, "BROADCAST_KEYS": 0}])
