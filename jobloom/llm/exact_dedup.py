@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import ship, stored, text_blocks
+from jobloom.llm.common import scratch, ship, stored, text_blocks
 
 DELETED = b"\t\n\x0b\x0c\r "
 #: Owners of ranges of fingerprints: at least these, and one more per so many rows.
@@ -205,27 +205,28 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     table gives an empty result.
     """
     ship(docs.sparkSession)
-    hashed = stored(_hashed(docs, id_column, text_column))
-    rows = hashed.agg(F.sum(F.octet_length("n"))).first()[0] or 0
-    owners = OWNERS + rows // 8 // ROWS_PER_OWNER
-    maps = stored(_exchange(hashed, owners))
-    marked = stored(_suspects(hashed, maps, owners))
-    suspects = marked.filter("suspect")
-    ids = stored(suspects.select("id").distinct())
-
-    # Byte verification: the suspects' texts, one per partition and distinct text.
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    chosen = texts.join(F.broadcast(ids) if few else ids, texts.id.eqNullSafe(ids.id), "left_semi")
-
-    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, values in text_blocks(batches, "text"):
-            bare = [normalised(x) for x in values]
-            yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(x).digest() for x in bare], pa.binary()), pa.array(bare, pa.binary())], names=["sha", "bare"])
-
-    verified = chosen.select("text").mapInArrow(strip, "sha binary, bare binary").groupBy("sha", "bare").agg(F.count(F.lit(1)).alias("n")).groupBy("sha").agg(F.count(F.lit(1)).alias("texts"))
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("no_id"), "id", "row")).alias("best")
-    groups = stored(suspects.groupBy("sha").agg(best, F.count(F.lit(1)).alias("group_size")).join(verified, "sha").select("sha", "best", "group_size", F.when(F.col("texts") > 1, F.raise_error(F.lit("unequal texts have one SHA-256"))).alias("fault")))
+    with scratch(docs.sparkSession) as keep:  # hashes and bitmaps go once rows and groups are known
+        hashed = stored(_hashed(docs, id_column, text_column))
+        rows = hashed.agg(F.sum(F.octet_length("n"))).first()[0] or 0
+        owners = OWNERS + rows // 8 // ROWS_PER_OWNER
+        maps = stored(_exchange(hashed, owners))
+        marked = keep(_suspects(hashed, maps, owners)).df
+        suspects = marked.filter("suspect")
+        ids = stored(suspects.select("id").distinct())
+
+        # Byte verification: the suspects' texts, one per partition and distinct text.
+        few = ids.count() <= BROADCAST_IDS
+        texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+        chosen = texts.join(F.broadcast(ids) if few else ids, texts.id.eqNullSafe(ids.id), "left_semi")
+
+        def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, values in text_blocks(batches, "text"):
+                bare = [normalised(x) for x in values]
+                yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(x).digest() for x in bare], pa.binary()), pa.array(bare, pa.binary())], names=["sha", "bare"])
+
+        verified = chosen.select("text").mapInArrow(strip, "sha binary, bare binary").groupBy("sha", "bare").agg(F.count(F.lit(1)).alias("n")).groupBy("sha").agg(F.count(F.lit(1)).alias("texts"))
+        best = F.min(F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("no_id"), "id", "row")).alias("best")
+        groups = keep(suspects.groupBy("sha").agg(best, F.count(F.lit(1)).alias("group_size")).join(verified, "sha").select("sha", "best", "group_size", F.when(F.col("texts") > 1, F.raise_error(F.lit("unequal texts have one SHA-256"))).alias("fault"))).df
     found = suspects.join(groups, "sha").select("id", F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "sha", "fault")
     alone = marked.filter("NOT suspect").select("id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "sha", F.lit(None).cast("void").alias("fault"))
     return found.withColumn("fault", F.col("fault").cast("string")).union(alone.withColumn("fault", F.col("fault").cast("string"))).select(F.col("id").alias(id_column), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
