@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import Stored, batch_of, ship, stored, text_blocks
+from jobloom.llm.common import Stored, batch_of, scratch, ship, stored, text_blocks
 
 BITS = 64
 VANTAGES = 8
@@ -267,9 +267,10 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, seed: int
     the shared folder, so lost executors repeat a stage at most.
     """
     prints = stored(fingerprints(docs, width, seed, id_column, text_column))
-    distinct = stored(prints.groupBy("fp").agg(F.min(id_column).alias("rep"), F.count(F.lit(1)).alias("n")))
-    labels = connected(links(distinct.select("fp"), radius, largest))
-    named = stored(distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", "n", F.coalesce("root", "fp").alias("root")))
-    roots = stored(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.sum("n").alias("component_size")))
-    classes = stored(named.select("fp", "root").join(roots, "root").select("fp", "component_id", "component_size"))
+    with scratch(docs.sparkSession) as keep:  # links and labels go once every fingerprint has its class
+        distinct = stored(prints.groupBy("fp").agg(F.min(id_column).alias("rep"), F.count(F.lit(1)).alias("n")))
+        labels = connected(links(distinct.select("fp"), radius, largest))
+        named = stored(distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", "n", F.coalesce("root", "fp").alias("root")))
+        roots = stored(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.sum("n").alias("component_size")))
+        classes = keep(named.select("fp", "root").join(roots, "root").select("fp", "component_id", "component_size")).df
     return prints.join(classes, "fp").select(id_column, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size")
