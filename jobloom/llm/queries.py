@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import byte_bpe, decontaminate, exact_dedup, license_scan, line_dedup, quality, secret_scan, simhash, token_count, warc
-from jobloom.llm.common import table
+from jobloom.llm import byte_bpe, co_bucket, decontaminate, exact_dedup, license_scan, line_dedup, quality, secret_scan, simhash, token_count, warc
+from jobloom.llm.common import shared_folder, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op12_co_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales and sale lines written, then rewritten into one file per table and bucket; see ``co_bucket.co_bucketed`` for nulls, ties and repeated rows."""
+    folder = f"{shared_folder(spark)}/co-bucketed-{uuid.uuid4().hex}"
+    return co_bucket.co_bucketed(table(spark, sf_dir, "sales"), table(spark, sf_dir, "sale_lines"), folder, ("sales", "sale_lines"), "sale_id", "item_id")
+
+
 OP1_SQL = r"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS s FROM documents)
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
@@ -115,7 +122,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_token_count, op3_quality, op4_secret_scan, op5_line_dedup, op6_byte_bpe, op7_decontaminate, op8_warc, op9_license_scan, op10_simhash)
+    found = (op1_exact_dedup, op2_token_count, op3_quality, op4_secret_scan, op5_line_dedup, op6_byte_bpe, op7_decontaminate, op8_warc, op9_license_scan, op10_simhash, op12_co_bucket)
     return {f.__name__: f for f in found}
 
 
