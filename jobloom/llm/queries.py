@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import byte_bpe, co_bucket, decontaminate, exact_dedup, license_scan, line_dedup, quality, secret_scan, simhash, token_count, warc
+from jobloom.llm import byte_bpe, co_bucket, cross_tokens, decontaminate, exact_dedup, license_scan, line_dedup, quality, secret_scan, simhash, token_count, warc
 from jobloom.llm.common import shared_folder, table
 
 
@@ -72,6 +72,12 @@ def op12_co_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return co_bucket.co_bucketed(table(spark, sf_dir, "sales"), table(spark, sf_dir, "sale_lines"), folder, ("sales", "sale_lines"), "sale_id", "item_id")
 
 
+def op13_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers over all documents aligned, and how common their pairs are; see ``cross_tokens.align`` for nulls and texts that don't come back."""
+    found = cross_tokens.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 OP1_SQL = r"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS s FROM documents)
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
@@ -122,7 +128,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_token_count, op3_quality, op4_secret_scan, op5_line_dedup, op6_byte_bpe, op7_decontaminate, op8_warc, op9_license_scan, op10_simhash, op12_co_bucket)
+    found = (op1_exact_dedup, op2_token_count, op3_quality, op4_secret_scan, op5_line_dedup, op6_byte_bpe, op7_decontaminate, op8_warc, op9_license_scan, op10_simhash, op12_co_bucket, op13_cross_tokens)
     return {f.__name__: f for f in found}
 
 
