@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,7 +63,7 @@ class ByteVocabulary:
             self.encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(self.encode(x), np.int32) for x in texts]
+        return [np.frombuffer(array("i", self.encode(x)), np.int32) for x in texts]
 
 
 class PieceVocabulary:
@@ -94,13 +95,13 @@ class PieceVocabulary:
             self.known, self.older = {}, self.known
         self.known[" "] = self.lone
         known, older, new = self.known, self.older, []
-        for x in {*(u for units in found for u in units)} - known.keys():
+        for x in set().union(*found).difference(known):
             if (ids := older.get(x)) is not None:
                 known[x] = ids
             else:
                 new.append(x)
         for x, ids in zip(new, self.library.encode([x[1:] for x in new], num_threads=1)):
-            (known if len(x) <= LONGEST_UNIT else once)[x] = np.array(ids, np.int32).tobytes()
+            (known if len(x) <= LONGEST_UNIT else once)[x] = array("i", ids).tobytes()
         get = (lambda x: known[x] if x in known else once[x]) if once else known.__getitem__
         return [np.frombuffer(b"".join(map(get, units)), np.int32) for units in found]
 
