@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import byte_bpe, co_bucket, cross_tokens, decontaminate, exact_dedup, license_scan, line_dedup, quality, secret_scan, simhash, token_count, warc
+from jobloom.llm import byte_bpe, co_bucket, cross_tokens, decontaminate, exact_dedup, lang_crf, license_scan, line_dedup, quality, secret_scan, simhash, token_count, warc
 from jobloom.llm.common import shared_folder, table
 
 
@@ -66,6 +66,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt outside the held-out fold; see ``lang_crf.train`` and ``lang_crf.predict`` for nulls and texts without letters."""
+    docs = table(spark, sf_dir, "documents")
+    return lang_crf.predict(docs, lang_crf.train(docs))
+
+
 def op12_co_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales and sale lines written, then rewritten into one file per table and bucket; see ``co_bucket.co_bucketed`` for nulls, ties and repeated rows."""
     folder = f"{shared_folder(spark)}/co-bucketed-{uuid.uuid4().hex}"
@@ -128,7 +134,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_token_count, op3_quality, op4_secret_scan, op5_line_dedup, op6_byte_bpe, op7_decontaminate, op8_warc, op9_license_scan, op10_simhash, op12_co_bucket, op13_cross_tokens)
+    found = (op1_exact_dedup, op2_token_count, op3_quality, op4_secret_scan, op5_line_dedup, op6_byte_bpe, op7_decontaminate, op8_warc, op9_license_scan, op10_simhash, op11_language, op12_co_bucket, op13_cross_tokens)
     return {f.__name__: f for f in found}
 
 
