@@ -123,11 +123,11 @@ class Model:
 
     def posteriors(self, w: Words) -> np.ndarray:
         """Probability of each label for each word."""
-        return forward_backward(self.emissions(w), np.append(True, w.owner[1:] != w.owner[:-1])[: w.n], self.transitions, self.start)[0]
+        return forward_backward(self.emissions(w), np.append(True, w.owner[1:] != w.owner[:-1])[: w.n], self.transitions, self.start, count_pairs=False)[0]
 
 
-def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
-    """(posteriors by word and label; expected number of transitions from label to label), of words in order, ``first`` marking where a text begins.  All weights are logarithms."""
+def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray, chunk: int = CHUNK, count_pairs: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(posteriors by word and label; with ``count_pairs`` the expected number of transitions from label to label), of words in order, ``first`` marking where a text begins.  All weights are logarithms."""
     n, k = emissions.shape
     if not n:
         return np.zeros((0, k)), np.zeros((k, k))
@@ -173,9 +173,9 @@ def forward_backward(emissions: np.ndarray, first: np.ndarray, transitions: np.n
         alpha[t], state = alpha[t] * after, alpha[t - 1] if t else heads
         alpha[t] /= alpha[t].sum(1, keepdims=True)
         weighed = e[t] * after
-        joint = state[:, :, None] * step * weighed[:, None, :]
-        real = ~reset[t] & (np.arange(count) * chunk + t < n)
-        pairs += (joint[real] / joint[real].sum((1, 2), keepdims=True)).sum(0)
+        if count_pairs and not reset[t].all():
+            joint = (state[:, :, None] * step * weighed[:, None, :])[~reset[t]]
+            pairs += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
         after = weighed @ step.T
         if any_reset[t]:
             after[reset[t]] = 1.0
