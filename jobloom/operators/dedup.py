@@ -9,19 +9,25 @@ number of rounds grows with the logarithm of the rows for random orders.  Chains
 where each row waits for the one before, would take a round for each: what some
 rounds leave is settled in order, group by group of rows that hang together, in
 streams that hold the keys kept so far and no rows.
+
+The upsert is resolved in rounds too.  A new link's fate hangs on one row, the first
+whose hash no other link holds then; what follows (updates until one fills the
+description) is the link's own affair, so every insertion says at once from when to when the
+link holds which hash.  A round inserts the rows that come first of their hash
+among all links still open, and strikes out rows whose hash is held at their time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions.text import is_blank
-from jobloom.runtime import Stored, ship, stored
+from jobloom.runtime import Stored, scratch, ship, stored
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -63,7 +69,7 @@ def _in_order(left: DataFrame) -> DataFrame:
     """(s, u, h) of the rows kept, by reading each group of rows linked by keys in order."""
     kind = left.schema["s"].dataType.simpleString()
     pairs = stored(left.select(F.col("s").alias("node"), F.explode(F.array(F.concat(F.lit("u"), "u"), F.concat(F.lit("h"), "h"))).alias("key")))
-    grouped = left.join(_components(pairs), left.s == F.col("node")).select("root", "s", F.xxhash64("u").alias("u"), F.xxhash64(F.lit(1), "h").alias("h"))
+    grouped = left.join(_components(pairs), left.s == F.col("node")).select("root", "s", F.concat(F.lit("u"), "u").alias("u"), F.concat(F.lit("h"), "h").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groupby(_streamed(batches), lambda r: r[0]):
@@ -89,23 +95,25 @@ def insert_new(store: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFram
 
 
 def outcomes_in_order(rows: Iterator[tuple]) -> Iterator[tuple[int, str]]:
-    """(seq, outcome) of a group's batch rows, from (seq, url, hash, blank) in order, the stored ones (seq null) first.
+    """(seq, outcome) of the rows inserted and updated of a group of new links, from (seq, url, hash, filled, change) in order.
 
-    A row whose url is stored with a blank description updates it; else a row whose
-    url or hash is stored is a duplicate; else it is inserted.
+    A row with a change (1 or -1) and no url says that another link takes or leaves
+    the hash.  A row whose url is there with a blank description updates it; one
+    whose url isn't there is inserted if no link holds its hash.
     """
     by_url: dict[str, tuple[str, bool]] = {}
     hashes: dict[str, int] = {}
-    for seq, url, digest, blank in rows:
+    for seq, url, digest, filled, change in rows:
+        if change:
+            hashes[digest] = hashes.get(digest, 0) + change
+            continue
         old = by_url.get(url)
-        if seq is not None:
-            if old is not None and not old[1] or old is None and hashes.get(digest, 0) > 0:
-                yield seq, "duplicate"
-                continue
-            if old is not None:
-                hashes[old[0]] -= 1
-            yield seq, "inserted" if old is None else "updated"
-        by_url[url] = digest, blank
+        if old is not None and old[1] or old is None and hashes.get(digest, 0) > 0:
+            continue
+        if old is not None:
+            hashes[old[0]] -= 1
+        yield seq, "inserted" if old is None else "updated"
+        by_url[url] = digest, filled
         hashes[digest] = hashes.get(digest, 0) + 1
 
 
@@ -126,66 +134,118 @@ def _components(pairs: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def settled(store: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
-    """(seq) of the batch rows that are duplicates whatever happens to other links, found by partial aggregates.
+#: A hash is held from before any row, or for good.
+BEFORE, FOREVER = -(1 << 62), 1 << 62
+
+
+def _spread(rows: DataFrame, span: int, key: str) -> tuple[DataFrame, Window]:
+    """Rows with block b of ``span`` numbers, and the window of a key's blocks: so one key's rows never meet in a task whole."""
+    return rows.withColumn("b", F.floor(F.col("s") / span)), Window.partitionBy(key).orderBy("b")
+
+
+def _until_next(rows: DataFrame, span: int) -> DataFrame:
+    """(h, start, end) of links' rows (u, s, h): each holds its hash until the link's next row."""
+    rows, over = _spread(rows, span, "u")
+    within = rows.withColumn("n", F.lead("s").over(Window.partitionBy("u", "b").orderBy("s")))
+    heads = within.groupBy("u", "b").agg(F.min("s").alias("head")).withColumn("then", F.lead("head").over(over)).select("u", "b", "then")
+    return within.join(heads, ["u", "b"]).select("h", F.col("s").alias("start"), F.coalesce("n", "then", F.lit(FOREVER)).alias("end"))
+
+
+def _struck(rows: DataFrame, holds: DataFrame, span: int) -> DataFrame:
+    """Rows (s, u, h, filled, open) with those closed whose hash is held at their time, by a running maximum of the ends."""
+    ours = rows.select("h").distinct()
+    events = rows.select("h", "s", F.lit(None).cast("bigint").alias("end"), "u").union(holds.join(ours, "h", "left_semi").select("h", F.col("start").alias("s"), "end", F.lit(None).cast("string").alias("u")))
+    events, over = _spread(events, span, "h")
+    within = events.withColumn("m", F.max("end").over(Window.partitionBy("h", "b").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)))
+    before = within.groupBy("h", "b").agg(F.max("end").alias("top")).withColumn("earlier", F.max("top").over(over.rowsBetween(Window.unboundedPreceding, -1))).select("h", "b", "earlier")
+    held = within.filter("u IS NOT NULL").join(before, ["h", "b"]).filter(F.greatest("m", "earlier") > F.col("s")).select("s", F.lit(True).alias("held"))
+    return rows.join(held, "s", "left").select("s", "u", "h", "filled", (F.col("open") & F.col("held").isNull()).alias("open"))
+
+
+def _chains(rows: DataFrame) -> DataFrame:
+    """Rows (u, s, h, filled) up to each link's first that fills its description: those that are written."""
+    fill = stored(rows.filter("filled").groupBy("u").agg(F.min("s").alias("fill")))
+    return rows.join(fill, "u", "left").filter(F.col("s") <= F.coalesce("fill", F.lit(FOREVER))).drop("fill")
+
+
+def _rest_in_order(left: DataFrame, holds: DataFrame) -> DataFrame:
+    """(s, outcome) of rows inserted and updated, each group of links that share hashes read in order as a stream of keys."""
+    ours = left.select("h").distinct()
+    known = holds.join(ours, "h", "left_semi")
+    change = known.select(F.col("start").alias("s"), "h", F.lit(1).alias("change")).union(known.filter(F.col("end") < FOREVER).select("end", "h", F.lit(-1)))
+    pairs = stored(left.select(F.col("s").alias("node"), F.explode(F.array(F.concat(F.lit("u"), "u"), F.concat(F.lit("h"), "h"))).alias("key")))
+    roots = stored(left.join(_components(pairs), left.s == F.col("node")).select("root", "s", "u", "h", "filled"))
+    of_hash = roots.groupBy("h").agg(F.min("root").alias("root"))
+    events = roots.withColumn("change", F.lit(0)).union(change.join(of_hash, "h").select("root", "s", F.lit(None).cast("string"), "h", F.lit(None).cast("boolean"), "change"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(_streamed(batches), lambda r: r[0]):
+            found = outcomes_in_order(r[1:] for r in rows)
+            while out := list(islice(found, 10_000)):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names=["s", "outcome"])
+
+    return events.select("root", "s", "u", "h", "filled", "change").repartition("root").sortWithinPartitions("root", "s").mapInArrow(run, "s bigint, outcome string")
+
 
-    Of a stored link: all rows if its description is filled, else those after the
-    first that fills it, since every earlier one updates it.  Of a new link: the
-    rows before the first whose hash no filled stored row holds, since filled rows
-    never change.  Duplicates leave no trace, so the others can go on without them.
+def resolved(store: DataFrame, batch: DataFrame, rounds: int = 12, blocks: int = 1000) -> DataFrame:
+    """(s, outcome) of the rows inserted and updated, of store (u, h, filled) and batch (s, u, h, filled) rows; all others are duplicates.
+
+    Every step is a join or a partial aggregate, or a window over a block of one
+    key's rows.  For rows in random order the rounds grow with the logarithm of
+    their number; what ``rounds`` leave (links that wait for each other one by one)
+    is read in order, group by group.
     """
-    filled = ~is_blank(F.col("job_description"))
-    known = store.select("url", filled.alias("__filled"))
-    held = store.filter(filled).select("content_hash").distinct().withColumn("__held", F.lit(True))
-    rows = stored(batch.select(F.col(seq).alias("s"), "url", "content_hash", filled.alias("fills")).join(known, "url", "left").join(held, "content_hash", "left"))
-    bounds = rows.groupBy("url").agg(F.min(F.when(F.col("fills"), F.col("s"))).alias("fill"), F.min(F.when(F.col("__held").isNull(), F.col("s"))).alias("free"))
-    after, before = F.coalesce(F.col("s") > F.col("fill"), F.lit(False)), F.coalesce(F.col("s") < F.col("free"), F.lit(True))
-    sure = F.when(F.col("__filled").isNull(), before).when(F.col("__filled"), True).otherwise(after)
-    return rows.join(stored(bounds), "url").filter(sure).select(F.col("s").alias(seq))
-
-
-def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
-    """(store afterwards, outcomes (seq, outcome)) of saving ``batch`` in order; urls of the store and seq are unique.
-
-    Rows that are ``settled`` go first.  Of the others, those whose group of shared
-    keys holds no blank description can only be inserted or dropped, and take the
-    rounds.  The rest can rewrite stored descriptions and hashes, which makes
-    them depend on each other's order; each such group (rows linked by url or
-    hash) is read in order by one task, which sees keys and whether a description is
-    blank, no texts, and keeps a link's hash, no rows.  The rows themselves meet in
-    joins afterwards.
+    span = max(1, -(-(batch.agg(F.max("s") - F.min("s")).first()[0] or 0) // blocks))
+    known = store.select("u", F.col("h").alias("old"), F.col("filled").alias("done"))
+    both = stored(batch.join(known, "u", "left"))
+    refill = stored(_chains(both.filter("NOT done").select("u", "s", "h", "filled")))
+    first = refill.groupBy("u").agg(F.min("s").alias("s"))
+    holds = [stored(store.join(first, "u", "left").select("h", F.lit(BEFORE).alias("start"), F.coalesce("s", F.lit(FOREVER)).alias("end")).union(_until_next(refill, span)))]
+    found = [refill.select("s", F.lit("updated").alias("outcome"))]
+    left = Stored(_struck(both.filter("done IS NULL").select("s", "u", "h", "filled", F.lit(True).alias("open")), holds[0], span))
+    for turn in range(rounds + 1):
+        first = stored(left.df.filter("open").groupBy("u").agg(F.min("s").alias("c")))
+        if first.isEmpty():
+            break
+        live = stored(left.df.join(first, "u").filter("s >= c"))  # rows before, and links whose rows are all struck, are duplicates
+        if turn == rounds:
+            rest = live.select("s", "u", "h", "filled", "open")
+            every = holds[0]
+            for h in holds[1:]:
+                every = every.union(h)
+            found.append(stored(_rest_in_order(rest, every)))
+            break
+        least = stored(live.groupBy("h").agg(F.min("s").alias("m")))
+        won = stored(live.filter("s = c").join(least, "h").filter("s = m").select("u", "c"))
+        taken = stored(_chains(live.drop("c").join(won, "u").select("u", "s", "h", "filled", "c")))
+        found.append(taken.select("s", F.when(F.col("s") == F.col("c"), "inserted").otherwise("updated").alias("outcome")))
+        holds.append(stored(_until_next(taken, span)))
+        after = Stored(_struck(live.join(won.select("u"), "u", "left_anti").select("s", "u", "h", "filled", "open"), holds[-1], span))
+        left.drop()
+        left = after
+    out = found[0]
+    for f in found[1:]:
+        out = out.union(f)
+    return out
+
+
+def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq", rounds: int = 12) -> tuple[DataFrame, DataFrame]:
+    """(store afterwards, outcomes (seq, outcome)) of saving ``batch`` in order; urls of the store and seq are unique, urls and hashes not null.
+
+    A row whose url is stored with a blank description updates it; else a row whose
+    url or hash is stored is a duplicate; else it is inserted.  Rows see what earlier
+    ones have done; ``resolved`` works that out from keys, and the rows themselves
+    meet in joins afterwards.
     """
     ship(batch.sparkSession)
     columns = [c for c in batch.columns if c != seq]
     old = stored(store.select(*columns))
     came = stored(batch)
-    sure = stored(settled(old, came, seq))
-    blank = is_blank(F.col("job_description")).alias("blank")
-    new = stored(came.join(sure, seq, "left_anti").select(F.col(seq).cast("bigint").alias("seq"), "url", "content_hash", blank))
-    known = old.select(F.lit(None).cast("bigint").alias("seq"), "url", "content_hash", blank)
-    touched = stored(known.join(new.select("url").distinct(), "url", "left_semi").select(*known.columns).union(known.join(new.select("content_hash").distinct(), "content_hash", "left_semi").select(*known.columns)).distinct())
-    nodes = stored(touched.union(new).withColumn("node", F.xxhash64("url", F.coalesce("seq", F.lit(-1)))))
-    pairs = stored(nodes.select("node", F.explode(F.array(F.concat(F.lit("u"), "url"), F.concat(F.lit("h"), "content_hash"))).alias("key")))
-    named = stored(nodes.join(_components(pairs), "node"))
-    loose = stored(named.filter("blank").select("root").distinct())
-    plain = named.join(loose, "root", "left_anti").filter("seq IS NOT NULL").select("seq", "url", "content_hash")
-    inserted = stored(insert_new(old, plain).select("seq"))
-    plain_out = plain.join(inserted.withColumn("o", F.lit("inserted")), "seq", "left").select("seq", F.coalesce("o", F.lit("duplicate")).alias("outcome"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groupby(_streamed(batches), lambda r: r[0]):
-            out: list[tuple[int, str]] = []
-            for found in outcomes_in_order(r[1:] for r in rows):
-                out.append(found)
-                if len(out) >= 10_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names=["seq", "outcome"])
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names=["seq", "outcome"])
-
-    groups = named.join(loose, "root", "left_semi").select("root", "seq", "url", "content_hash", "blank")
-    folded = groups.repartition("root").sortWithinPartitions("root", F.col("seq").asc_nulls_first()).mapInArrow(run, "seq bigint, outcome string")
-    outcomes = stored(sure.select(F.col(seq).cast("bigint").alias("seq"), F.lit("duplicate").alias("outcome")).union(plain_out).union(folded))
+    keys = [F.col("url").alias("u"), F.col("content_hash").alias("h"), (~is_blank(F.col("job_description"))).alias("filled")]
+    with scratch(batch.sparkSession) as keep:
+        won = resolved(old.select(*keys), came.select(F.col(seq).cast("bigint").alias("s"), *keys), rounds)
+        every = came.select(F.col(seq).cast("bigint").alias("seq"))
+        outcomes = keep(every.join(won.withColumnRenamed("s", "seq"), "seq", "left").select("seq", F.coalesce("outcome", F.lit("duplicate")).alias("outcome"))).df
 
     by_seq = came.withColumn("seq", F.col(seq).cast("bigint"))
     taken = by_seq.join(outcomes.filter("outcome <> 'duplicate'"), "seq")

@@ -131,14 +131,38 @@ def test_upsert_equals_the_sequential_rule(spark, seed):
     assert {r.url for r in dedup.two_key_first(rows, rounds=0).collect()} == seqs
 
 
-def test_settled_rows_skip_the_fold(spark):
+def test_upsert_of_stored_blanks_and_held_hashes(spark):
     store = batch_of(spark, [("a", "text", "h1"), ("b", None, "h2")], seq=False)
     batch = batch_of(spark, [("a", None, "h9"), ("b", None, "h3"), ("b", "text", "h4"), ("b", "more", "h5"), ("c", None, "h1"), ("c", None, "h6"), ("c", None, "h1"), ("d", None, "h1")])
-    assert sorted(r.seq for r in dedup.settled(store, batch).collect()) == [0, 3, 4, 7]
     outcomes = {r.seq: r.outcome for r in dedup.upsert(store, batch)[1].collect()}
     assert outcomes == {0: "duplicate", 1: "updated", 2: "updated", 3: "duplicate", 4: "duplicate", 5: "inserted", 6: "updated", 7: "duplicate"}
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_upsert_of_linked_groups_with_blanks(spark, rounds):
+    """Links and hashes in dense groups, a third of all rows with one hash, and a chain in which each row waits for the one before."""
+    rng = random.Random(rounds)
+    kinds, names = [None, "", "text"], ("url", "job_description", "content_hash")
+    batch = [(f"u{rng.randint(0, 150)}", rng.choice(kinds), "h0" if rng.random() < 0.33 else f"h{rng.randint(0, 40)}") for _ in range(250)]
+    batch += [(f"c{(i + 1) // 2}", rng.choice(kinds), f"g{i // 2}") for i in range(24)]
+    store = [("u1", None, "h0"), ("u2", " ", "h3"), ("u3", "text", "h5"), ("z", "", "h0")]
+    record = lambda r, **more: dict(zip(names, r)) | {"last_updated": None, "scraped_at": None} | more
+    want, outcomes = fold([record(r) for r in store], [record(r, seq=i) for i, r in enumerate(batch)])
+    after, got = dedup.upsert(batch_of(spark, store, seq=False), batch_of(spark, batch), rounds=rounds)
+    assert sorted((r.seq, r.outcome) for r in got.collect()) == sorted(outcomes)
+    assert sorted((r.url, r.job_description or "", r.content_hash) for r in after.collect()) == sorted((r["url"], r["job_description"] or "", r["content_hash"]) for r in want)
+
+
+def test_no_task_reads_a_hot_group_whole(spark):
+    """All rows share a hash, each of their links is blank at first: many tasks see the group, by the plan's partitions."""
+    rows = spark.range(20_000).select(F.concat(F.lit("u"), (F.col("id") % 9000).cast("string")).alias("url"), F.when(F.col("id") >= 9000, "d").alias("job_description"), F.lit("h").alias("content_hash"), F.col("id").alias("seq"))
+    rows = rows.withColumns({c: F.lit(None).cast("timestamp_ntz") for c in ("last_updated", "scraped_at")})
+    store = rows.limit(0).drop("seq")
+    after, outcomes = dedup.upsert(store, rows)
+    assert {(r.outcome, r["count"]) for r in outcomes.groupBy("outcome").count().collect()} == {("inserted", 1), ("updated", 1), ("duplicate", 19_998)}
+    assert [tuple(r) for r in after.select("url", "job_description").collect()] == [("u0", "d")]
+
+
 def test_admission_equals_the_recurrence(spark):
     rng = random.Random(4)
     rows = [(k, rng.randint(0, 400), i) for i, k in enumerate(rng.choices([None, "x", "y"], [1, 2, 8], k=300))]
