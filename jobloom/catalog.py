@@ -272,7 +272,7 @@ def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     fetched = items.select("source_id", F.when(F.col("l_returnflag") != "N", "text").alias("job_description"))
     outcomes = items.select("source_id", F.when(F.col("l_linestatus") == "O", "inserted").otherwise("duplicate").alias("outcome"))
     errors = companies.filter("s_acctbal < 0").select("source_id", F.lit("failed").alias("error"))
-    return schedule.run_stats(companies, fetched, outcomes, errors).drop("errors")
+    return schedule.run_stats(companies, fetched, outcomes, errors)
 
 
 @_query("SELECT r_regionkey AS source_id, c AS company_name, e AS company_endpoint, true AS enabled FROM region, (VALUES ('Airbnb', 'airbnb'), ('Khan Academy', 'khanacademy')) v(c, e) WHERE r_name = 'ASIA'")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +14,17 @@ def touch(table: DataFrame, ids: list[str], now: Column, columns: list[str], id_
     return table.select(*[F.when(hit, now).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in table.columns])
 
 
+def touch_rows(table: DataFrame, ids: DataFrame, now: Column, columns: list[str], id_column: str = "id") -> DataFrame:
+    """The same for the rows whose id is among ``ids`` (one column of that name), however many."""
+    mark = f"touched-{uuid.uuid4().hex}"
+    joined = table.join(ids.select(id_column).distinct().withColumn(mark, F.lit(True)), id_column, "left")
+    return joined.select(*[F.when(F.col(mark), now).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in table.columns])
+
+
 def overwrite_upsert(table: DataFrame, incoming: DataFrame, keys: list[str], overwritten: list[str]) -> DataFrame:
     """Rows of ``incoming`` replace the ``overwritten`` columns where the key is there, and are inserted where not.  Keys are unique on either side."""
-    there, came = F.lit(True).alias("__t"), F.lit(True).alias("__c")
+    t, flag = (f"{x}-{uuid.uuid4().hex}" for x in "tc")
+    there, came = F.lit(True).alias(t), F.lit(True).alias(flag)
     joined = table.select("*", there).alias("t").join(incoming.select("*", came).alias("c"), keys, "full_outer")
 
     def value(c: str) -> Column:
@@ -22,7 +32,7 @@ def overwrite_upsert(table: DataFrame, incoming: DataFrame, keys: list[str], ove
             return F.col(c)
         new = F.col(f"c.{c}") if c in incoming.columns else F.lit(None)
         old = F.col(f"t.{c}")
-        return F.when(F.col("__t").isNull(), new).when(F.col("__c") & F.lit(c in overwritten), new).otherwise(old).alias(c)
+        return F.when(F.col(t).isNull(), new).when(F.col(flag) & F.lit(c in overwritten), new).otherwise(old).alias(c)
 
     return joined.select(*[value(c) for c in table.columns])
 
@@ -45,7 +55,3 @@ def seed_companies(sources: DataFrame, companies: list[tuple[str, str]], name: s
     inline = sources.sparkSession.createDataFrame(companies, "company_name string, company_endpoint string")
     return sources.filter(F.col("name") == name).select(F.col("id").alias("source_id")).crossJoin(F.broadcast(inline)).withColumn("enabled", F.lit(True))
 
-
-def surviving(companies: DataFrame, sources: DataFrame) -> DataFrame:
-    """Companies whose source is still there: the cascade of a deleted source."""
-    return companies.join(sources.select(F.col("id").alias("source_id")), "source_id", "left_semi")

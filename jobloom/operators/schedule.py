@@ -41,12 +41,12 @@ def admission(requests: DataFrame, per_minute: int | None, by: str, at: str, seq
 
 
 def run_stats(companies: DataFrame, fetched: DataFrame, outcomes: DataFrame, errors: DataFrame, by: str = "source_id") -> DataFrame:
-    """Per source: companies (failed ones too), fetched, with_description, saved, duplicates, and errors apart from duplicates."""
+    """Per source: companies (failed ones too), fetched, with_description, saved, duplicates, and how many failed, apart from duplicates."""
     parts = [
         companies.groupBy(by).agg(F.count(F.lit(1)).alias("companies")),
         fetched.groupBy(by).agg(F.count(F.lit(1)).alias("fetched"), F.count_if(F.coalesce("job_description", F.lit("")) != "").alias("with_description")),
         outcomes.groupBy(by).agg(F.count_if(F.col("outcome") != "duplicate").alias("saved"), F.count_if(F.col("outcome") == "duplicate").alias("duplicates")),
-        errors.groupBy(by).agg(F.count(F.lit(1)).alias("failed"), F.array_sort(F.collect_list("error")).alias("errors")),
+        errors.groupBy(by).agg(F.count(F.lit(1)).alias("failed")),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -59,10 +59,6 @@ def rank_order(rank: str = "rank", title: str = "title", pos: str = "pos") -> li
     return [F.col(rank).asc_nulls_last(), F.lower(title), F.col(pos)]
 
 
-def by_rank(rows: DataFrame, rank: str = "rank", title: str = "title", pos: str = "pos") -> DataFrame:
-    return rows.orderBy(*rank_order(rank, title, pos))
-
-
 def keyword_matches(docs: DataFrame, keywords: list[str], text: str = "text") -> DataFrame:
     """Extension: rows with the keywords that their text holds, case not heeded."""
     found = F.filter(F.array(*[F.when(F.lower(text).contains(k.lower()), F.lit(k)) for k in keywords]), lambda k: k.isNotNull())

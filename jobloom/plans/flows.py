@@ -7,46 +7,49 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import postings
 from jobloom.operators import dedup, dml, links, schedule
-from jobloom.runtime import stored
+from jobloom.runtime import numbered, stored
+from jobloom.sources import boards
 from jobloom.streaming import messages
 
 
 def crawl(rows: DataFrame, companies: DataFrame, store: DataFrame, root: str, source: str, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(store afterwards, outcomes (seq, outcome, company_endpoint), errors (company_endpoint, error)) of a source's rows (board, body, detail, error).
+    """(store afterwards, outcomes (seq, outcome, company_endpoint, with_description), errors (company_endpoint, error)) of a source's rows (board, position, body, detail, error).
 
-    Rows are taken in the order of a hash of their links, so which of two equal
-    postings comes first does not depend on chance, and no task numbers all rows.
+    Every row is asked for once: the rows are written down first.  Companies are taken
+    in the order of their names, and a company's postings in the order of its list, so
+    of two equal postings the earlier stays.  Rows that can't be taken and lists that
+    did not come are errors; they aren't fetched postings.
     """
     names = companies.select(F.col("company_endpoint").alias("board"), "company_name")
-    parsed = rows.join(names, "board", "left").select(F.col("board").alias("company_endpoint"), F.coalesce("company_name", postings.company_name(F.try_parse_json("detail"), F.col("board"))).alias("company_name"), F.try_parse_json("body").alias("row"), F.nullif(postings.description(F.try_parse_json("detail")), F.lit("")).alias("description"), "error")
-    taken = stored(postings.from_api(parsed.filter("error IS NULL"), root, source, now, keep=("company_endpoint", "description")))
-    batch = taken.filter("NOT row_error").withColumn("job_description", F.col("description"))
-    # The same posting twice in a list counts once.
-    batch = dedup.first_wins(batch.select(*store.columns, "company_endpoint"), ["url"], ["company_endpoint", "job_id_from_source"])
-    numbered = stored(batch.withColumn("seq", F.shiftrightunsigned(F.xxhash64("url"), 1)))
-    after, outcomes = dedup.upsert(store, numbered.drop("company_endpoint"))
-    failed = parsed.filter("error IS NOT NULL").select("company_endpoint", "error").union(taken.filter("row_error").select("company_endpoint", F.lit("row error")))
-    return after, outcomes.join(numbered.select("seq", "company_endpoint"), "seq"), failed
+    rows = stored(rows.select("board", "position", "body", "detail", "error"))
+    places = numbered(companies.select(F.col("company_endpoint").alias("company_endpoint")).distinct(), "company_endpoint", "place")
+    parsed = rows.join(names, "board", "left").select(F.col("board").alias("company_endpoint"), "position", F.coalesce("company_name", postings.company_name(F.try_parse_json("detail"), F.col("board"))).alias("company_name"), F.try_parse_json("body").alias("row"), F.nullif(postings.description(F.try_parse_json("detail")), F.lit("")).alias("description"), "error")
+    taken = stored(postings.from_api(parsed.filter("error IS NULL"), root, source, now, keep=("company_endpoint", "position", "description")))
+    batch = taken.filter("NOT row_error").withColumn("job_description", F.col("description")).join(places, "company_endpoint", "left")
+    seq = F.coalesce("place", F.lit(0)) * F.lit(1 << 24) + F.col("position")
+    batch = stored(batch.select(*store.columns, "company_endpoint", seq.alias("seq")))
+    after, outcomes = dedup.upsert(store, batch.drop("company_endpoint"))
+    failed = rows.filter("error IS NOT NULL").select(F.col("board").alias("company_endpoint"), "error").union(taken.filter("row_error").select("company_endpoint", F.lit("row error")))
+    return after, outcomes.join(batch.select("seq", "company_endpoint", F.col("job_description").isNotNull().alias("with_description")), "seq"), failed
 
 
 def run_source(rows: DataFrame, companies: DataFrame, sources: DataFrame, store: DataFrame, root: str, source: str, now: Column) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """A run of a source over its rows (board, body, detail, error): the store, companies and sources afterwards, and the run's statistics (one row).
+    """A run of a source over its rows (board, position, body, detail, error): the store, companies and sources afterwards, and the run's statistics (one row).
 
-    Companies whose list came are touched; the source is touched whatever came, as a
-    run that found nothing was a run.
+    A list that did not come counts as an empty one.  All companies are touched but
+    those that answered with something else than a list: these are the run's errors.
+    The source is touched whatever came, as a run that found nothing was a run.
     """
     mine = sources.filter(F.col("name") == source).select(F.col("id").alias("source_id"))
     ours = companies.join(F.broadcast(mine), "source_id", "left_semi").filter(F.coalesce("enabled", F.lit(False)))
     after, outcomes, errors = crawl(rows, ours, store, root, source, now)
-    outcomes, errors = stored(outcomes), stored(errors)
-    failed = errors.filter("error <> 'row error'").select("company_endpoint").distinct()
-    came = rows.filter("error IS NULL").select(F.col("board").alias("company_endpoint"), F.lit(source).alias("source"), F.lit(None).cast("string").alias("job_description"))
-    done = stored(ours.join(failed, "company_endpoint", "left_anti").select(F.col("id").alias("__id")).distinct())
-    hit = F.col("__id").isNotNull()
-    touched = companies.join(done, companies.id == done["__id"], "left").select(*[F.when(hit, now).otherwise(F.col(c)).alias(c) if c in ("last_fetched_at", "updated_at") else F.col(c) for c in companies.columns])
-    sources = sources.select(*[F.when(F.col("name") == source, now).otherwise(F.col(c)).alias(c) if c in ("last_run_at", "updated_at") else F.col(c) for c in sources.columns])
+    outcomes, broken = stored(outcomes), stored(errors.filter(F.col("error") == boards.NO_LIST))
+    done = stored(ours.join(broken.select("company_endpoint").distinct(), "company_endpoint", "left_anti").select("id").distinct())
+    touched = dml.touch_rows(companies, done, now, ["last_fetched_at", "updated_at"])
+    sources = dml.touch_rows(sources, mine.withColumnRenamed("source_id", "id"), now, ["last_run_at", "updated_at"])
     named = lambda df: df.withColumn("source", F.lit(source))
-    return after, touched, sources, schedule.run_stats(named(ours), came, named(outcomes), named(errors), "source")
+    came = outcomes.select(F.when(F.col("with_description"), "text").alias("job_description"))
+    return after, touched, sources, schedule.run_stats(named(ours), named(came), named(outcomes), named(broken), "source")
 
 
 def lookup(found: DataFrame, root: str, source: str, now: Column) -> DataFrame:

@@ -13,7 +13,8 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -125,3 +126,12 @@ def release(spark: SparkSession) -> None:
     """Removes all tables that this process has written to the shared folder; for when no lazy result is needed any more."""
     for name in sorted(_written):
         _delete(spark, name)
+
+
+def numbered(rows: DataFrame, order: str, name: str) -> DataFrame:
+    """Rows with their place (from 0) in the order of a column: numbers within the sorted ranges of tasks, and one row for each range to carry them on."""
+    each = stored(rows.orderBy(order).withColumn("__m", F.monotonically_increasing_id()))
+    part, row = F.shiftright("__m", 33), F.col("__m") % (1 << 33)
+    sizes = each.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.withColumn("__b", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return each.join(F.broadcast(before), part == F.col("__p")).select(*rows.columns, (F.col("__b") + row).alias(name))

@@ -4,33 +4,40 @@ from __future__ import annotations
 
 import email
 import email.policy
+import http.client
 import json
 import os
 import time
 import urllib.error
 import urllib.request
+import uuid
 from collections.abc import Iterator
+from datetime import datetime
 from types import SimpleNamespace
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, LessThan, LessThanOrEqual
 
 from jobloom.functions import urls
-from jobloom.runtime import ship
+from jobloom.runtime import Stored, ship
 
 
 #: Tasks that ask a source at the same time, at most; each waits so long between requests that all together keep the source's rate.
 LANES = 4
 
 
-def _get(base: str, path: str, suffix: str, timeout: float):
+def _get(base: str, path: str, suffix: str, timeout: float) -> tuple[bool, object]:
+    """(whether JSON came, what came)."""
     try:
         with urllib.request.urlopen(f"{base}/{path}{suffix}", timeout=timeout) as answer:
-            return json.load(answer)
-    except (urllib.error.URLError, ValueError, OSError):
-        return None
+            return True, json.load(answer)
+    except (urllib.error.URLError, ValueError, OSError, http.client.HTTPException):
+        return False, None
 
 
 def gap_seconds(per_minute: float | None, lanes: int) -> float:
@@ -38,61 +45,129 @@ def gap_seconds(per_minute: float | None, lanes: int) -> float:
     return lanes * 60.0 / per_minute if per_minute and per_minute > 0 else 0.0
 
 
+#: What is wrong with a board whose list did not come (it counts as an empty one), and with one that is none.
+NO_ANSWER, NO_LIST = "list request failed", "no list of postings"
+#: When a board was last fetched that never was.
+NEVER = datetime(1970, 1, 1)
+
+
 class _Lane(InputPartition):
-    def __init__(self, boards: list[str]):
+    def __init__(self, boards: list[tuple[str, datetime]]):
         self.boards = boards
 
 
 class _BoardReader(DataSourceReader):
-    def __init__(self, options):
-        self.base, self.boards = options["base_url"].rstrip("/"), [b for b in options["boards"].split(",") if b]
-        self.suffix, self.timeout = options.get("suffix", ""), float(options.get("timeout", 30))
-        self.lanes = max(1, min(len(self.boards), int(options.get("lanes", LANES))))
-        self.gap = gap_seconds(float(options.get("per_minute") or 0), self.lanes)
-        self.details = options.get("details", "false").lower() == "true"
+    """Asks once for each board's list, and once for each posting's detail if column ``detail`` is read."""
+
+    def __init__(self, options, columns: list[str]):
+        self.columns, self.filters = columns, []
+        self.base, self.suffix, self.timeout = options["base_url"].rstrip("/"), options.get("suffix", ""), float(options.get("timeout", 30))
+        self.most_lanes, self.per_minute = int(options.get("lanes", LANES)), float(options.get("per_minute") or 0)
+        self.details = options.get("details", "false").lower() == "true" and "detail" in columns
+        self.log, self.companies = options.get("log", "").rstrip("/"), options.get("companies")
+        self.boards = [(b, NEVER) for b in options.get("boards", "").split(",") if b]
+        self.gap = 0.0
+
+    def pushFilters(self, filters):
+        """Bounds on ``board`` and ``last_fetched_at`` choose what is asked for."""
+        tests = {EqualTo: lambda x, v: x == v, In: lambda x, v: x in v, LessThan: lambda x, v: x < v, LessThanOrEqual: lambda x, v: x <= v}
+        for f in filters:
+            test = tests.get(type(f))
+            if test is None or len(f.attribute) != 1 or f.attribute[0] not in ("board", "last_fetched_at"):
+                yield f
+            else:
+                self.filters.append((("board", "last_fetched_at").index(f.attribute[0]), test, f.value))
 
     def partitions(self):
-        return [_Lane(self.boards[i :: self.lanes]) for i in range(self.lanes)]
+        boards = list(self.boards)
+        if self.companies:
+            rows = pq.read_table(store_of(self.companies)[1], filesystem=store_of(self.companies)[0], columns=["company_endpoint", "last_fetched_at"])
+            boards += [(b, t or NEVER) for b, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()) if b]
+        bare = lambda v: v.replace(tzinfo=None) if isinstance(v, datetime) else v
+        boards = sorted(x for x in dict(boards).items() if all(test(x[i], bare(v)) for i, test, v in self.filters))
+        lanes = max(1, min(len(boards), self.most_lanes))
+        self.gap = gap_seconds(self.per_minute, lanes)
+        return [_Lane(boards[i::lanes]) for i in range(lanes)]
+
+    def _fetched(self, board: str):
+        """Rows (position, body, detail, error) of a board, as they are asked for."""
 
-    def read(self, partition):
         def get(path: str):
             time.sleep(self.gap)
             return _get(self.base, path, self.suffix, self.timeout)
 
-        for board in partition.boards:
-            listed = get(f"boards/{board}/jobs")
-            if not isinstance(listed, dict):
-                yield board, None, None, "list request failed"
-                continue
-            for row in listed.get("jobs") or []:
-                job_id = row.get("id") if isinstance(row, dict) else None
-                detail = get(f"boards/{board}/jobs/{job_id}") if self.details and job_id else None
-                yield board, json.dumps(row), json.dumps(detail) if detail is not None else None, None
+        came, listed = get(f"boards/{board}/jobs")
+        jobs = listed.get("jobs", []) if isinstance(listed, dict) else None
+        if not came or not isinstance(jobs, list):
+            yield None, None, None, NO_LIST if came else NO_ANSWER
+            return
+        for i, row in enumerate(jobs):
+            job_id = row.get("id") if isinstance(row, dict) else None
+            detail = get(f"boards/{board}/jobs/{job_id}")[1] if self.details and job_id else None
+            yield i, json.dumps(row), json.dumps(detail) if detail is not None else None, None
+
+    def _rows(self, board: str):
+        """The same, from the log of fetches if the board is there; a board that comes whole is added to it."""
+        if not self.log:
+            return self._fetched(board)
+        store, folder = store_of(self.log)
+        name = f"{folder}/{quote(board, safe='')}{'-details' if self.details else ''}.parquet"
+        if store.get_file_info(name).type == fs.FileType.NotFound:
+            rows = list(self._fetched(board))
+            if any(r[3] == NO_ANSWER for r in rows):
+                return rows
+            store.create_dir(folder)
+            hidden = f"{folder}/.{uuid.uuid4().hex}"
+            pq.write_table(pa.Table.from_pylist([dict(zip(LOGGED.names, r)) for r in rows], schema=LOGGED), hidden, filesystem=store)
+            store.move(hidden, name)
+        return (tuple(r.values()) for r in pq.read_table(name, filesystem=store).to_pylist())
+
+    def read(self, partition):
+        for board, at in partition.boards:
+            for position, body, detail, error in self._rows(board):
+                row = {"board": board, "last_fetched_at": at, "position": position, "body": body, "detail": detail, "error": error}
+                yield tuple(row[c] for c in self.columns)
+
+
+LOGGED = pa.schema([("position", pa.int32()), ("body", pa.string()), ("detail", pa.string()), ("error", pa.string())])
+
+
+def store_of(uri: str) -> tuple[fs.FileSystem, str]:
+    """A store that pyarrow knows, and the path within it."""
+    return fs.FileSystem.from_uri("s3://" + uri[6:] if uri.startswith("s3a://") else uri)
 
 
 class BoardSource(DataSource):
-    """``spark.read.format("posting_boards")``: boards dealt to a few partitions; options base_url, boards (comma-joined), details, per_minute (of all partitions together), lanes, timeout, suffix."""
+    """``spark.read.format("posting_boards")``: boards dealt to a few partitions.
+
+    Options: base_url, boards (comma-joined) or companies (a Parquet file or folder of
+    company_endpoint and last_fetched_at), details, per_minute (of all partitions
+    together), lanes, timeout, suffix, log (a folder: boards that are in it are read from
+    there, so a run that is repeated goes on where it stopped).  A schema of fewer columns
+    may be given; without ``detail`` no details are asked for.
+    """
 
     @classmethod
     def name(cls):
         return "posting_boards"
 
     def schema(self):
-        return "board string, body string, detail string, error string"
+        return "board string, last_fetched_at timestamp_ntz, position int, body string, detail string, error string"
 
     def reader(self, schema):
-        return _BoardReader(self.options)
+        return _BoardReader(self.options, schema.names)
 
 
 class PostingSource:
-    """What a source offers: rows (board, body, detail, error) of boards, single postings by link, and its rate.  A new kind of source is a subclass in ``REGISTRY``."""
+    """What a source offers: rows (board, position, body, detail, error) of boards, single postings by link, and its rate.  A new kind of source is a subclass in ``REGISTRY``."""
 
     def __init__(self, spark: SparkSession, config: dict):
         self.spark, self.options = spark, {k: str(v) for k, v in (config.get("config") or {}).items() if v is not None}
         rate = config.get("rate_limit_per_minute")
         self.per_minute = 60 if rate is None else rate
 
-    def rows(self, boards: list[str]) -> DataFrame:
+    def rows(self, boards: list[str] | DataFrame, columns: list[str] | None = None, log: str | None = None) -> DataFrame:
+        """Of boards, or of companies (company_endpoint, last_fetched_at)."""
         raise NotImplementedError
 
     def lookup(self, links: DataFrame) -> DataFrame:
@@ -100,9 +175,14 @@ class PostingSource:
 
 
 class BoardApi(PostingSource):
-    def rows(self, boards: list[str]) -> DataFrame:
+    def rows(self, boards: list[str] | DataFrame, columns: list[str] | None = None, log: str | None = None) -> DataFrame:
+        """Lazy: each action asks again, unless a ``log`` is kept."""
         register(self.spark)
-        return self.spark.read.format("posting_boards").options(**self.options, per_minute=str(self.per_minute), boards=",".join(boards)).load()
+        asked = {"boards": ",".join(boards)} if isinstance(boards, list) else {"companies": Stored(boards.select("company_endpoint", F.col("last_fetched_at").cast("timestamp_ntz").alias("last_fetched_at"))).path}
+        reader = self.spark.read.format("posting_boards").options(**self.options, per_minute=str(self.per_minute), **asked, **({"log": log} if log else {}))
+        if columns:
+            reader = reader.schema(", ".join(f for f in BoardSource({}).schema().split(", ") if f.split(" ")[0] in columns))
+        return reader.load()
 
     def lookup(self, links: DataFrame) -> DataFrame:
         """links (url) that are board links, with board, job_id and detail (JSON, or null where the request fails): one request each, spread over the lanes."""
@@ -115,7 +195,7 @@ class BoardApi(PostingSource):
             for batch in batches:
                 for row in batch.to_pylist():
                     time.sleep(gap)
-                    found = _get(base, f"boards/{row['board']}/jobs/{row['job_id']}", suffix, timeout)
+                    found = _get(base, f"boards/{row['board']}/jobs/{row['job_id']}", suffix, timeout)[1]
                     yield pa.RecordBatch.from_pylist([row | {"detail": json.dumps(found) if isinstance(found, dict) else None}], schema=pa.schema([(c, pa.string()) for c in ("url", "board", "job_id", "detail")]))
 
         known = links.select("url", urls.board_token(F.col("url")).alias("board"), urls.board_job_id(F.col("url")).alias("job_id")).filter("board IS NOT NULL").distinct()
@@ -128,6 +208,7 @@ REGISTRY: dict[tuple[str, str], type[PostingSource]] = {("api", "greenhouse"): B
 
 def register(spark: SparkSession) -> None:
     ship(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(BoardSource)
 
 

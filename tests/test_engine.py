@@ -1,9 +1,13 @@
 """Functions by tables of cases, dedup and upsert against the sequential rule, streams against batches, queries against SQL."""
 
 import glob
+import http.server
 import json
 import os
 import random
+import threading
+from collections import Counter
+from datetime import datetime
 
 import duckdb
 import pytest
@@ -247,9 +251,9 @@ def test_crawl_of_local_boards(spark, tmp_path):
     every = spark.createDataFrame([("1", "7", "Acme", "acme", True), ("2", "7", "Gone", "gone", True), ("3", "7", "Off", "other", None), ("4", "8", "Else", "else", True)], "id string, source_id string, company_name string, company_endpoint string, enabled boolean").withColumns({c: F.lit(None).cast("timestamp_ntz") for c in ("last_fetched_at", "updated_at")})
     now = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
     after, companies, sources, stats = flows.run_source(make.rows(["acme", "gone"]), every, sources, spark.createDataFrame([], POSTING), "https://boards.greenhouse.io", "greenhouse", now)
-    assert after.count() == 2 and {r.id for r in companies.collect() if r.last_fetched_at} == {"1"} and {r.id for r in sources.collect() if r.last_run_at} == {"7"}
+    assert after.count() == 2 and {r.id for r in companies.collect() if r.last_fetched_at} == {"1", "2"} and {r.id for r in sources.collect() if r.last_run_at} == {"7"}
     got = stats.first()
-    assert (got.companies, got.fetched, got.saved, got.duplicates, got.failed) == (2, 3, 2, 0, 2)
+    assert (got.companies, got.fetched, got.with_description, got.saved, got.duplicates, got.failed) == (2, 2, 1, 2, 0, 0)
 
     links = spark.createDataFrame([("https://boards.greenhouse.io/acme/jobs/01",), ("https://boards.greenhouse.io/acme/jobs/9",), ("https://else/1",)], "url string")
     found = make.lookup(links)
@@ -258,9 +262,62 @@ def test_crawl_of_local_boards(spark, tmp_path):
     assert [(r.url, r.company, r.job_description) for r in flows.lookup(make.lookup(links), "https://boards.greenhouse.io", "greenhouse", now).collect()] == [("https://boards.greenhouse.io/acme/jobs/1", "Acme Inc", "Text")]
 
 
+@pytest.fixture
+def board_server(tmp_path):
+    """A local server of boards that counts requests: a (5 rows: one without id, one twice), b (same title as a's first), broken (no list); all else is missing."""
+    asked, answers = Counter(), {
+        "/boards/a/jobs": {"jobs": [{"id": 3, "title": "T"}, {"title": "no id"}, {"id": 1, "title": "T"}, {"id": 2, "title": "B"}, {"id": 2, "title": "B"}]},
+        "/boards/a/jobs/3": {"content": "&lt;p&gt;three&lt;/p&gt;"}, "/boards/a/jobs/2": {"content": "two"}, "/boards/b/jobs": {"jobs": []}, "/boards/broken/jobs": [],
+    }
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked[self.path] += 1
+            self.send_response(200 if self.path in answers else 404)
+            self.end_headers()
+            self.wfile.write(json.dumps(answers.get(self.path)).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", asked
+    server.shutdown()
+
+
+def test_a_run_asks_once_and_counts_as_it_should(spark, board_server):
+    base, asked = board_server
+    make = boards.create(spark, {"type": "api", "name": "greenhouse", "rate_limit_per_minute": 0, "config": {"base_url": base, "details": "true"}})
+    sources = spark.createDataFrame([("7", "greenhouse", None, None)], "id string, name string, last_run_at timestamp_ntz, updated_at timestamp_ntz")
+    every = spark.createDataFrame([(e, "7", e.upper(), e, True, None, None) for e in ("a", "b", "broken", "gone")], "id string, source_id string, company_name string, company_endpoint string, enabled boolean, last_fetched_at timestamp_ntz, updated_at timestamp_ntz")
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    after, companies, sources, stats = flows.run_source(make.rows(every), every, sources, spark.createDataFrame([], POSTING), "https://r", "greenhouse", now)
+    got = stats.first()
+    assert (got.companies, got.fetched, got.with_description, got.saved, got.duplicates, got.failed) == (4, 4, 3, 2, 2, 1)
+    assert {(r.url, r.job_description) for r in after.collect()} == {("https://r/a/jobs/3", "three"), ("https://r/a/jobs/2", "two")}  # of two equal postings the list's first
+    assert {r.id for r in companies.collect() if r.last_fetched_at} == {"a", "b", "gone"} and sources.first().last_run_at is not None
+    assert {p: n for p, n in asked.items() if not p.endswith("/2")} == {f"/boards/{b}/jobs": 1 for b in ("a", "b", "broken", "gone")} | {"/boards/a/jobs/3": 1, "/boards/a/jobs/1": 1} and asked["/boards/a/jobs/2"] == 2  # listed twice
+
+
+def test_only_what_is_read_is_asked_for(spark, board_server, tmp_path):
+    base, asked = board_server
+    make = boards.create(spark, {"type": "api", "name": "greenhouse", "rate_limit_per_minute": 0, "config": {"base_url": base, "details": "true"}})
+    companies = spark.createDataFrame([("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 3)), ("gone", None)], "company_endpoint string, last_fetched_at timestamp_ntz")
+    rows = make.rows(companies, columns=["board", "position", "body"])
+    assert rows.filter("board = 'a'").count() == 5 and asked == {"/boards/a/jobs": 1}
+    asked.clear()
+    assert {r.board for r in make.rows(companies).filter("last_fetched_at < timestamp_ntz'2024-01-02 00:00:00'").select("board").collect()} == {"a", "gone"} and asked["/boards/b/jobs"] == 0
+    asked.clear()
+    log = str(tmp_path / "log")
+    first = sorted(map(str, make.rows(companies, log=log).collect()))
+    once = dict(asked)
+    assert sorted(map(str, make.rows(companies, log=log).collect())) == first and asked == Counter(once) + Counter({"/boards/gone/jobs": 1})  # only what failed is asked again
+
+
 def test_lanes_share_a_source_rate():
-    reader = boards._BoardReader({"base_url": "x", "boards": ",".join("abcdefg"), "per_minute": "60", "lanes": "3"})
-    assert reader.gap == 3 and sorted(b for p in reader.partitions() for b in p.boards) == list("abcdefg") and len(reader.partitions()) == 3
+    reader = boards._BoardReader({"base_url": "x", "boards": ",".join("abcdefg"), "per_minute": "60", "lanes": "3"}, ["board"])
+    assert sorted(b for p in reader.partitions() for b, _ in p.boards) == list("abcdefg") and len(reader.partitions()) == 3 and reader.gap == 3
     assert boards.gap_seconds(0, 3) == boards.gap_seconds(None, 3) == 0
 
 
