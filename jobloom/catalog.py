@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import anchors, postings, text, urls
 from jobloom.operators import dedup, dml, links, maintain, schedule
+from jobloom.operators.store import PostingStore
 from jobloom.runtime import shared_folder, ship, table
-from jobloom.sources import boards
+from jobloom.sources import boards, queue
 from jobloom.streaming import messages
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -444,6 +445,38 @@ def stream_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id bigint, reason string, disposition string, kind string, batch int").parquet(f"{top}/out").select("event_id", "reason", "disposition")
 
 
+@_query("""
+WITH b AS (SELECT event_id, event_id % 10 AS k, event_id - event_id % 10 + least(event_id % 10, 7) AS u FROM events)
+SELECT event_id, CASE WHEN k < 2 THEN 'NACK_NO_REQUEUE' WHEN k = 4 THEN 'NACK_REQUEUE,ACK' ELSE 'ACK' END AS dispositions,
+       CASE WHEN k < 2 THEN NULL WHEN row_number() OVER (PARTITION BY u, k < 2 ORDER BY event_id) = 1 THEN 'inserted' ELSE 'duplicate' END AS outcome FROM b
+""")
+def queue_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages through the queue into the store (events): some are faulty, some share a link, some can't be saved at first and come again; a batch is delivered twice."""
+    k = F.col("event_id") % 10
+    link = (F.col("event_id") - k + F.least(k, F.lit(7))).cast("string")
+    named = F.concat(F.lit('{"event_id":"'), F.col("event_id").cast("string"), F.lit('","payload":{'))
+    whole = F.concat(named, F.lit('"url":"https://h/'), link, F.lit('","title":"t'), link, F.lit('","summary":"s"}}'))
+    body = F.when(k == 0, F.concat(F.lit("{"), F.col("event_id").cast("string"))).when(k == 1, F.concat(named, F.lit("}}"))).otherwise(whole)
+    sent = table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+    top, now = f"{shared_folder(spark)}/queue-{uuid.uuid4().hex}", F.lit("2024-01-02").cast("timestamp_ntz")
+    queue.publish(sent.repartitionByRange(4, "event_id").sortWithinPartitions("event_id"), f"{top}/queue", key="events")
+    posted = PostingStore(spark, f"{top}/store", buckets=16)
+    later = {"refused": F.col("url").endswith("4") & (F.col("attempt") == 1)}
+    prefetch = -(-queue.Log(f"{top}/queue").end() // 3)
+    stream = messages.save_stream(queue.incoming(spark, f"{top}/queue", prefetch=prefetch), posted, f"{top}/checkpoint", now, "0 seconds", **later)
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    again = posted.dispositions().filter("attempt = 1").filter(F.col("place") < prefetch).select("place", "body")
+    if messages.save_messages(posted, again, 0, now, **later):
+        raise RuntimeError("a batch was saved twice")
+    messages.drain(posted, now, **later)
+    told = F.transform(F.array_sort(F.collect_list(F.struct("attempt", "disposition"))), lambda x: x.disposition)  # as many as a message has attempts
+    number = F.regexp_extract(F.decode(F.first("body"), "UTF-8"), "[0-9]+", 0).cast("bigint")
+    return posted.dispositions().groupBy("place").agg(number.alias("event_id"), F.array_join(told, ",").alias("dispositions"), F.max_by("outcome", "attempt").alias("outcome")).drop("place")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -134,6 +134,8 @@ def _components(pairs: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+#: Rows of new links that one task reads in order, where no more are left.
+FEW = 20_000
 #: A hash is held from before any row, or for good.
 BEFORE, FOREVER = -(1 << 62), 1 << 62
 
@@ -168,14 +170,17 @@ def _chains(rows: DataFrame) -> DataFrame:
     return rows.join(fill, "u", "left").filter(F.col("s") <= F.coalesce("fill", F.lit(FOREVER))).drop("fill")
 
 
-def _rest_in_order(left: DataFrame, holds: DataFrame) -> DataFrame:
-    """(s, outcome) of rows inserted and updated, each group of links that share hashes read in order as a stream of keys."""
+def _rest_in_order(left: DataFrame, holds: DataFrame, whole: bool = False) -> DataFrame:
+    """(s, outcome) of rows inserted and updated, each group of links that share hashes read in order as a stream of keys; ``whole``: all rows as one group."""
     ours = left.select("h").distinct()
     known = holds.join(ours, "h", "left_semi")
     change = known.select(F.col("start").alias("s"), "h", F.lit(1).alias("change")).union(known.filter(F.col("end") < FOREVER).select("end", "h", F.lit(-1)))
-    pairs = stored(left.select(F.col("s").alias("node"), F.explode(F.array(F.concat(F.lit("u"), "u"), F.concat(F.lit("h"), "h"))).alias("key")))
-    roots = stored(left.join(_components(pairs), left.s == F.col("node")).select("root", "s", "u", "h", "filled"))
-    of_hash = roots.groupBy("h").agg(F.min("root").alias("root"))
+    if whole:
+        roots, of_hash = left.select(F.lit(0).cast("bigint").alias("root"), "s", "u", "h", "filled"), ours.withColumn("root", F.lit(0).cast("bigint"))
+    else:
+        pairs = stored(left.select(F.col("s").alias("node"), F.explode(F.array(F.concat(F.lit("u"), "u"), F.concat(F.lit("h"), "h"))).alias("key")))
+        roots = stored(left.join(_components(pairs), left.s == F.col("node")).select("root", "s", "u", "h", "filled"))
+        of_hash = roots.groupBy("h").agg(F.min("root").alias("root"))
     events = roots.withColumn("change", F.lit(0)).union(change.join(of_hash, "h").select("root", "s", F.lit(None).cast("string"), "h", F.lit(None).cast("boolean"), "change"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,13 +192,14 @@ def _rest_in_order(left: DataFrame, holds: DataFrame) -> DataFrame:
     return events.select("root", "s", "u", "h", "filled", "change").repartition("root").sortWithinPartitions("root", "s").mapInArrow(run, "s bigint, outcome string")
 
 
-def resolved(store: DataFrame, batch: DataFrame, rounds: int = 12, blocks: int = 1000) -> DataFrame:
+def resolved(store: DataFrame, batch: DataFrame, rounds: int = 12, few: int = FEW, blocks: int = 1000) -> DataFrame:
     """(s, outcome) of the rows inserted and updated, of store (u, h, filled) and batch (s, u, h, filled) rows; all others are duplicates.
 
     Every step is a join or a partial aggregate, or a window over a block of one
     key's rows.  For rows in random order the rounds grow with the logarithm of
     their number; what ``rounds`` leave (links that wait for each other one by one)
-    is read in order, group by group.
+    is read in order, group by group.  Up to ``few`` rows of new links are read in
+    order by one task at once.
     """
     span = max(1, -(-(batch.agg(F.max("s") - F.min("s")).first()[0] or 0) // blocks))
     known = store.select("u", F.col("h").alias("old"), F.col("filled").alias("done"))
@@ -203,6 +209,8 @@ def resolved(store: DataFrame, batch: DataFrame, rounds: int = 12, blocks: int =
     holds = [stored(store.join(first, "u", "left").select("h", F.lit(BEFORE).alias("start"), F.coalesce("s", F.lit(FOREVER)).alias("end")).union(_until_next(refill, span)))]
     found = [refill.select("s", F.lit("updated").alias("outcome"))]
     left = Stored(_struck(both.filter("done IS NULL").select("s", "u", "h", "filled", F.lit(True).alias("open")), holds[0], span))
+    if left.df.limit(few + 1).count() <= few:
+        return found[0].union(_rest_in_order(left.df, holds[0], True))
     for turn in range(rounds + 1):
         first = stored(left.df.filter("open").groupBy("u").agg(F.min("s").alias("c")))
         if first.isEmpty():
@@ -229,7 +237,7 @@ def resolved(store: DataFrame, batch: DataFrame, rounds: int = 12, blocks: int =
     return out
 
 
-def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq", rounds: int = 12) -> tuple[DataFrame, DataFrame]:
+def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq", rounds: int = 12, few: int = FEW) -> tuple[DataFrame, DataFrame]:
     """(store afterwards, outcomes (seq, outcome)) of saving ``batch`` in order; urls of the store and seq are unique, urls and hashes not null.
 
     A row whose url is stored with a blank description updates it; else a row whose
@@ -243,7 +251,7 @@ def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq", rounds: int = 1
     came = stored(batch)
     keys = [F.col("url").alias("u"), F.col("content_hash").alias("h"), (~is_blank(F.col("job_description"))).alias("filled")]
     with scratch(batch.sparkSession) as keep:
-        won = resolved(old.select(*keys), came.select(F.col(seq).cast("bigint").alias("s"), *keys), rounds)
+        won = resolved(old.select(*keys), came.select(F.col(seq).cast("bigint").alias("s"), *keys), rounds, few)
         every = came.select(F.col(seq).cast("bigint").alias("seq"))
         outcomes = keep(every.join(won.withColumnRenamed("s", "seq"), "seq", "left").select("seq", F.coalesce("outcome", F.lit("duplicate")).alias("outcome"))).df
 

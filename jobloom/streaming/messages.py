@@ -1,23 +1,26 @@
-"""Queue messages: publishing, validation, dispositions in batch and as a stream.
+"""Queue messages: validation, dispositions, and saving them, in batch and as a stream.
 
-No queue connector comes with Spark.  A bridge (files or Kafka) carries the bytes;
-``validated`` and ``dispositions`` don't care which.  A checkpointed stream
-delivers at least once, and the upsert makes that harmless.
+``sources.queue`` carries the bytes; Kafka or files do as well.  A checkpointed stream
+delivers a batch at least once: ``save_messages`` publishes its rows, what became of its
+messages and those that come again in one version of the store, together with the
+batch's number, so a batch that is delivered again changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from jobloom.functions import postings
 from jobloom.functions.postings import field, is_string, kind
 from jobloom.functions.urls import canonical_http_url
-from jobloom.runtime import ship
+from jobloom.operators.store import PostingStore
+from jobloom.runtime import scratch, ship, stored
 
-ACK, REJECT, RETRY = "ACK", "NACK_NO_REQUEUE", "NACK_REQUEUE"
+ACK, REJECT, RETRY, DEAD = "ACK", "NACK_NO_REQUEUE", "NACK_REQUEUE", "DEAD_LETTER"
 TEXT_FIELDS = ("title", "location", "company", "salary", "summary", "email_subject", "email_sender")
 
 
@@ -29,16 +32,6 @@ def envelope(entries: DataFrame, now: Column, event_id: Column | None = None, ev
     return entries.select(F.to_json(F.struct(key.alias("event_id"), F.lit(event_type).alias("event_type"), now.cast("string").alias("occurred_at"), payload.alias("payload")), {"ignoreNullFields": "false"}).alias("body"))
 
 
-def publish(bodies: DataFrame, folder: str) -> None:
-    """Appends messages (body) to a folder, one a line; what JSON text holds has no line ends of its own."""
-    bodies.select("body").write.mode("append").text(folder)
-
-
-def incoming(spark: SparkSession, folder: str, prefetch: int = 2) -> DataFrame:
-    """Messages (body) of such a folder as a stream, ``prefetch`` files at a time."""
-    return spark.readStream.format("text").option("maxFilesPerTrigger", prefetch).load(folder).withColumnRenamed("value", "body")
-
-
 def _optional_text(v: Column, path: str) -> Column:
     at = field(v, path, "variant")
     return at.isNull() | F.is_variant_null(at) | is_string(at)
@@ -99,3 +92,57 @@ def start(messages: DataFrame, save: Callable[[DataFrame, int], None], reject: C
 
     writer = messages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+
+
+def save_messages(store: PostingStore, batch: DataFrame, number: int, now: Column, query: str = "messages", details: Callable[[DataFrame], DataFrame] | None = None, refused: Column | None = None, most_attempts: int = 5) -> bool:
+    """Saves a batch of messages (place, body), and those that an earlier batch left to come again; False if the store has this batch already.
+
+    A message that is not valid is rejected.  One that is saved, or whose posting is
+    there already, is acknowledged.  All others come again with the next batch, until
+    they were tried ``most_attempts`` times: then they are dead letters.  ``details`` gives the
+    details (board, job_id and the columns of a posting) of links (url); ``refused`` is
+    true for rows (place, attempt and the posting) that can't be saved now.
+    Places are unique over all batches; the store keeps (place, body, attempt, reason, outcome, disposition).
+    """
+    if store.done(query, number):
+        return False
+    spark = store.spark
+    with scratch(spark):
+        rows = batch.select("place", F.col("body").cast("binary").alias("body"), F.lit(1).alias("attempt"))
+        if store.now["pending"]:
+            rows = rows.union(spark.read.parquet(f"{store.folder}/{store.now['pending']}").select("place", "body", F.col("attempt") + 1))
+        checked = stored(validated(rows).select("place", "body", "attempt", F.to_json("v").alias("text"), "reason"))
+        payloads = checked.filter("reason IS NULL").select("place", "attempt", field(F.parse_json("text"), "$.payload", "variant").alias("payload"))
+        taken = postings.from_payload(payloads, now, keep=("place", "attempt"))
+        if details is not None:
+            taken = stored(taken)
+            taken = postings.enriched(taken, details(taken.select("url")), True)
+        if refused is not None:
+            taken = taken.filter(~F.coalesce(refused, F.lit(False)))
+        outcomes, files, access = store.staged(taken, "place")
+        told = checked.select("place", "body", "attempt", "reason").join(outcomes, "place", "left")
+        again = F.when(F.col("attempt") < most_attempts, RETRY).otherwise(DEAD)
+        told = told.withColumn("disposition", F.when(F.col("reason").isNotNull(), REJECT).when(F.col("outcome").isNotNull(), ACK).otherwise(again))
+        log = store.write("dispositions", told)
+        left = spark.read.parquet(f"{store.folder}/{log}").filter(F.col("disposition") == RETRY).select("place", "body", "attempt")
+        pending = None if left.isEmpty() else store.write("pending", left)
+        store.publish(files, access, (query, number), pending, log)
+    return True
+
+
+def save_stream(messages: DataFrame, store: PostingStore, checkpoint: str, now: Column, interval: str = "5 seconds", **options) -> StreamingQuery:
+    """A stream of messages (place, body) into the store; ``options`` as of ``save_messages``."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        save_messages(store, batch, number, now, **options)
+
+    return messages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
+
+def drain(store: PostingStore, now: Column, query: str = "messages", **options) -> int:
+    """Tries what is left to come again without waiting for further messages, until nothing is; the batches it took."""
+    turns = 0
+    while store.refresh().now["pending"]:
+        save_messages(store, store.spark.createDataFrame([], "place bigint, body binary"), turns, now, query=f"{query}-drain-{store.now['version']}", **options)
+        turns += 1
+    return turns
