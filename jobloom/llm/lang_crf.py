@@ -66,13 +66,15 @@ class Words:
         low = points[raw]
         at = np.flatnonzero(low)
         first = low[at - 1] == 0
-        begin, end = np.flatnonzero(first), np.append(np.flatnonzero(first)[1:], len(at))
+        begin = np.flatnonzero(first)
+        end = np.append(begin, len(at))[1:]
         if len(begin):
             good = np.logical_or.reduceat(letters[raw[at]], begin)
             if not good.all():
                 keep = np.repeat(good, end - begin)
                 at, first = at[keep], first[keep]
-                begin, end = np.flatnonzero(first), np.append(np.flatnonzero(first)[1:], len(at))
+                begin = np.flatnonzero(first)
+                end = np.append(begin, len(at))[1:]
         self.n, self.begin = len(begin), begin
         begins = np.cumsum(sizes + 1) - sizes  # of texts
         self.owner = np.searchsorted(begins, at[begin], "right") - 1
@@ -265,12 +267,17 @@ def train(docs: DataFrame, most_rows: int = 2400, most_bytes: int = 8 << 10, id_
     of rows that share an id one counts.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang")).filter(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    fits = F.octet_length("text") <= most_bytes
+    told = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(fits).alias("short")).collect()
+    counts = {r.lang: r.n for r in told}
     if not counts:
         return fit([])
     each = max(20, most_rows // len(counts))
+    # Of n hashes the lowest ``each`` lie below this share of all, but for one case in very many: so few rows are ranked.
+    bounds = F.create_map(*[F.lit(x) for r in told for x in (r.lang, min(1.0, (2 * each + 40) / max(1, r.short)))])
+    share = F.xxhash64("id") / F.lit(2.0**64) + 0.5
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    short = rows.filter(F.octet_length("text") <= most_bytes)
+    short = rows.filter(fits & (share <= bounds[F.col("lang")]))
     ids = short.select("id", "lang").withColumn("rank", rank).filter(F.col("rank") <= each).select("id", "lang").dropDuplicates(["id"])
     sample = short.join(F.broadcast(ids), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text")).orderBy(F.xxhash64("id"), "id").collect()
     return fit([(r.text, r.lang) for r in sample], {x: n / sum(counts.values()) for x, n in counts.items()})
