@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, LessThan, LessThanOrEqual
 
 from jobloom.functions import urls
-from jobloom.runtime import Stored, ship
+from jobloom.runtime import Stored, ship, stored
 
 
 #: Tasks that ask a source at the same time, at most; each waits so long between requests that all together keep the source's rate.
@@ -170,7 +170,7 @@ class PostingSource:
         """Of boards, or of companies (company_endpoint, last_fetched_at)."""
         raise NotImplementedError
 
-    def lookup(self, links: DataFrame) -> DataFrame:
+    def lookup(self, links: DataFrame, log: str | None = None, fresh_seconds: float = 3600) -> DataFrame:
         raise NotImplementedError
 
 
@@ -184,22 +184,53 @@ class BoardApi(PostingSource):
             reader = reader.schema(", ".join(f for f in BoardSource({}).schema().split(", ") if f.split(" ")[0] in columns))
         return reader.load()
 
-    def lookup(self, links: DataFrame) -> DataFrame:
-        """links (url) that are board links, with board, job_id and detail (JSON, or null where the request fails): one request each, spread over the lanes."""
+    def lookup(self, links: DataFrame, log: str | None = None, fresh_seconds: float = 3600) -> DataFrame:
+        """links (url) that are board links, with board, job_id and detail (JSON, or null where the request fails): one request for each posting, however many links name it, spread over the lanes.
+
+        With a ``log`` (a folder) postings looked up in the last ``fresh_seconds`` are taken from there, and
+        a lookup that is done again asks for nothing that came before.
+        """
         ship(self.spark)
         base, suffix = self.options["base_url"].rstrip("/"), self.options.get("suffix", "")
         lanes, timeout = int(self.options.get("lanes", LANES)), float(self.options.get("timeout", 30))
         gap = gap_seconds(self.per_minute, lanes)
+        schema = pa.schema([(c, pa.string()) for c in ("board", "job_id", "detail")])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
-                    time.sleep(gap)
-                    found = _get(base, f"boards/{row['board']}/jobs/{row['job_id']}", suffix, timeout)[1]
-                    yield pa.RecordBatch.from_pylist([row | {"detail": json.dumps(found) if isinstance(found, dict) else None}], schema=pa.schema([(c, pa.string()) for c in ("url", "board", "job_id", "detail")]))
-
-        known = links.select("url", urls.board_token(F.col("url")).alias("board"), urls.board_job_id(F.col("url")).alias("job_id")).filter("board IS NOT NULL").distinct()
-        return known.repartition(lanes).mapInArrow(run, "url string, board string, job_id string, detail string")
+                    name = f"{row['board']}/{row['job_id']}"
+                    detail = _remembered(log, name, fresh_seconds) if log else None
+                    if detail is None:
+                        time.sleep(gap)
+                        came, found = _get(base, f"boards/{row['board']}/jobs/{row['job_id']}", suffix, timeout)
+                        detail = json.dumps(found) if came and isinstance(found, dict) else None
+                        if log and detail is not None:
+                            _remember(log, name, detail)
+                    yield pa.RecordBatch.from_pylist([row | {"detail": detail}], schema=schema)
+
+        known = stored(links.select("url", urls.board_token(F.col("url")).alias("board"), urls.board_job_id(F.col("url")).alias("job_id")).filter("board IS NOT NULL").distinct())
+        asked = known.select(F.lower("board").alias("board"), "job_id").distinct().repartition(lanes, "board", "job_id")
+        found = asked.mapInArrow(run, "board string, job_id string, detail string").withColumnsRenamed({"board": "low", "job_id": "number"})
+        return known.join(found, (F.lower("board") == F.col("low")) & (F.col("job_id") == F.col("number"))).select("url", "board", "job_id", "detail")
+
+
+def _remembered(log: str, name: str, fresh_seconds: float) -> str | None:
+    store, folder = store_of(log.rstrip("/"))
+    info = store.get_file_info(f"{folder}/{quote(name, safe='')}.json")
+    if info.type != fs.FileType.File or info.mtime is None or time.time() - info.mtime.timestamp() > fresh_seconds:
+        return None
+    with store.open_input_stream(info.path) as f:
+        return f.read().decode()
+
+
+def _remember(log: str, name: str, detail: str) -> None:
+    store, folder = store_of(log.rstrip("/"))
+    store.create_dir(folder)
+    hidden = f"{folder}/.{uuid.uuid4().hex}"
+    with store.open_output_stream(hidden) as out:
+        out.write(detail.encode())
+    store.move(hidden, f"{folder}/{quote(name, safe='')}.json")
 
 
 #: (type, name) of a source to its class.  New sources are added here.
