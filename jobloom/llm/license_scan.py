@@ -4,7 +4,8 @@ Texts are cut to sentences, sentences are normalised (lower case, runs of all bu
 letters and digits as one space) and mapped to identifiers of known licence
 sentences.  The identifiers in reading order are matched against ordered rules: a
 rule holds if its identifiers stand in that order; other known ones may stand
-between.  Sentences are cut twice, once at line ends too and once with lines
+between.  Sentences that name an owner, or in which a licence's name stands among other
+words, are known by patterns, as are the names in SPDX expressions.  Sentences are cut twice, once at line ends too and once with lines
 joined, since licence texts come wrapped and as single lines; in a comment, lines
 of marks alone part paragraphs as empty lines do.
 """
@@ -55,8 +56,33 @@ SENTENCES = {
     "boost": ["distributed under the boost software license version 1 0"],
     "epl2_available": ["this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at http www eclipse org legal epl 2 0"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "mit_title": ["mit license", "the mit license", "the mit license mit"],
+    "gpl3_title": ["gnu general public license version 3 29 june 2007", "gnu general public license version 3"],
+    "gpl2_title": ["gnu general public license version 2 june 1991", "gnu general public license version 2"],
+    "lgpl3_title": ["gnu lesser general public license version 3 29 june 2007"],
+    "agpl3_title": ["gnu affero general public license version 3 19 november 2007"],
+    "apache_title": ["apache license version 2 0 january 2004"],
+    "gpl_name": ["gnu general public license"],
+    "lgpl_name": ["gnu lesser general public license"],
+    "agpl_name": ["gnu affero general public license"],
+    "apache_name": ["apache license"],
+    "dated_version_2": ["version 2 june 1991"],
+    "dated_version_3": ["version 3 29 june 2007"],
+    "dated_version_3_network": ["version 3 19 november 2007"],
+    "dated_version_2_0": ["version 2 0 january 2004"],
 }
 
+_UNDER = "(?:licensed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?"
+_GNU = _UNDER + "(?:gnu )?(?:gpl|general public licen[sc]e)(?: version| v)? ?v?"
+#: Patterns of sentences with slots, in normal form, for those that aren't known as they are.
+PATTERNS = [
+    ("bsd_endorse", "(?:^| )may be used to endorse or promote products derived from this software without specific prior written permission(?: |$)"),
+    ("mit_by_name", _UNDER + "(?:mit|expat)(?: |$)"),
+    ("apache_by_name", _UNDER + "apache (?:software )?(?:licen[sc]e )?(?:version )?v?2(?: 0)?(?: |$)"),
+    ("gpl2_by_name", _GNU + "2(?: |$)"),
+    ("gpl3_by_name", _GNU + "3(?: |$)"),
+]
+
 #: Ordered rules, (licence, identifiers).
 RULES = [
     ("AGPL-3.0", ["agpl_free", "gpl_hope"]),
@@ -84,6 +110,17 @@ RULES = [
     ("MIT", ["mit_grant", "mit_notice", "mit_as_is"]),
     ("MPL-2.0", ["mpl_subject", "mpl_obtain"]),
     ("Unlicense", ["unlicense"]),
+    ("MIT", ["mit_title"]),
+    ("GPL-3.0", ["gpl3_title"]),
+    ("GPL-3.0", ["gpl_name", "dated_version_3"]),
+    ("GPL-2.0", ["gpl2_title"]),
+    ("GPL-2.0", ["gpl_name", "dated_version_2"]),
+    ("LGPL-3.0", ["lgpl3_title"]),
+    ("LGPL-3.0", ["lgpl_name", "dated_version_3"]),
+    ("AGPL-3.0", ["agpl3_title"]),
+    ("AGPL-3.0", ["agpl_name", "dated_version_3_network"]),
+    ("Apache-2.0", ["apache_title"]),
+    ("Apache-2.0", ["apache_name", "dated_version_2_0"]),
 ]
 
 #: Names that follow "SPDX-License-Identifier:"; the sentence and rule of each are made below.
@@ -94,16 +131,16 @@ def _normal_name(name: str) -> str:
     return "".join(c if c.isalnum() else " " for c in name.lower())
 
 
-for _name in SPDX:
-    _id = "spdx_" + _normal_name(_name).replace(" ", "_")
-    SENTENCES[_id] = [f"spdx license identifier {_normal_name(_name)}{end}" for end in ("", *(((" only", " or later") if "GPL" in _name else ())))]
-    RULES.append((_name, [_id]))
+_SPDX = "spdx license identifier "
+#: Names in an SPDX expression, by patterns of its normal form.
+SPDX_PATTERNS = [("spdx_" + _normal_name(x).replace(" ", "_"), f"^{_SPDX}(?:.* )?{_normal_name(x)}(?: |$)") for x in SPDX]
+RULES += [(x, [i]) for x, (i, _) in zip(SPDX, SPDX_PATTERNS)]
 RULES.append(("Zlib", ["zlib_as_is", "zlib_grant"]))
 
 #: Characters of the shortest known sentence: a shorter piece is none.
 SHORTEST = min(len(x) for xs in SENTENCES.values() for x in xs)
 #: Every known sentence has one of these words; texts without them need no cutting.
-HINTS = ("licen", "cc0", "permi", "redistribut", "neither the name", "notice", "warrant", "free software", "mpl", "unencumbered")
+HINTS = ("licen", "under mit", "under the mit", "under apache", "under gpl", "under the gpl", "under gnu", "cc0", "permi", "redistribut", "neither the name", "notice", "warrant", "free software", "mpl", "unencumbered")
 
 
 #: The colon of an SPDX line ends no sentence.
@@ -117,11 +154,14 @@ def _pieces(text: Column) -> Column:
 
 
 def _identifiers(pieces: Column) -> Column:
+    """Identifiers of known sentences: whole ones by a table, names in an SPDX expression, else those whose pattern is met."""
     normal = lambda x: F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " "))
     known = {s: name for name, xs in SENTENCES.items() for s in xs}
     table = F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])
-    sentences = F.filter(F.transform(F.filter(pieces, lambda x: F.length(x) >= SHORTEST), normal), lambda x: x.isin(*sorted(known)))
-    return F.transform(sentences, lambda x: F.element_at(table, x))
+    met = lambda x, patterns: F.filter(F.array(*[F.when(x.rlike(p), F.lit(name)) for name, p in patterns]), lambda y: y.isNotNull())
+    hinted = lambda x: x.contains(" under ") | x.contains("endorse or promote")
+    of = lambda x: F.when(x.isin(*sorted(known)), F.array(F.element_at(table, x))).when(x.startswith(_SPDX), met(x, SPDX_PATTERNS)).when(hinted(x), met(x, PATTERNS)).otherwise(F.array().cast("array<string>"))
+    return F.flatten(F.transform(F.transform(F.filter(pieces, lambda x: F.length(x) >= SHORTEST), normal), of))
 
 
 def _rule_pattern(names: list[str]) -> str:
@@ -153,7 +193,9 @@ def oracle_sql() -> str:
     """The scan of ``documents`` in DuckDB's SQL.  Its patterns know no look-ahead, so lines of comment marks are found line by line."""
     known = sorted((s, name) for name, xs in SENTENCES.items() for s in xs)
     table = "map {" + ", ".join(f"'{s}': '{n}'" for s, n in known) + "}"
-    ids = lambda x: f"list_transform(list_filter(list_transform(list_filter(string_split(regexp_replace(regexp_replace({x}, '(?i)(spdx-license-identifier):', '\\1 ', 'g'), '[.;:!?][ \\t\\r\\n]+', chr(10), 'g'), chr(10)), lambda p: length(p) >= {SHORTEST}), lambda p: trim(regexp_replace(lower(p), '[^a-z0-9]+', ' ', 'g'))), lambda p: map_contains(k, p)), lambda p: k[p])"
+    met = lambda patterns: "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(p, '{p}') THEN '{n}' END" for n, p in patterns) + "], lambda z: z IS NOT NULL)"
+    of = f"CASE WHEN map_contains(k, p) THEN [k[p]] WHEN starts_with(p, '{_SPDX}') THEN {met(SPDX_PATTERNS)} WHEN contains(p, ' under ') OR contains(p, 'endorse or promote') THEN {met(PATTERNS)} ELSE [] END"
+    ids = lambda x: f"flatten(list_transform(list_transform(list_filter(string_split(regexp_replace(regexp_replace({x}, '(?i)(spdx-license-identifier):', '\\1 ', 'g'), '[.;:!?][ \\t\\r\\n]+', chr(10), 'g'), chr(10)), lambda p: length(p) >= {SHORTEST}), lambda p: trim(regexp_replace(lower(p), '[^a-z0-9]+', ' ', 'g'))), lambda p: {of}))"
     rules = ", ".join(f"CASE WHEN regexp_matches(a, '{_rule_pattern(r)}') OR regexp_matches(b, '{_rule_pattern(r)}') THEN '{n}' END" for n, r in RULES)
     return f"""
     WITH s AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines, {table} AS k FROM documents),

@@ -9,6 +9,7 @@ pyarrow knows its kind of store; elsewhere archives are rows of a table.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
@@ -62,9 +63,9 @@ def page_urn(page: str | None) -> str:
 
 
 def page_of(urn: str | None) -> str | None:
-    """The page of a record id, as written by ``page_urn``; null for null and for other ids."""
+    """The page of a record id, as written by ``page_urn``; null for null, and ids of other writers as they are."""
     bare = (urn or "").removeprefix("<").removesuffix(">")
-    return unquote(bare.removeprefix(PAGE)) if bare.startswith(PAGE) else None
+    return unquote(bare.removeprefix(PAGE)) if bare.startswith(PAGE) else None if bare in ("", NO_PAGE) else bare
 
 
 def page_record(page: str | None, url: str | None, payload: bytes, refers_to: str | None, date: str) -> bytes:
@@ -122,11 +123,34 @@ def parse(record: bytes) -> Record:
     return Record(headers, _fields(http.split(b"\r\n")[1:]), payload)
 
 
+def _digest_bytes(value: str, size: int) -> bytes | None:
+    """A digest of so many bytes from hex digits or base32, as crawlers write it; None if it is neither."""
+    try:
+        found = bytes.fromhex(value) if len(value) == 2 * size else base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except ValueError:
+        return None
+    return found if len(found) == size else None
+
+
 def _verify(digest: str | None, data: bytes, headers: dict[str, str]) -> None:
-    if digest is not None:
-        kind, _, value = digest.partition(":")
-        if hashlib.new(kind, data).hexdigest() != value.lower():
-            raise ValueError(f"{headers.get('warc-record-id')}: the {kind} digest differs")
+    """Digests of algorithms that aren't known here are passed over."""
+    if digest is None:
+        return
+    kind, _, value = digest.partition(":")
+    name = kind.strip().lower().replace("-", "")
+    if name not in hashlib.algorithms_available or not (made := hashlib.new(name)).digest_size:
+        return
+    made.update(data)
+    if _digest_bytes(value.strip(), made.digest_size) != made.digest():
+        raise ValueError(f"{headers.get('warc-record-id')}: the {kind} digest differs")
+
+
+def payload_digest(record: Record) -> str | None:
+    """SHA-256 of the payload as hex digits; of a revisit as its header says it, and with the algorithm's name if that is another."""
+    kind, _, value = record.headers.get("warc-payload-digest", "").partition(":")
+    if kind.lower().replace("-", "") == "sha256" and (found := _digest_bytes(value.strip(), 32)) is not None:
+        return found.hex()
+    return hashlib.sha256(record.payload).hexdigest() if record.kind == "response" else f"{kind}:{value}" if value else None
 
 
 def read_records(content: bytes | Iterable[bytes]) -> Iterator[Record]:
@@ -235,8 +259,10 @@ def read_archives(archives: DataFrame, content_column: str = "content", payloads
     """One row per response or revisit record: page (string), url, payload_bytes, payload_digest, record_type, refers_to (string), and with ``payloads`` payload (binary).
 
     ``content_column`` holds archives (binary, as ``binaryFile`` reads them) or the
-    paths of files, which are read as streams.  A record that is cut short, framed
-    wrongly or fails a digest raises.  An empty archive gives no rows.
+    paths of files, which are read as streams.  Records of other writers keep their
+    ids; digests are hex or base32; a revisit that doesn't say how long its payload
+    is has null payload_bytes.  A record that is cut short, framed wrongly or fails a
+    digest raises.  An empty archive gives no rows.
     """
     ship(archives.sparkSession)
     by_path = archives.schema[content_column].dataType.simpleString() == "string"
@@ -253,8 +279,9 @@ def read_archives(archives: DataFrame, content_column: str = "content", payloads
                 for r in read_records(chunks_of(content) if by_path else content):
                     if r.kind not in ("response", "revisit"):
                         continue
-                    size = len(r.payload) if r.kind == "response" else int(r.http["content-length"])
-                    rows.append((page_of(r.headers["warc-record-id"]), r.headers.get("warc-target-uri"), size, r.headers["warc-payload-digest"].partition(":")[2], r.kind, page_of(r.headers.get("warc-refers-to")), *([r.payload] if payloads else [])))
+                    length = r.http.get("content-length", "")
+                    size = len(r.payload) if r.kind == "response" else int(length) if length.isdigit() else None
+                    rows.append((page_of(r.headers["warc-record-id"]), r.headers.get("warc-target-uri"), size, payload_digest(r), r.kind, page_of(r.headers.get("warc-refers-to")), *([r.payload] if payloads else [])))
                     held += len(r.payload) if payloads else 256
                     if held > 1 << 20:
                         yield batch_of_rows(rows)

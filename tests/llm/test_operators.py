@@ -475,6 +475,12 @@ HEADERS = {
 }
 
 
+HEADERS |= {
+    "mit_title": ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2021 Someone"), "gpl3_title": ("GPL-3.0", "GNU General Public License version 3"), "gpl_name,dated_version_3": ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
+    "gpl2_title": ("GPL-2.0", "GNU General Public License, version 2"), "gpl_name,dated_version_2": ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991"), "lgpl3_title": ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "lgpl_name,dated_version_3": ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"), "agpl3_title": ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"), "agpl_name,dated_version_3_network": ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007"),
+    "apache_title": ("Apache-2.0", "Apache License Version 2.0, January 2004"), "apache_name,dated_version_2_0": ("Apache-2.0", "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/"),
+}
 HEADERS |= {"spdx_" + n.lower().replace("-", "_").replace(".", "_"): (n, f"SPDX-License-Identifier: {n}{'-or-later' if 'GPL' in n else ''}\n\nint main;") for n in license_scan.SPDX}
 
 
@@ -547,3 +553,50 @@ def test_components_of_a_long_chain(spark):
     edges = spark.range(1, 400).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
     got = simhash.connected(edges).collect()
     assert len(got) == 399 and all(r.root == 0 for r in got)
+
+
+PROBES = [
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n * Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n * Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n * Neither the name of Google Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "BSD-3-Clause"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n1. Redistributions of source code must retain the above copyright\n   notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright\n   notice, this list of conditions and the following disclaimer in the\n   documentation and/or other materials provided with the distribution.\n3. Neither the name of the University nor the names of its contributors\n   may be used to endorse or promote products derived from this software\n   without specific prior written permission.", "BSD-3-Clause"),
+    ("MIT License\n\nCopyright (c) 2020 Someone", "MIT"), ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n", "GPL-3.0"), ("Licensed under Apache-2.0", "Apache-2.0"), ("// SPDX-License-Identifier: MIT OR Apache-2.0\n", "Apache-2.0,MIT"),
+    ("/* SPDX-License-Identifier: (GPL-2.0 OR MIT) */", "GPL-2.0,MIT"), ("This is licensed under the MIT license, see LICENSE", "MIT"), ("It was released under the MIT License (see LICENSE)", "MIT"), ("Code is available under the terms of the MIT licence.", "MIT"),
+    ("# SPDX-License-Identifier: LGPL-2.1-or-later\n", "LGPL-2.1"), ("We left under the cover of night.", ""),
+]
+
+
+def test_licences_as_files_word_them(spark):
+    """Owners in slots, names among other words, titles, SPDX expressions: by the query and by its SQL."""
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PROBES)], "doc_id bigint, text string")
+    want = {i: w for i, (_, w) in enumerate(PROBES)}
+    assert {r.doc_id: r.licenses for r in license_scan.scan_licenses(docs).collect()} == want
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, (t, _) in enumerate(PROBES)])
+    assert dict(con.execute(f"SELECT doc_id, licenses FROM ({license_scan.oracle_sql()})").fetchall()) == want
+
+
+def test_warc_of_other_writers():
+    """Base32 digests, ids and lengths as crawlers write them; a wrong digest still raises."""
+    import base64
+
+    def member(headers, block):
+        head = "WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers.items()) + f"Content-Length: {len(block)}\r\n\r\n"
+        return warc._gz(head.encode() + block + b"\r\n\r\n")
+
+    payload = b"<html>x</html>"
+    sha1 = "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    kind = {"WARC-Record-ID": "<urn:uuid:1>", "Content-Type": "application/http; msgtype=response"}
+    good = member({"WARC-Type": "response", **kind, "WARC-Payload-Digest": sha1, "WARC-Block-Digest": "blake9:x"}, http + payload)
+    again = member({"WARC-Type": "revisit", **kind, "WARC-Refers-To": "<urn:uuid:0>", "WARC-Payload-Digest": sha1}, http)
+    first, second = warc.read_records(good + again)
+    assert first.payload == payload and warc.payload_digest(first) == hashlib.sha256(payload).hexdigest() and warc.payload_digest(second) == sha1
+    assert warc.page_of(first.headers["warc-record-id"]) == "urn:uuid:1" and warc.page_of(second.headers["warc-refers-to"]) == "urn:uuid:0"
+    with pytest.raises(ValueError, match="digest differs"):
+        list(warc.read_records(member({"WARC-Type": "response", **kind, "WARC-Payload-Digest": sha1}, http + payload + b"!")))
+
+
+def test_warc_rows_of_other_writers(spark):
+    head = b"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:uuid:2>\r\nContent-Type: application/http\r\nContent-Length: 19\r\n\r\nHTTP/1.1 200 OK\r\n\r\n\r\n\r\n"
+    (row,) = warc.read_archives(spark.createDataFrame([(bytearray(warc._gz(head)),)], "content binary"), "content").collect()
+    assert (row.page, row.payload_bytes, row.payload_digest, row.record_type, row.refers_to) == ("urn:uuid:2", None, None, "revisit", None)
