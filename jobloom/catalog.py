@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from jobloom.functions import anchors, postings, text, urls
 from jobloom.operators import dedup, dml, links, maintain, schedule
 from jobloom.operators.store import PostingStore
+from jobloom.plans import flows
 from jobloom.runtime import shared_folder, ship, table
+from jobloom.schemas import POSTING
 from jobloom.sources import boards, queue
 from jobloom.streaming import messages
 
@@ -445,6 +447,48 @@ def stream_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id bigint, reason string, disposition string, kind string, batch int").parquet(f"{top}/out").select("event_id", "reason", "disposition")
 
 
+def _answers(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Writes what boards would answer, as files: nations are boards, their suppliers the postings of a list, with a detail for each."""
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("board"), F.when(F.col("s_suppkey") % 7 == 0, "T").otherwise(F.col("s_name")).alias("title"), "s_name")
+    item = F.struct(F.col("s_suppkey").alias("id"), "title")
+    lists = rows.groupBy("board").agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("jobs"))).alias("body")).select(F.concat(F.lit("boards/"), "board", F.lit("/jobs.json")).alias("path"), "body")
+    content = F.when(F.col("s_suppkey") % 3 > 0, F.concat(F.lit("&lt;p&gt;"), "s_name", F.lit(" works&lt;/p&gt;")))
+    details = rows.select(F.concat(F.lit("boards/"), "board", F.lit("/jobs/"), F.col("s_suppkey").cast("string"), F.lit(".json")).alias("path"), F.to_json(F.struct(F.col("s_suppkey").alias("id"), content.alias("content"))).alias("body"))
+
+    def run(batches):
+        store, top = boards.store_of(folder)
+        for batch in batches:
+            for path, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                store.create_dir(f"{top}/{path.rpartition('/')[0]}")
+                with store.open_output_stream(f"{top}/{path}") as out:
+                    out.write(body.encode())
+            yield batch
+
+    ship(spark)
+    lists.union(details).mapInArrow(run, "path string, body string").write.format("noop").mode("overwrite").save()
+
+
+@_query("""
+WITH b AS (SELECT s_suppkey, s_nationkey, CASE WHEN s_suppkey % 7 = 0 THEN 'T' ELSE s_name END AS title, CASE WHEN s_suppkey % 3 > 0 THEN s_name || ' works' END AS d FROM supplier),
+r AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey, title ORDER BY s_suppkey) = 1 AS saved FROM b),
+s AS (SELECT count(DISTINCT s_nationkey) AS companies, count(*) AS fetched, count(d) AS with_description, CAST(count_if(saved) AS BIGINT) AS saved, CAST(count_if(NOT saved) AS BIGINT) AS duplicates, 0::BIGINT AS failed FROM r)
+SELECT 'https://r/n' || s_nationkey || '/jobs/' || s_suppkey AS url, n_name AS company, title AS job_title, d AS job_description, s.* FROM r JOIN nation ON s_nationkey = n_nationkey, s WHERE r.saved
+""")
+def crawl_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of a source: lists and details asked for once, saved in the order of the lists, with the run's statistics (nations are boards, suppliers their postings)."""
+    top = f"{shared_folder(spark)}/boards-{uuid.uuid4().hex}"
+    _answers(spark, sf_dir, top)
+    base = top if "://" in top else f"file://{top}" if top.startswith("/") else top.replace("file:", "file://", 1)
+    source = boards.create(spark, {"type": "api", "name": "greenhouse", "rate_limit_per_minute": 0, "config": {"base_url": base, "suffix": ".json", "details": "true"}})
+    nothing = F.lit(None).cast("timestamp_ntz")
+    sources = table(spark, sf_dir, "region").filter("r_regionkey = 0").select(F.lit("1").alias("id"), F.lit("greenhouse").alias("name"), nothing.alias("last_run_at"))
+    known = table(spark, sf_dir, "supplier").select("s_nationkey").distinct()
+    companies = table(spark, sf_dir, "nation").join(known, F.col("n_nationkey") == F.col("s_nationkey"), "left_semi")
+    companies = companies.select(F.col("n_nationkey").cast("string").alias("id"), F.lit("1").alias("source_id"), F.col("n_name").alias("company_name"), F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("company_endpoint"), F.lit(True).alias("enabled"), nothing.alias("last_fetched_at"))
+    after, _, _, stats = flows.run_source(source.rows(companies), companies, sources, spark.createDataFrame([], POSTING), "https://r", "greenhouse", nothing)
+    return after.select("url", "company", "job_title", "job_description").crossJoin(F.broadcast(stats.drop("source")))
+
+
 @_query("""
 WITH b AS (SELECT event_id, event_id % 10 AS k, event_id - event_id % 10 + least(event_id % 10, 7) AS u FROM events)
 SELECT event_id, CASE WHEN k < 2 THEN 'NACK_NO_REQUEUE' WHEN k = 4 THEN 'NACK_REQUEUE,ACK' ELSE 'ACK' END AS dispositions,

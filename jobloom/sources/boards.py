@@ -1,4 +1,4 @@
-"""Sources: a registry, boards of a list API as a Python data source, mails, settings, JDBC."""
+"""Sources: a registry, boards of a list API as a Python data source, mails, settings."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import email.policy
 import http.client
 import json
 import os
+import sys
 import time
 import urllib.error
 import urllib.request
@@ -258,21 +259,6 @@ def enabled_companies(companies: DataFrame, source_id: str) -> DataFrame:
     return companies.filter((F.col("source_id") == source_id) & F.col("enabled")).orderBy("company_endpoint")
 
 
-def jdbc(spark: SparkSession, table: str, env: dict[str, str] | None = None) -> DataFrame:
-    """A table of the store's database.  Separate variables win over DATABASE_URL; needs the driver's jar."""
-    env = dict(os.environ if env is None else env)
-    if all(env.get(k) for k in ("DB_HOST", "DB_NAME", "DB_USER")):
-        url, user, password = f"jdbc:postgresql://{env['DB_HOST']}:{env.get('DB_PORT') or 5432}/{env['DB_NAME']}", env["DB_USER"], env.get("DB_PASSWORD", "")
-    elif env.get("DATABASE_URL"):
-        from urllib.parse import unquote, urlsplit
-
-        parts = urlsplit(env["DATABASE_URL"])
-        url, user, password = f"jdbc:postgresql://{parts.hostname}:{parts.port or 5432}{parts.path}", unquote(parts.username or ""), unquote(parts.password or "")
-    else:
-        raise ValueError("no database is named: set DB_HOST, DB_NAME, DB_USER or DATABASE_URL")
-    return spark.read.format("jdbc").options(url=url, dbtable=table, user=user, password=password, loginTimeout="5").load()
-
-
 def _mail(content: bytes | None) -> tuple[str | None, str | None, str | None]:
     message = email.message_from_bytes(content or b"", policy=email.policy.default)
     found = None
@@ -294,7 +280,11 @@ def mails(files: DataFrame) -> DataFrame:
     return files.select("path", parsed("content").alias("m")).select("path", "m.*")
 
 
-def read_mails(spark: SparkSession, path: str) -> DataFrame:
+def read_mails(spark: SparkSession, path: str, stdin=None) -> DataFrame:
+    """Mails of a file or folder, or of standard input (``-``)."""
+    if path == "-":
+        content = (stdin or sys.stdin.buffer).read()
+        return mails(spark.createDataFrame([("-", bytearray(content))], "path string, content binary"))
     return mails(spark.read.format("binaryFile").load(path))
 
 
