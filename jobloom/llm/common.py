@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 
 from jobloom.runtime import Stored, scratch, ship, shared_folder, stored, table
 
-__all__ = ["Stored", "batch_of", "give_back", "scratch", "ship", "shared_folder", "stored", "table", "text_blocks"]
+__all__ = ["Stored", "batch_of", "fresh", "give_back", "scratch", "ship", "shared_folder", "stored", "table", "text_blocks"]
 
 
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
@@ -23,6 +24,12 @@ def give_back() -> None:
         _trim(0)
 
 
+def fresh(*names: str) -> tuple[str, ...]:
+    """Column names that no table has, to be used beside the columns of a caller."""
+    mark = uuid.uuid4().hex
+    return tuple(f"{x}-{mark}" for x in names)
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches with about ``limit`` bytes of text each (one row at least), and their texts; null counts as empty."""
     for batch in batches:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import give_back, scratch, ship, stored, text_blocks
+from jobloom.llm.common import fresh, give_back, scratch, ship, stored, text_blocks
 
 WINDOW = 13
 GAP = 64  # positions between documents, so that no phrase or proximity match spans two
@@ -328,4 +328,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str =
     with scratch(docs.sparkSession) as keep:  # the index goes once the contaminated texts are known
         found = contamination(keyed, benchmark, id_column="__key", text_column="__text", **options)
         gone = keep(found.filter("contaminated").select("__key").distinct()).df
-    return docs.withColumn("__key", F.unhex(key)).join(gone, "__key", "left_anti").drop("__key")
+    (name,) = fresh("key")
+    return docs.withColumn(name, F.unhex(key)).join(gone.toDF(name), name, "left_anti").drop(name)

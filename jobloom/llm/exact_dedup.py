@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobloom.llm import co_bucket
 from jobloom.llm.common import scratch, ship, stored, text_blocks
 
 DELETED = b"\t\n\x0b\x0c\r "
@@ -194,6 +195,10 @@ def _suspects(hashed: DataFrame, maps: DataFrame, owners: int) -> DataFrame:
     return met.select("part", "ids", "n", "sha", "answers").mapInArrow(pick, f"id {kind}, row bigint, n bigint, sha binary, suspect boolean")
 
 
+#: Bits of the filter of suspects' ids, beyond ``BROADCAST_IDS`` of them: 16 MiB.
+SUSPECT_BITS = 1 << 27
+
+
 def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
 
@@ -217,6 +222,8 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
         # Byte verification: the suspects' texts, one per partition and distinct text.
         few = ids.count() <= BROADCAST_IDS
         texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+        if not few:  # what is no suspect stays where it is; the filter's size is fixed, so of very many suspects' ids it lets more others through
+            texts = texts.filter(F.col("id").isNull() | co_bucket.passes(docs.sparkSession, co_bucket.bloom(ids, "id", SUSPECT_BITS), "id"))
         chosen = texts.join(F.broadcast(ids) if few else ids, texts.id.eqNullSafe(ids.id), "left_semi")
 
         def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import stored
+from jobloom.llm.common import fresh, stored
 
 #: Boilerplate lines (16-byte hashes, by host) up to this number are broadcast, 64 bytes each at most; beyond it hosts are joined by shuffling, and adaptive execution splits large ones.
 BROADCAST_LINES = 200_000
@@ -47,7 +47,7 @@ def _buckets(found: DataFrame) -> DataFrame:
     keys = found.join(sizes, "host").groupBy("host", F.pmod(F.xxhash64("line_key"), "n").cast("int").alias("bucket")).agg(F.collect_list("line_key").alias("keys"))
     every = sizes.select("host", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("bucket"))
     filled = every.join(keys, ["host", "bucket"], "left").select("host", F.struct("bucket", F.coalesce("keys", F.array().cast("array<binary>")).alias("keys")).alias("b"))
-    return filled.groupBy(F.col("host").alias("__host")).agg(F.array_sort(F.collect_list("b"))["keys"].alias("__drops"))
+    return filled.groupBy("host").agg(F.array_sort(F.collect_list("b"))["keys"].alias("drops"))
 
 
 def drop_boilerplate(docs: DataFrame, ratio: float = 0.02, least_pages: int = 2, host_column: str = "source", text_column: str = "text") -> DataFrame:
@@ -60,16 +60,17 @@ def drop_boilerplate(docs: DataFrame, ratio: float = 0.02, least_pages: int = 2,
     """
     found = stored(boilerplate(docs, ratio, least_pages, host_column, text_column))
     few = found.count() <= BROADCAST_LINES
-    drops = stored(_buckets(found))
+    host_name, drops_name, kept_name = fresh("host", "drops", "kept")
+    drops = stored(_buckets(found)).toDF(host_name, drops_name)
     lines = F.split(text_column, "\n")
     keyed = F.transform(lines, lambda x: F.struct(x.alias("line"), _key(x).alias("key")))
-    bucket = lambda key: F.element_at("__drops", (F.pmod(F.xxhash64(key), F.size("__drops")) + 1).cast("int"))
+    bucket = lambda key: F.element_at(drops_name, (F.pmod(F.xxhash64(key), F.size(drops_name)) + 1).cast("int"))
     kept = F.filter(keyed, lambda x: ~F.coalesce(F.array_contains(bucket(x["key"]), x["key"]), F.lit(False)))["line"]
-    base = docs.drop("n_lines", "n_dropped").withColumn("__host", F.coalesce(F.col(host_column).cast("string"), F.lit("")))
-    out = base.join(F.broadcast(drops) if few else drops, "__host", "left").withColumn("__kept", F.when(F.col("__drops").isNotNull(), kept))
+    base = docs.drop("n_lines", "n_dropped").withColumn(host_name, F.coalesce(F.col(host_column).cast("string"), F.lit("")))
+    out = base.join(F.broadcast(drops) if few else drops, host_name, "left").withColumn(kept_name, F.when(F.col(drops_name).isNotNull(), kept))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    text = F.when(F.col("__drops").isNull(), F.col(text_column)).otherwise(F.array_join("__kept", "\n")).alias(text_column)
+    text = F.when(F.col(drops_name).isNull(), F.col(text_column)).otherwise(F.array_join(kept_name, "\n")).alias(text_column)
     none = F.lit(0).cast("bigint")
     n = F.when(F.col(text_column).isNull(), none).otherwise(F.size(lines).cast("bigint"))
-    gone = F.when(F.col(text_column).isNull() | F.col("__drops").isNull(), none).otherwise((F.size(lines) - F.size("__kept")).cast("bigint"))
+    gone = F.when(F.col(text_column).isNull() | F.col(drops_name).isNull(), none).otherwise((F.size(lines) - F.size(kept_name)).cast("bigint"))
     return out.select(*[text if c == text_column else F.col(f"`{c}`") for c in names], n.alias("n_lines"), gone.alias("n_dropped"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import scratch, ship, stored, text_blocks
+from jobloom.llm.common import fresh, scratch, ship, stored, text_blocks
 from jobloom.llm.simhash import connected, fingerprint, links
 
 VALUES, BAND = 80, 4  # of a pair at 0.8, 3 in 100,000 share none of 20 bands
@@ -246,10 +246,12 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, width:
         best = stored(rows.groupBy("root").agg(F.min(order).alias("best")))
         judged = rows.join(best, "root").select("__id", "__key", "n", (order == F.col("best")).alias("first"))
         gone, repeated = keep(judged.filter("NOT first")).df, keep(judged.filter("first AND n > 1")).df
-    keyed = docs.withColumn("__key", text_key(text_column)).withColumn("__id", F.col(id_column))
-    meets = lambda a, b: a["__id"].eqNullSafe(b["__id"]) & (a["__key"] == b["__key"])
+    id_name, key_name = fresh("id", "key")
+    gone, repeated = (x.select(F.col("__id").alias(id_name), F.col("__key").alias(key_name)) for x in (gone, repeated))
+    keyed = docs.withColumn(key_name, text_key(text_column)).withColumn(id_name, F.col(id_column))
+    meets = lambda a, b: a[id_name].eqNullSafe(b[id_name]) & (a[key_name] == b[key_name])
     keyed = keyed.join(_checked(gone), meets(keyed, gone), "left_anti")
     if repeated.limit(1).count():
-        copies = keyed.join(repeated, meets(keyed, repeated), "left_semi").dropDuplicates(["__id", "__key"])
+        copies = keyed.join(repeated, meets(keyed, repeated), "left_semi").dropDuplicates([id_name, key_name])
         keyed = keyed.join(repeated, meets(keyed, repeated), "left_anti").unionByName(copies)
-    return keyed.drop("__id", "__key")
+    return keyed.drop(id_name, key_name)

@@ -212,3 +212,35 @@ def test_op13_counts_null_ids_and_repeated_rows(spark):
     links = next(plain_alignment(["ab cd"]))[3]
     assert got == Counter({(1, links, 3 * links): 2, (None, links, 3 * links): 1, (None, 0, 0): 1})
     assert queries.op13_cross_tokens(spark, SF).columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def test_stages_beside_columns_of_any_name(spark, monkeypatch):
+    """Columns that are named like those the library makes change nothing and pass through; with and without shuffled joins."""
+    import corpus_pipeline
+    from jobloom.llm import decontaminate, exact_dedup, line_dedup, near_copies
+
+    sources = "".join(open(m.__file__, encoding="utf-8").read() for m in (decontaminate, exact_dedup, line_dedup, near_copies, co_bucket, cross_tokens, lang_crf))
+    names = sorted({*re.findall(r'"(__\w+)"', sources), *re.findall(r'alias\("(\w+)"\)', sources)} - {"text", "doc_id", "source", "n_lines", "n_dropped"})
+    assert {"__id", "__key", "host"} <= {*names}
+    rows = [(1, "same words here and there now", "a"), (2, "same words here and there now", "a"), (3, None, "a"), (4, "", None), (5, "menu\nown text of five words or more", "b"), (6, "menu\nanother text that stands for itself alone", "b"), (5, "menu\nown text of five words or more", "b"), (None, "no id for this text of some words", "c")]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    clash = plain.withColumns({n: F.lit("clash") for n in names})
+    bench = spark.createDataFrame([(1, "no id for this text of some words")], "item_id bigint, text string")
+    steps = [
+        lambda d: line_dedup.drop_boilerplate(d, 0.5).drop("n_lines", "n_dropped"),
+        near_copies.keep_one,
+        lambda d: decontaminate.drop_contaminated(d, bench),
+        lambda d: exact_dedup.exact_duplicates(d),
+    ]
+    for limit in (None, 0):
+        if limit is not None:
+            monkeypatch.setattr(line_dedup, "BROADCAST_LINES", limit)
+            monkeypatch.setattr(exact_dedup, "BROADCAST_IDS", limit)
+            monkeypatch.setattr(exact_dedup, "SUSPECT_BITS", 1 << 12)
+        for i, step in enumerate(steps):
+            want, got = step(plain), step(clash)
+            if i < 3:
+                assert got.columns == clash.columns and {tuple(r[n] for n in names) for r in got.collect()} == {("clash",) * len(names)}
+            assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    stage = corpus_pipeline.line_stage(spark, clash.withColumn("n_chars", F.lit(0).cast("bigint")), SF)
+    assert stage.columns == [*clash.columns, "n_chars"]
