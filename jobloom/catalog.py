@@ -109,6 +109,32 @@ def fill_blank_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.join(outcomes.withColumnRenamed("seq", "doc_id"), "doc_id")
 
 
+LINKED_UPSERT_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, concat_ws('|', source, CAST(n_chars // 400 AS VARCHAR)) AS u, 'h' || (n_chars * 7 % 211) AS h, n_chars % 3 > 0 AS filled FROM documents),
+old AS (SELECT u, arg_min(h, doc_id) AS h, arg_min(filled, doc_id) AS filled FROM d WHERE doc_id % 17 = 0 GROUP BY u),
+ordered AS (SELECT row_number() OVER (ORDER BY doc_id) AS n, * FROM d WHERE doc_id % 17 > 0),
+steps AS (
+  SELECT 0::BIGINT AS n, 0::BIGINT AS doc_id, '' AS outcome, (SELECT list(u ORDER BY u) FROM old) AS us, (SELECT list(h ORDER BY u) FROM old) AS hs, (SELECT list(filled ORDER BY u) FROM old) AS fs
+  UNION ALL
+  SELECT n, doc_id, outcome, CASE WHEN outcome = 'inserted' THEN list_append(us, u) ELSE us END,
+         CASE outcome WHEN 'inserted' THEN list_append(hs, h) WHEN 'updated' THEN list_transform(hs, lambda x, i: CASE WHEN i = pos THEN h ELSE x END) ELSE hs END,
+         CASE outcome WHEN 'inserted' THEN list_append(fs, filled) WHEN 'updated' THEN list_transform(fs, lambda x, i: CASE WHEN i = pos THEN filled ELSE x END) ELSE fs END
+  FROM (SELECT o.*, us, hs, fs, coalesce(list_position(us, o.u), 0) AS pos, CASE WHEN coalesce(list_position(us, o.u), 0) > 0 THEN CASE WHEN fs[list_position(us, o.u)] THEN 'duplicate' ELSE 'updated' END WHEN list_contains(hs, o.h) THEN 'duplicate' ELSE 'inserted' END AS outcome
+        FROM steps s JOIN ordered o ON o.n = s.n + 1)
+)
+SELECT doc_id, outcome FROM steps WHERE n > 0
+"""
+
+
+@_query(LINKED_UPSERT_SQL)
+def linked_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditional upsert of rows that share links and hashes, a third of them blank, resolved in rounds (documents: source and length class are links, lengths make hashes; every 17th is stored)."""
+    nothing = [F.lit(None).cast("timestamp_ntz").alias(c) for c in ("last_updated", "scraped_at")]
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.concat_ws("|", "source", F.floor(F.col("n_chars") / 400).cast("string")).alias("url"), F.when(F.col("n_chars") % 3 > 0, "text").otherwise(" ").alias("job_description"), F.concat(F.lit("h"), (F.col("n_chars") * 7 % 211).cast("string")).alias("content_hash"), *nothing)
+    store = dedup.first_wins(rows.filter("seq % 17 = 0"), ["url"], ["seq"]).drop("seq")
+    return dedup.upsert(store, rows.filter("seq % 17 > 0"), few=0)[1].withColumnRenamed("seq", "doc_id")
+
+
 TWO_KEY_SQL = """
 WITH RECURSIVE ordered AS (SELECT row_number() OVER (ORDER BY doc_id) AS n, doc_id, concat_ws('|', source, lang, CAST(n_chars // 200 AS VARCHAR)) AS u, sha256(text) AS h FROM documents),
 steps AS (
