@@ -450,9 +450,16 @@ def enrich_or_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.enriched(own, details, True).select("s_suppkey", "job_title", "salary_range")
 
 
-@_query()
+@_query(f"""
+WITH a AS (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS m FROM pages),
+t AS (SELECT page_id, list_transform(m, lambda x: trim(regexp_replace(regexp_extract(x, '>([^<]*)<', 1), '\\s+', ' ', 'g'))) AS titles, list_transform(m, lambda x: regexp_extract(x, 'href="([^"]*)"', 1)) AS hrefs FROM a),
+b AS (SELECT page_id, unnest(range(1, len(titles) + 1)) AS i, titles, hrefs FROM t),
+c AS (SELECT page_id, CAST(i - 1 AS INT) AS pos, titles[i] AS title, CASE WHEN starts_with(hrefs[i], '/') THEN '{HOST}/jobs' ELSE '' END || hrefs[i] AS url, nullif(array_to_string(list_filter(titles[i + 1 : i + 3], lambda x: x <> ''), ' '), '') AS summary FROM b),
+d AS (SELECT * FROM c WHERE title <> '' AND NOT regexp_matches(lower(title || ' ' || url), '{_IGNORED}') AND (regexp_matches(lower(url), '{_HOSTS}') OR regexp_matches(lower(title || ' ' || url), '{_WORDS}')))
+SELECT page_id, pos, NULL::INT AS rank, title, url, NULL::VARCHAR AS location, NULL::VARCHAR AS company, NULL::VARCHAR AS salary, summary FROM (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY pos) AS n FROM d) WHERE n = 1
+""".replace("\\\\", "\\"))
 def newsletter_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job links of whole pages with card lines and summaries (pages)."""
+    """Job links of whole pages with card lines and summaries (pages, all of whose links stand in one list; other shapes are in the tests)."""
     return links.job_entries(table(spark, sf_dir, "pages"), "page_id", "html", HOST + "/jobs")
 
 
