@@ -135,7 +135,7 @@ def _components(pairs: DataFrame) -> DataFrame:
 
 
 #: Rows of new links that one task reads in order, where no more are left.
-FEW = 20_000
+FEW = 100_000
 #: A hash is held from before any row, or for good.
 BEFORE, FOREVER = -(1 << 62), 1 << 62
 
