@@ -486,7 +486,7 @@ def _answers(spark: SparkSession, sf_dir: str, folder: str) -> None:
     item = F.struct(F.col("s_suppkey").alias("id"), "title")
     lists = rows.groupBy("board").agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("jobs"))).alias("body")).select(F.concat(F.lit("boards/"), "board", F.lit("/jobs.json")).alias("path"), "body")
     content = F.when(F.col("s_suppkey") % 3 > 0, F.concat(F.lit("&lt;p&gt;"), "s_name", F.lit(" works&lt;/p&gt;")))
-    details = rows.select(F.concat(F.lit("boards/"), "board", F.lit("/jobs/"), F.col("s_suppkey").cast("string"), F.lit(".json")).alias("path"), F.to_json(F.struct(F.col("s_suppkey").alias("id"), content.alias("content"))).alias("body"))
+    details = rows.select(F.concat(F.lit("boards/"), "board", F.lit("/jobs/"), F.col("s_suppkey").cast("string"), F.lit(".json")).alias("path"), F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"), content.alias("content"))).alias("body"))
 
     def run(batches):
         store, top = boards.store_of(folder)
@@ -501,6 +501,13 @@ def _answers(spark: SparkSession, sf_dir: str, folder: str) -> None:
     lists.union(details).mapInArrow(run, "path string, body string").write.format("noop").mode("overwrite").save()
 
 
+def _answered(spark: SparkSession, sf_dir: str, folder: str) -> boards.PostingSource:
+    """The source that gives these answers."""
+    _answers(spark, sf_dir, folder)
+    base = folder if "://" in folder else f"file://{folder}" if folder.startswith("/") else folder.replace("file:", "file://", 1)
+    return boards.create(spark, {"type": "api", "name": "greenhouse", "rate_limit_per_minute": 0, "config": {"base_url": base, "suffix": ".json", "details": "true"}})
+
+
 @_query("""
 WITH b AS (SELECT s_suppkey, s_nationkey, CASE WHEN s_suppkey % 7 = 0 THEN 'T' ELSE s_name END AS title, CASE WHEN s_suppkey % 3 > 0 THEN s_name || ' works' END AS d FROM supplier),
 r AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey, title ORDER BY s_suppkey) = 1 AS saved FROM b),
@@ -510,9 +517,7 @@ SELECT 'https://r/n' || s_nationkey || '/jobs/' || s_suppkey AS url, n_name AS c
 def crawl_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run of a source: lists and details asked for once, saved in the order of the lists, with the run's statistics (nations are boards, suppliers their postings)."""
     top = f"{shared_folder(spark)}/boards-{uuid.uuid4().hex}"
-    _answers(spark, sf_dir, top)
-    base = top if "://" in top else f"file://{top}" if top.startswith("/") else top.replace("file:", "file://", 1)
-    source = boards.create(spark, {"type": "api", "name": "greenhouse", "rate_limit_per_minute": 0, "config": {"base_url": base, "suffix": ".json", "details": "true"}})
+    source = _answered(spark, sf_dir, top)
     nothing = F.lit(None).cast("timestamp_ntz")
     sources = table(spark, sf_dir, "region").filter("r_regionkey = 0").select(F.lit("1").alias("id"), F.lit("greenhouse").alias("name"), nothing.alias("last_run_at"))
     known = table(spark, sf_dir, "supplier").select("s_nationkey").distinct()
@@ -554,6 +559,100 @@ def queue_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posted.dispositions().groupBy("place").agg(number.alias("event_id"), F.array_join(told, ",").alias("dispositions"), F.max_by("outcome", "attempt").alias("outcome")).drop("place")
 
 
+@_query("""
+WITH m AS (SELECT s_suppkey AS k, s_name, s_nationkey AS n, s_suppkey % 4 < 3 AND s_suppkey % 5 > 0 AS found FROM supplier)
+SELECT CASE WHEN k % 4 = 3 THEN 'https://h/' || k WHEN found THEN 'https://boards.greenhouse.io/N' || n || '/jobs/' || k ELSE 'https://boards.greenhouse.io/n' || n || '/jobs/0' || (k + 100000000) END AS url,
+       CASE WHEN found THEN s_name ELSE 'm ' || s_name END AS job_title, CASE WHEN found THEN 'N' || n END AS company, CASE WHEN NOT found THEN 'own' WHEN k % 3 > 0 THEN s_name || ' works' END AS job_description,
+       (SELECT 2 * count(*) FROM m) AS acknowledged FROM m
+""")
+def looked_up_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose links are looked up at their boards, each posting once, before they are saved; what the boards don't know stays as it was sent (supplier: two messages for each, in which the board's name has either case)."""
+    top, k = f"{shared_folder(spark)}/lookups-{uuid.uuid4().hex}", F.col("s_suppkey")
+    source = _answered(spark, sf_dir, f"{top}/answers")
+    number = F.when(k % 5 == 0, k + 100_000_000).otherwise(k).cast("string")
+    rows = table(spark, sf_dir, "supplier").withColumn("again", F.explode(F.array(F.lit(0), F.lit(1))))
+    board = F.concat(F.when(F.col("again") == 0, "n").otherwise("N"), F.col("s_nationkey").cast("string"))
+    link = F.when(k % 4 == 3, F.concat(F.lit("https://h/"), k.cast("string"))).otherwise(F.concat(F.lit("https://boards.greenhouse.io/"), board, F.lit("/jobs/0"), number))
+    payload = F.struct(link.alias("url"), F.concat(F.lit("m "), "s_name").alias("title"), F.lit("own").alias("summary"))
+    sent = rows.select((k * 2 + F.col("again")).alias("place"), F.to_json(F.struct(payload.alias("payload"))).alias("body"))
+    posted, now = PostingStore(spark, f"{top}/store", buckets=16), F.lit("2024-01-02").cast("timestamp_ntz")
+    details = flows.detail_lookup(source, "https://boards.greenhouse.io", "greenhouse", now, f"{top}/log")
+    messages.save_messages(posted, sent, 0, now, details=details)
+    taken = posted.dispositions().agg(F.count_if(F.col("disposition") == messages.ACK).alias("acknowledged"))
+    return posted.read().select("url", "job_title", "company", "job_description").crossJoin(F.broadcast(taken))
+
+
+@_query("""
+WITH s AS (SELECT doc_id, sha256(coalesce(text, '')) AS h, CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 END AS save FROM documents),
+kept AS (SELECT doc_id, h, row_number() OVER (PARTITION BY h ORDER BY save, doc_id) = 1 AS first FROM s WHERE save IS NOT NULL)
+SELECT doc_id, doc_id IN (SELECT doc_id FROM kept WHERE first) AS by_url, h IN (SELECT h FROM kept) AS by_hash FROM s
+""")
+def stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which links and hashes a store has, by the access paths of its files (documents: those in English are saved, then those in German; all are asked for)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.concat(F.lit("https://host/"), F.col("doc_id").cast("string")).alias("url"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("content_hash"))
+    posted = PostingStore(spark, f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}", buckets=16)
+    for lang in ("en", "de"):
+        posted.save(docs.filter(F.col("lang") == lang).select(*postings.posted(url=F.col("url"), job_description=F.lit("text"), content_hash=F.col("content_hash")), F.col("doc_id").alias("seq")))
+    asked = docs.select("doc_id", "url", "content_hash")
+    for key, name in (("url", "by_url"), ("content_hash", "by_hash")):
+        held = posted.existing(docs.select("doc_id", key), key).select("doc_id", F.lit(True).alias(name))
+        asked = asked.join(held, "doc_id", "left").fillna(False, [name])
+    return asked.select("doc_id", "by_url", "by_hash")
+
+
+def _mailed(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Writes pages as mails, a file for each: the page alone, after plain text, after an attached page, or plain text alone."""
+
+    def run(batches):
+        from email.message import EmailMessage
+
+        store, top = boards.store_of(folder)
+        store.create_dir(top)
+        for batch in batches:
+            for page, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                mail, part = EmailMessage(), EmailMessage()
+                if page % 4 == 0:
+                    mail.set_content(html or "", subtype="html")
+                elif page % 4 == 1:
+                    mail.set_content("Jobs: https://site.example/jobs/0")
+                    mail.add_alternative(html or "", subtype="html")
+                elif page % 4 == 2:
+                    mail.make_mixed()
+                    mail.add_attachment("<a href='https://site.example/jobs/1'>Job</a>", subtype="html", filename="jobs.html")
+                    part.set_content(html or "", subtype="html", charset="utf-8")
+                    mail.attach(part)
+                else:
+                    mail.set_content("<a href='https://site.example/jobs/2'>Job</a>")
+                mail["Subject"], mail["From"] = f"Offene Stellen für № {page}", "Jobs <jobs@site.example>"
+                with store.open_output_stream(f"{top}/{page}.eml") as out:
+                    out.write(mail.as_bytes())
+            yield batch
+
+    ship(spark)
+    table(spark, sf_dir, "pages").select("page_id", "html").mapInArrow(run, "page_id bigint, html string").write.format("noop").mode("overwrite").save()
+
+
+@_query(f"""
+SELECT page_id, 'job.scrape.request' AS event_type, title, url, summary, 'Offene Stellen für № ' || page_id AS email_subject, 'Jobs <jobs@site.example>' AS email_sender, 'email_raw_manual' AS source
+FROM ({_SQL["newsletter_entries"]}) WHERE page_id % 4 < 3
+""")
+def mail_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails read from files, their job links published as messages and taken from the queue again (pages are mails of four shapes, one of which has no page)."""
+    top = f"{shared_folder(spark)}/mails-{uuid.uuid4().hex}"
+    _mailed(spark, sf_dir, f"{top}/in")
+    sent = flows.newsletter(boards.read_mails(spark, f"{top}/in"), F.lit("2024-01-02"), HOST + "/jobs")
+    queue.publish(sent, f"{top}/queue", key="mails")
+    stream = queue.incoming(spark, f"{top}/queue", prefetch=50_000).writeStream.format("parquet").option("checkpointLocation", f"{top}/checkpoint").start(f"{top}/out")
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    told = spark.read.schema("place bigint, body binary").parquet(f"{top}/out").select(F.parse_json(F.decode("body", "UTF-8")).alias("v"))
+    names = ("title", "url", "summary", "email_subject", "email_sender", "source")
+    rows = told.select(postings.field(F.col("v"), "$.event_type").alias("event_type"), *[postings.field(F.col("v"), f"$.payload.{c}").alias(c) for c in names])
+    return rows.select(F.regexp_extract("email_subject", "[0-9]+$", 0).cast("bigint").alias("page_id"), "*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
