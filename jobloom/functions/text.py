@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import html
 import re
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: An entity that ends as it should; HTML also knows some that don't.
+ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[0-9A-Za-z]+);")
 WHITE_EDGES = r"(?U)^\s+|\s+$"
 
 
@@ -25,12 +28,16 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | c.rlike(r"(?U)^\s*$")
 
 
-def html_unescape(c: Column) -> Column:
-    """One pass of entity decoding.  Spark has no such function: an Arrow UDF, skipped where there is no ampersand."""
+def _ended(m: re.Match) -> str:
+    return html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0]
+
+
+def html_unescape(c: Column, unended: bool = True) -> Column:
+    """One pass of entity decoding; ``unended``: also of those that HTML knows without a semicolon, as in ``&amp<``.  Spark has no such function: an Arrow UDF, skipped where there is no ampersand."""
 
     @F.udf("string", useArrow=True)
     def decode(s):
-        return html.unescape(s) if s is not None else None
+        return None if s is None else html.unescape(s) if unended else ENTITY.sub(_ended, s)
 
     return F.when(F.contains(c, F.lit("&")), decode(c)).otherwise(c)
 
@@ -51,9 +58,9 @@ def clean_html(c: Column) -> Column:
     return strip(c)
 
 
-def html_to_text(c: Column) -> Column:
+def html_to_text(c: Column, unended: bool = True) -> Column:
     """Entities first: content arrives escaped twice, so tags show only after decoding."""
-    return clean_html(html_unescape(c))
+    return clean_html(html_unescape(c, unended))
 
 
 def title_case(c: Column) -> Column:

@@ -32,6 +32,15 @@ def test_html(spark):
     assert got == ["", "Hi &amp; you\n\nend", "a\nb\ncdef", "a\n\n b c", ""]
 
 
+def test_pages_cut_within_an_entity(spark, tmp_path):
+    """The query leaves what has no semicolon, as its SQL does; the content of postings is decoded as HTML has it."""
+    cases = ["<h1>a &amp; b&amp</h1>&copy;&middot;&quot;&copy", "&ampx; &nosuch; &#65; &#65 &amp;quot;", "&amp", None]
+    spark.createDataFrame(list(enumerate(cases)), "page_id bigint, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = [r.text for r in catalog.queries()["html_to_text"](spark, str(tmp_path)).orderBy("page_id").collect()]
+    assert got == ['a & b&amp\n\n©·"&copy', "&ampx; &nosuch; A &#65 &quot;", "&amp", ""]
+    assert values(spark, text.html_to_text, cases[0], cases[2]) == ['a & b&\n\n©·"©', "&"]
+
+
 def test_dates_and_titles(spark):
     dates = values(spark, text.iso_date, "2024-01-31T23:30:00-05:00", "2024-01-31", "junk", "2024-13-01", None, "2024-01-05junk")
     assert [str(d) if d else None for d in dates] == ["2024-01-31", "2024-01-31", None, None, None, None]
