@@ -19,6 +19,8 @@ JOB_HOSTS = (
     "bitwarden.com/careers", "coinbase.com/careers", "toasttab.com/jobs", "samsara.com/company/careers", "motional.com/open-positions",
 )
 IGNORED_TEXT = ("unsubscribe", "linkedin post", "like or repost", "recommend them to subscribe")
+#: Links that are canonical as they stand, and need no parser.
+PLAIN_LINK = r"^https?://[a-z0-9][a-z0-9.-]*/[A-Za-z0-9._~/-]*(?:\?[A-Za-z0-9._~=&/-]+)?\z"
 TRACKING_PREFIXES = ("utm_", "trk", "trkinfo", "ref", "source", "mc_", "vero_")
 POSTING_WORDS = ("job", "jobs", "career", "careers", "apply", "position", "opening")
 
@@ -108,6 +110,7 @@ def _canonical(url: str | None) -> str | None:
 
 
 def canonical_http_url(url: Column) -> Column:
-    """Trimmed, scheme and host in lower case, a slash for an empty path, no default port, ASCII; null for what is no http(s) URL."""
-    return F.udf(_canonical, "string", useArrow=True)(url)
+    """Trimmed, scheme and host in lower case, a slash for an empty path, no default port, ASCII; null for what is no http(s) URL.  Plain links go past the parser."""
+    plain = url.rlike(PLAIN_LINK)
+    return F.when(plain, url).otherwise(F.udf(_canonical, "string", useArrow=True)(F.when(~plain, url)))
 

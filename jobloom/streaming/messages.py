@@ -45,8 +45,8 @@ def _whole_number(at: Column) -> Column:
     return at.isNull() | F.is_variant_null(at) | numeric | worded | (kind(at) == "BOOLEAN")
 
 
-def validated(messages: DataFrame, body: str = "body") -> DataFrame:
-    """With v (VARIANT or null) and reason: null for a valid message, else what is wrong first.  ``body`` is text or bytes."""
+def validated(messages: DataFrame, body: str = "body", link: str | None = None) -> DataFrame:
+    """With v (VARIANT or null) and reason: null for a valid message, else what is wrong first.  ``body`` is text or bytes; ``link`` names a column for the canonical url."""
     raw = F.col(body)
     if dict(messages.dtypes)[body] == "binary":
         raw = F.when(F.is_valid_utf8(F.col(body).cast("string")), F.col(body).cast("string"))
@@ -70,7 +70,8 @@ def validated(messages: DataFrame, body: str = "body") -> DataFrame:
     )
     ship(messages.sparkSession)
     parsed = messages.withColumn("__raw", raw).withColumn("v", F.try_parse_json("__raw"))
-    return parsed.withColumn("__url", canonical_http_url(field(v, "$.payload.url"))).withColumn("reason", reason).drop("__raw", "__url")
+    parsed = parsed.withColumn("__sent", field(v, "$.payload.url")).withColumn("__url", canonical_http_url(F.col("__sent"))).withColumn("reason", reason).drop("__raw", "__sent")
+    return parsed.withColumnRenamed("__url", link) if link else parsed.drop("__url")
 
 
 def dispositions(checked: DataFrame, outcomes: DataFrame | None = None, seq: str = "seq") -> DataFrame:
@@ -86,9 +87,12 @@ def start(messages: DataFrame, save: Callable[[DataFrame, int], None], reject: C
     """Runs a stream of messages: ``save`` gets the valid ones of a batch, ``reject`` the others.  ``once``: all there is now, then stop."""
 
     def each(batch: DataFrame, number: int) -> None:
-        checked = validated(batch)
-        save(checked.filter("reason IS NULL"), number)
-        reject(checked.filter("reason IS NOT NULL"), number)
+        checked = validated(batch).persist()  # read and validated once
+        try:
+            save(checked.filter("reason IS NULL"), number)
+            reject(checked.filter("reason IS NOT NULL"), number)
+        finally:
+            checked.unpersist()
 
     writer = messages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()

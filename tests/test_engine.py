@@ -388,6 +388,29 @@ def test_stream_equals_batch(spark):
     assert key(a) == key(b)
 
 
+def test_a_batch_is_read_and_validated_once(spark, tmp_path):
+    spark.range(30).select(F.format_string('{"payload": {"url": "https://h/%d"}}', "id").alias("value")).union(spark.range(6).select(F.lit("{"))).repartition(2).write.text(str(tmp_path / "in"))
+    read, seen = spark.sparkContext.accumulator(0), []
+
+    def counted(s):
+        read.add(1)
+        return s
+
+    incoming = spark.readStream.text(str(tmp_path / "in")).select(F.udf(counted, "string")("value").alias("body"))
+    messages.start(incoming, lambda b, _: seen.append(b.count()), lambda b, _: seen.append(b.count()), str(tmp_path / "c")).awaitTermination()
+    assert seen == [30, 6] and read.value == 36
+
+
+def test_plain_links_are_what_the_parser_makes_of_them(spark):
+    from jobloom.functions.urls import PLAIN_LINK, _canonical
+
+    links = ["https://h/1", "http://a.b-c.d/x_y/~z/./..//", "https://h/?a=1&b=/2", "http://1.2.3.4/", "https://h..x-/p", "https://h/\n", "https://h", "https://H/", "https://h:80/", "https://h/?", "https://u@h/", "https://h/a%20b", "https://h/ü", "https://h/#f", "https://h/x?y?z"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(links)], "i int, c string")
+    plain = [r.c for r in df.filter(F.col("c").rlike(PLAIN_LINK)).orderBy("i").collect()]
+    assert plain == links[:5] and [_canonical(x) for x in plain] == plain
+    assert values(spark, urls.canonical_http_url, *links, None) == [_canonical(x) for x in links] + [None]
+
+
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
