@@ -98,12 +98,12 @@ def with_default(payload: Column, name: str, default: str) -> Column:
     return F.when(v.isNull(), F.lit(default)).otherwise(field(payload, f"$.{name}"))
 
 
-def from_payload(messages: DataFrame, now: Column, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Postings of valid queue payloads (a VARIANT column), and the columns to keep; rank and the e-mail's fields are not kept."""
+def from_payload(messages: DataFrame, now: Column, payload: str = "payload", keep: tuple[str, ...] = (), link: str | None = None) -> DataFrame:
+    """Postings of valid queue payloads (a VARIANT column), and the columns to keep; rank and the e-mail's fields are not kept.  ``link`` names a column of canonical urls, if there is one."""
     v = F.col(payload)
     title, company, location = field(v, "$.title"), field(v, "$.company"), field(v, "$.location")
     columns = posted(
-        url=urls.canonical_http_url(field(v, "$.url")), job_title=title, company=company, location=location, job_description=field(v, "$.summary"), salary_range=field(v, "$.salary"),
+        url=F.col(link) if link else urls.canonical_http_url(field(v, "$.url")), job_title=title, company=company, location=location, job_description=field(v, "$.summary"), salary_range=field(v, "$.salary"),
         sponsorship_required=F.lit(False), citizenship_required=F.lit(False), remote_allowed=F.lit(False), hybrid_allowed=F.lit(False), source_website=with_default(v, "source", "email_raw_manual"),
         status=F.lit("active"), scraped_at=now, created_at=now, content_hash=text.content_hash(title, company, location, F.lit(None).cast("date")),
     )

@@ -156,7 +156,8 @@ def _until_next(rows: DataFrame, span: int) -> DataFrame:
 def _struck(rows: DataFrame, holds: DataFrame, span: int) -> DataFrame:
     """Rows (s, u, h, filled, open) with those closed whose hash is held at their time, by a running maximum of the ends."""
     ours = rows.select("h").distinct()
-    events = rows.select("h", "s", F.lit(None).cast("bigint").alias("end"), "u").union(holds.join(ours, "h", "left_semi").select("h", F.col("start").alias("s"), "end", F.lit(None).cast("string").alias("u")))
+    near = rows.join(holds.select("h").distinct(), "h", "left_semi")  # no other row's hash is held at any time
+    events = near.select("h", "s", F.lit(None).cast("bigint").alias("end"), "u").union(holds.join(ours, "h", "left_semi").select("h", F.col("start").alias("s"), "end", F.lit(None).cast("string").alias("u")))
     events, over = _spread(events, span, "h")
     within = events.withColumn("m", F.max("end").over(Window.partitionBy("h", "b").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)))
     before = within.groupBy("h", "b").agg(F.max("end").alias("top")).withColumn("earlier", F.max("top").over(over.rowsBetween(Window.unboundedPreceding, -1))).select("h", "b", "earlier")
@@ -237,18 +238,18 @@ def resolved(store: DataFrame, batch: DataFrame, rounds: int = 12, few: int = FE
     return out
 
 
-def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq", rounds: int = 12, few: int = FEW) -> tuple[DataFrame, DataFrame]:
+def upsert(store: DataFrame, batch: DataFrame, seq: str = "seq", rounds: int = 12, few: int = FEW, written: bool = False) -> tuple[DataFrame, DataFrame]:
     """(store afterwards, outcomes (seq, outcome)) of saving ``batch`` in order; urls of the store and seq are unique, urls and hashes not null.
 
     A row whose url is stored with a blank description updates it; else a row whose
     url or hash is stored is a duplicate; else it is inserted.  Rows see what earlier
     ones have done; ``resolved`` works that out from keys, and the rows themselves
-    meet in joins afterwards.
+    meet in joins afterwards.  ``written``: both are read from files as they are.
     """
     ship(batch.sparkSession)
     columns = [c for c in batch.columns if c != seq]
-    old = stored(store.select(*columns))
-    came = stored(batch)
+    old = store.select(*columns) if written else stored(store.select(*columns))
+    came = batch if written else stored(batch)
     keys = [F.col("url").alias("u"), F.col("content_hash").alias("h"), (~is_blank(F.col("job_description"))).alias("filled")]
     with scratch(batch.sparkSession) as keep:
         won = resolved(old.select(*keys), came.select(F.col(seq).cast("bigint").alias("s"), *keys), rounds, few)

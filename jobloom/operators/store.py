@@ -193,7 +193,7 @@ class PostingStore:
         batch = stored(batch.select(*self.schema.names, seq))
         old = self.read(self.candidates(batch))
         near = stored(old.join(batch.select("url").distinct(), "url", "left_semi").select(*self.schema.names).union(old.join(batch.select("content_hash").distinct(), "content_hash", "left_semi").select(*self.schema.names)).dropDuplicates(["url"]))
-        after, outcomes = dedup.upsert(near, batch, seq)
+        after, outcomes = dedup.upsert(near, batch, seq, written=True)
         urls = stored(outcomes.filter("outcome <> 'duplicate'").join(batch.select(seq, "url"), seq).select("url").distinct())
         changed = stored(after.join(urls, "url", "left_semi").select(*self.schema.names))
         buckets = [r[0] for r in changed.select(self.bucket(F.col("url"))).distinct().collect()]

@@ -19,6 +19,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -207,9 +208,14 @@ class _Reader(DataSourceStreamReader):
         return parts
 
     def read(self, partition):
-        log, at = Log(self.folder), 0
+        """The groups of rows that hold the part, no others."""
+        log = Log(self.folder)
         with pq.ParquetFile(log.store.open_input_file(f"{log.path}/{partition.segment}")) as file:
-            for batch in file.iter_batches(ROWS):
+            sizes = [file.metadata.row_group(i).num_rows for i in range(file.num_row_groups)]
+            begins = [0, *accumulate(sizes)]
+            groups = [i for i, n in enumerate(sizes) if begins[i] < partition.skip + partition.rows and partition.skip < begins[i] + n]
+            at = begins[groups[0]] if groups else 0
+            for batch in file.iter_batches(ROWS, row_groups=groups):
                 a, b = max(0, partition.skip - at), min(batch.num_rows, partition.skip + partition.rows - at)
                 if a < b:
                     first = partition.first + at + a - partition.skip

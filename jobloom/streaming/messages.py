@@ -115,11 +115,10 @@ def save_messages(store: PostingStore, batch: DataFrame, number: int, now: Colum
         rows = batch.select("place", F.col("body").cast("binary").alias("body"), F.lit(1).alias("attempt"))
         if store.now["pending"]:
             rows = rows.union(spark.read.parquet(f"{store.folder}/{store.now['pending']}").select("place", "body", F.col("attempt") + 1))
-        checked = stored(validated(rows).select("place", "body", "attempt", F.to_json("v").alias("text"), "reason"))
-        payloads = checked.filter("reason IS NULL").select("place", "attempt", field(F.parse_json("text"), "$.payload", "variant").alias("payload"))
-        taken = postings.from_payload(payloads, now, keep=("place", "attempt"))
+        parsed = validated(rows, link="link").withColumn("payload", field(F.col("v"), "$.payload", "variant"))
+        checked = stored(postings.from_payload(parsed, now, keep=("place", "body", "attempt", "reason"), link="link"))  # each message is parsed once
+        taken = checked.filter("reason IS NULL").drop("body", "reason")
         if details is not None:
-            taken = stored(taken)
             taken = postings.enriched(taken, details(taken.select("url")), True)
         if refused is not None:
             taken = taken.filter(~F.coalesce(refused, F.lit(False)))

@@ -89,6 +89,25 @@ def test_a_key_is_published_once(spark, tmp_path):
     assert not os.path.exists(f"{folder}/{segments[1].name}")
 
 
+def test_a_part_opens_its_groups_of_rows_alone(spark, tmp_path, monkeypatch):
+    folder, asked = str(tmp_path / "q"), []
+    monkeypatch.setattr(queue, "ROWS", 100)
+    (one,) = [queue._Write(folder).write(iter([pa.RecordBatch.from_pydict({"body": [f"m{i}" for i in range(1050)]})]))]
+    queue.Log(folder).publish([(one.name, one.rows)], "k")
+
+    class File(queue.pq.ParquetFile):
+        def iter_batches(self, *a, row_groups=None, **b):
+            asked.append(row_groups)
+            return super().iter_batches(*a, row_groups=row_groups, **b)
+
+    monkeypatch.setattr(queue.pq, "ParquetFile", File)
+    reader = queue._Reader({"path": folder})
+    for start, end, groups in ((0, 1050, list(range(11))), (350, 500, [3, 4]), (999, 1001, [9, 10]), (1049, 1050, [10])):
+        (part,) = reader.partitions({"next": start}, {"next": end})
+        rows = [(p, v) for b in reader.read(part) for p, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        assert rows == [(i, f"m{i}".encode()) for i in range(start, end)] and asked.pop() == groups
+
+
 def test_a_stream_is_published_by_batches(spark, tmp_path):
     queue.register(spark)
     bodies(spark, 0, 30).repartition(3).write.text(str(tmp_path / "in"))
