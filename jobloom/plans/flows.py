@@ -167,9 +167,8 @@ def source_runner(spark: SparkSession, tables: RunTables, posted: PostingStore,
 
 def newsletter(mails: DataFrame, now: Column, base: str = "") -> DataFrame:
     """Messages of the job links of mails (path, subject, sender, html)."""
-    entries = links.job_entries(mails, base=base)
-    with_mail = entries.join(mails.select("path", F.col("subject").alias("email_subject"), F.col("sender").alias("email_sender")), "path")
-    return messages.envelope(with_mail, now)
+    named = mails.select("path", F.col("subject").alias("email_subject"), F.col("sender").alias("email_sender"), "html")
+    return messages.envelope(links.job_entries(named, base=base, keep=("email_subject", "email_sender")), now)
 
 
 def consume(batch: DataFrame, store: DataFrame, details: DataFrame | None, now: Column) -> tuple[DataFrame, DataFrame]:

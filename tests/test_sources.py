@@ -4,9 +4,11 @@ import io
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from jobloom.__main__ import main
-from jobloom.sources import database, queue
+from jobloom.plans import flows
+from jobloom.sources import boards, database, queue
 from jobloom.sources.database import Database
 
 
@@ -34,6 +36,24 @@ def test_tables_by_jdbc(spark):
     assert sorted(r.id if hasattr(r, "id") else r[0] for r in database.read_table(spark, db, "sources", "id").collect()) == [0, 1, 2]
 
 
+def test_mails_of_folders_are_read_once(spark, tmp_path):
+    for i in range(450):
+        (tmp_path / "in" / str(i // 230)).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / str(i // 230) / f"{i}.eml").write_bytes(f"Subject: S{i}\nFrom: a@b\nContent-Type: text/html\n\n<p><a href='https://jobs.lever.co/{i}'>Dev</a></p>".encode())
+    mails, read = boards.read_mail_folders(spark, str(tmp_path / "in")), spark.sparkContext.accumulator(0)
+    by_file = boards.mails(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path / "in")))
+    rows = lambda df: sorted((r.path.removeprefix("file:"), r.subject, r.sender, r.html) for r in df.collect())
+    assert rows(mails) == rows(by_file) and mails.count() == 450
+
+    def counted(s):
+        read.add(1)
+        return s
+
+    sent = [json.loads(r.body)["payload"] for r in flows.newsletter(mails.withColumn("sender", F.udf(counted, "string")("sender")), F.lit("2024-01-01")).collect()]
+    assert sorted((p["url"], p["email_subject"], p["email_sender"]) for p in sent) == sorted((f"https://jobs.lever.co/{i}", f"S{i}", "a@b") for i in range(450))
+    assert read.value == 450
+
+
 def test_a_mail_from_standard_input(spark, tmp_path, capsys):
     raw = b"Subject: S\nFrom: a@b\nContent-Type: text/html; charset=utf-8\n\n<p>1) <a href='https://jobs.lever.co/1'>Dev</a> (X), C - $5</p>"
     assert main(["mail", "-"], spark, io.BytesIO(raw)) == 0
